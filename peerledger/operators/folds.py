@@ -80,3 +80,18 @@ def fold_leaks(df: DataFrame, provider: str = S.PROVIDER) -> DataFrame:
     """Providers found in more than one fold; an empty result means no leakage."""
     per = df.groupBy(provider).agg(F.min("fold").alias("first_fold"), F.max("fold").alias("last_fold"))
     return per.filter("first_fold <> last_fold")
+
+
+def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
+    """Per-fold results one under the other, matched by column name."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def assemble_scores(rows: DataFrame, scores: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Attach out-of-fold scores by row key; rows that no fold scored are left out."""
+    for score in scores:
+        rows = rows.join(score, list(keys), "inner")
+    return rows

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -194,7 +194,7 @@ def table_counts(frame: DataFrame) -> dict[int, sampling.ClassCounts]:
 # ---- Cross-validation and search ----------------------------------------------------------------
 
 
-def _score(df: DataFrame, model, name: str) -> DataFrame:
+def score(df: DataFrame, model, name: str) -> DataFrame:
     scored = model.transform(df)
     probability = vector_to_array(F.col(f"probability_{name}"))[1].alias(f"score_{name}")
     return scored.select(*df.columns, probability)
@@ -209,13 +209,10 @@ def out_of_fold(data: Prepared, chosen: Sequence[tuple[Learner, Mapping[str, flo
         scored = data.frame.filter(F.col("fold") == fold)
         with persisted(train) as train:
             for learner, params in chosen:
-                scored = _score(scored, learner.fit(train, params, rows), learner.name)
+                scored = score(scored, learner.fit(train, params, rows), learner.name)
         names = [f"score_{learner.name}" for learner, _ in chosen]
         parts.append(scored.select("row_key", "fold", S.LABEL, *names))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return folds.union_parts(parts)
 
 
 def cross_validate(data: Prepared, learner: Learner, params: Mapping[str, float]) -> DataFrame:
@@ -324,12 +321,17 @@ def correct_prior(score, kept_fraction: float):
     return score * F.lit(kept_fraction) / (score * F.lit(kept_fraction) + (F.lit(1.0) - score))
 
 
+def shares(df: DataFrame, value: str, output: str) -> DataFrame:
+    """(feature, share of the total). One row per feature column, so one small partition."""
+    whole = F.sum(value).over(Window.partitionBy(F.lit(0)))
+    share = F.coalesce(F.try_divide(F.col(value), whole), F.lit(0.0))
+    return df.select("feature", share.alias(output))
+
+
 def importance(spark: SparkSession, model, features: Sequence[str], name: str) -> DataFrame:
-    """(feature, importance_<name>), scaled to sum 1."""
-    values = model.featureImportances.toArray()
-    total = float(values.sum()) or 1.0
-    rows = [(f, float(v) / total) for f, v in zip(features, values)]
-    return spark.createDataFrame(rows, f"feature string, importance_{name} double")
+    """(feature, importance_<name>), scaled to sum 1 so that the two learners weigh the same."""
+    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray(), strict=True)]
+    return shares(spark.createDataFrame(rows, "feature string, v double"), "v", f"importance_{name}")
 
 
 def top_importance(a: DataFrame, b: DataFrame, n: int = 20) -> DataFrame:
