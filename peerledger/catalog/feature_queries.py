@@ -11,9 +11,9 @@ from peerledger.catalog import views as V
 from peerledger.catalog.registry import query, round_sql, rounded
 from peerledger.functions import coerce, names
 from peerledger.operators import clean, encode, joins, labels, peers, sampling
-from peerledger.operators.aggregate import provider_stats
-from peerledger.plans.features import feature_table, provider_features
-from peerledger.session import fresh_path, stage
+from peerledger.operators.aggregate import claim_statistics
+from peerledger.plans.features import feature_table, provider_features, staged_statistics
+from peerledger.session import fresh_path
 from peerledger.sources import sinks, tables
 
 SQL = V.with_ctes
@@ -42,11 +42,11 @@ SUMMARY_NUMBERS = ["tot_hcpcs_cds", "tot_sbmtd_chrg", "bene_avg_risk_scre"]
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    return provider_stats(clean.clean_detail(V.detail(spark, sf)))
+    return claim_statistics(V.detail(spark, sf))
 
 
 def staged_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(stats(spark, sf), "provider-stats")
+    return staged_statistics(V.detail(spark, sf))
 
 
 def summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerledger import schemas as S
+from peerledger.operators.clean import comparable_detail, typed_detail
+from peerledger.operators.joins import BROADCAST_ROWS
+from peerledger.session import stage_counted
+
+# Claim lines of one provider-year that a single task may hold.
+CROWDED_ROWS = 5_000_000
 
 
 def _statistics(source: str, target: str, is_float: bool) -> list[Column]:
@@ -40,3 +46,50 @@ def provider_stats(
     floats = {f.name for f in detail.schema.fields if isinstance(f.dataType, T.FloatType)}
     columns = [c for src, dst in measures.items() for c in _statistics(src, dst, src in floats)]
     return detail.groupBy(*keys).agg(*columns)
+
+
+def crowded_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int]:
+    """Key values with more than `limit` rows, and how many there are (at most rows / limit)."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return stage_counted(counts.filter(F.col("_rows") > limit).select(*keys), "crowded-keys")
+
+
+def claim_statistics(
+    detail: DataFrame,
+    money_type: str = "float",
+    distinct: bool = True,
+    layout: str = "auto",
+    crowded_rows: int = CROWDED_ROWS,
+) -> DataFrame:
+    """Raw claim lines to provider statistics, with the cheapest layout that skew allows.
+
+    layout="colocate" moves each line once, to its provider-year; removing copies and all thirty
+    statistics then need no further exchange. layout="spread" lets Spark combine map-side before
+    each of two exchanges: safe whatever one provider or one line holds, but the second exchange
+    carries wide partial states. layout="auto" counts lines per provider-year first, reading two
+    columns, and takes "spread" only for the provider-years above `crowded_rows`, if there are any.
+    """
+    lines = comparable_detail(detail, money_type)
+    keys = ["_npi", "_year"]
+
+    def spread(part: DataFrame) -> DataFrame:
+        return provider_stats(typed_detail(part.dropDuplicates() if distinct else part))
+
+    def colocate(part: DataFrame) -> DataFrame:
+        return spread(part.repartition(*keys))
+
+    if layout == "spread":
+        return spread(lines)
+    if layout == "colocate":
+        return colocate(lines)
+    if layout != "auto":
+        raise ValueError(f"unknown layout {layout!r}")
+    crowded, found = crowded_keys(lines, keys, crowded_rows)
+    if found == 0:
+        return colocate(lines)
+    if found > BROADCAST_ROWS:
+        return spread(lines)
+    crowded = F.broadcast(crowded.toDF("_c_npi", "_c_year"))
+    same = lines["_npi"].eqNullSafe(crowded["_c_npi"]) & lines["_year"].eqNullSafe(crowded["_c_year"])
+    busy, quiet = lines.join(crowded, same, "left_semi"), lines.join(crowded, same, "left_anti")
+    return colocate(quiet).unionByName(spread(busy))

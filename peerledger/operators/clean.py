@@ -25,6 +25,32 @@ def merge_aliases(c: Column, aliases: Mapping[str, str] = S.SPECIALTY_ALIASES) -
     return merged.otherwise(c)
 
 
+def comparable_detail(
+    df: DataFrame, money_type: str = "float", aliases: Mapping[str, str] = S.SPECIALTY_ALIASES
+) -> DataFrame:
+    """Raw claim lines in the form in which copies are recognised.
+
+    Identity columns are gone, currency is numeric and specialties are merged, so `$1,000` and
+    `1000` are the same line. Counts are still text: two lines that differ only in an unparseable
+    count are different lines. The typed keys stand beside the raw ones as `_npi` and `_year`.
+    """
+    df = lower_names(df).withColumnsRenamed(S.DETAIL_RENAMES).drop(*S.DETAIL_DROPPED)
+    made = {c: coerce.money(F.col(c), money_type) for c in S.MONEY_COLUMNS if c in df.columns}
+    made["tot_benes"] = impute_missing(F.col("tot_benes").cast("string"), str(S.MISSING_BENEFICIARIES))
+    made[S.SPECIALTY] = merge_aliases(F.col(S.SPECIALTY).cast("string"), aliases)
+    made["_npi"] = coerce.npi_key(F.col(S.PROVIDER))
+    made["_year"] = coerce.to_int(F.col("year"))
+    return df.withColumns(made)
+
+
+def typed_detail(df: DataFrame) -> DataFrame:
+    """Comparable lines to typed lines."""
+    made = {c: coerce.to_int(F.col(c)) for c in S.COUNT_COLUMNS if c in df.columns}
+    keys = {S.PROVIDER: F.col("_npi"), "year": F.col("_year")}
+    made |= keys
+    return df.withColumns(made).drop("_npi", "_year")
+
+
 def clean_detail(
     df: DataFrame,
     money_type: str = "float",
@@ -33,22 +59,11 @@ def clean_detail(
 ) -> DataFrame:
     """Raw claim lines to typed, distinct claim lines.
 
-    Exact copies are removed after the currency cast and alias merge but before the integer casts,
-    so `$1,000` and `1000` are the same line while two procedure codes never become one. The
-    distinct runs as a two-step hash aggregate: copies collapse inside each map task first, so a
-    line repeated a billion times reaches the shuffle once per task.
+    The distinct runs as a two-step hash aggregate: copies collapse inside each map task first, so
+    a line repeated a billion times reaches the shuffle once per task.
     """
-    df = lower_names(df).withColumnsRenamed(S.DETAIL_RENAMES).drop(*S.DETAIL_DROPPED)
-    before = {c: coerce.money(F.col(c), money_type) for c in S.MONEY_COLUMNS if c in df.columns}
-    before["tot_benes"] = impute_missing(F.col("tot_benes").cast("string"), str(S.MISSING_BENEFICIARIES))
-    before[S.SPECIALTY] = merge_aliases(F.col(S.SPECIALTY).cast("string"), aliases)
-    df = df.withColumns(before)
-    if distinct:
-        df = df.dropDuplicates()
-    after = {c: coerce.to_int(F.col(c)) for c in S.COUNT_COLUMNS if c in df.columns}
-    after[S.PROVIDER] = coerce.npi_key(F.col(S.PROVIDER))
-    after["year"] = coerce.to_int(F.col("year"))
-    return df.withColumns(after)
+    lines = comparable_detail(df, money_type, aliases)
+    return typed_detail(lines.dropDuplicates() if distinct else lines)
 
 
 def numeric_view(

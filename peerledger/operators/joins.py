@@ -7,14 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerledger.session import stage_counted
+
 # A row of one or two longs costs well under 100 bytes in a broadcast relation.
 BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the rows; larger sides keep the shuffle join,
-    where adaptive execution splits skewed partitions."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Stage `df`, and hint a broadcast only if it turned out to have at most `max_rows` rows.
+
+    A larger side keeps the shuffle join, where adaptive execution splits skewed partitions.
+    Staging means the size check does not compute the side a second time.
+    """
+    staged, rows = stage_counted(df, "join-side")
+    return F.broadcast(staged) if rows <= max_rows else staged
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -54,9 +54,8 @@ def with_peer_moments(
         return df.select("*", *[c.over(peers).alias(n) for n, c in _moments(resolved)])
     if plan != "join":
         raise ValueError(f"unknown plan {plan!r}")
-    moments = peer_moments(df, metrics, group).withColumnRenamed(group, "_peer_group")
-    matched = df.join(bounded_broadcast(moments), df[group].eqNullSafe(moments["_peer_group"]), "inner")
-    return matched.drop("_peer_group")
+    moments = bounded_broadcast(peer_moments(df, metrics, group).withColumnRenamed(group, "_peer_group"))
+    return df.join(moments, df[group].eqNullSafe(moments["_peer_group"]), "inner").drop("_peer_group")
 
 
 def peer_features(

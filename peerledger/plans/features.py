@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from peerledger import schemas as S
 from peerledger.operators import clean, encode, joins, labels, peers
-from peerledger.operators.aggregate import provider_stats
+from peerledger.operators.aggregate import CROWDED_ROWS, claim_statistics
 from peerledger.session import stage
 
 
@@ -23,30 +23,43 @@ class FeatureOptions:
     metrics: Sequence[str] = S.PEER_METRICS
     categories: Mapping[str, Sequence[str]] | None = None
     on_collision: str = "or"
+    layout: str = "auto"
+    crowded_rows: int = CROWDED_ROWS
 
 
-def provider_features(detail: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
-    """Statistics, peer comparison and risk ratios per provider, year, specialty and place.
+def staged_statistics(detail: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
+    """Provider statistics, written once: they are read for the peer moments, for the categories
+    and for the result, while the raw claims are scanned, deduplicated and grouped a single time."""
+    made = claim_statistics(
+        detail, options.money_type, options.drop_copies, options.layout, options.crowded_rows
+    )
+    return stage(made, "provider-stats")
+
 
-    The statistics are read twice (once for the peer moments, once for the result), so they are
-    staged: the raw claims are scanned, deduplicated and grouped exactly once.
-    """
-    cleaned = clean.clean_detail(detail, options.money_type, options.drop_copies)
-    stats = stage(provider_stats(cleaned), "provider-stats")
+def compared(stats: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
     return peers.risk_ratios(peers.peer_features(stats, options.metrics))
 
 
+def provider_features(detail: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
+    """Statistics, peer comparison and risk ratios per provider, year, specialty and place."""
+    return compared(staged_statistics(detail, options), options)
+
+
 def feature_table(
     detail: DataFrame,
     summary: DataFrame,
     exclusions: DataFrame,
     options: FeatureOptions = FeatureOptions(),
 ) -> DataFrame:
-    features = provider_features(detail, options)
+    """The labelled, encoded training table. Categories are those left after the summary join."""
+    stats = staged_statistics(detail, options)
     tidy = clean.clean_summary(summary, options.summary_mode)
-    enriched = joins.join_summary(features, tidy, check_unique=options.check_summary_keys)
+    keys = [S.PROVIDER, "year"]
+    values = options.categories
+    if values is None:
+        values = encode.category_values(stats.join(tidy.select(*keys), keys, "left_semi"))
+    enriched = joins.join_summary(compared(stats, options), tidy, check_unique=options.check_summary_keys)
     fraud = labels.fraud_exclusions(labels.clean_exclusions(exclusions), options.fraud_codes)
     flagged = labels.flag_providers(enriched, fraud)
-    values = options.categories or encode.category_values(features)
     encoded = encode.one_hot(flagged, values=values, on_collision=options.on_collision)
     return encode.training_projection(encoded)

@@ -5,14 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # percentile_approx aggregates fall back to sorting after this many groups per task.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 
@@ -44,12 +43,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write `df` once to the shared folder; return it read back, and its rows as counted by the
+    write itself.
 
     Later steps that use the result several times read only the columns they need, and a lost
     executor costs a re-read instead of a replay of everything before this point.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    return stage_counted(df, name)[0]
