@@ -14,7 +14,7 @@ from peerledger.operators import encode, folds, metrics, sampling
 from peerledger.plans import runlog, training
 from peerledger.session import fresh_path, stage
 from peerledger.sources import pages, sinks
-from peerledger.streaming.landing import land_page_stream
+from peerledger.streaming.landing import land_page_stream, read_landed
 
 SQL = V.with_ctes
 K = 3
@@ -23,7 +23,8 @@ UNIT_SQL = "cast(('0x' || substr(md5({key} || ':{seed}'), 1, 8))::bigint as doub
 
 
 def fold_table(spark: SparkSession, sf: str) -> DataFrame:
-    return folds.stratified_folds(folds.provider_labels(labelled(spark, sf)), K)
+    providers = stage(folds.provider_labels(labelled(spark, sf)), "provider-labels")
+    return folds.stratified_folds(providers, K)
 
 
 def fold_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +50,8 @@ def stratified_folds(spark, sf):
     ),
 )
 def stratified_folds_hash(spark, sf):
-    return folds.stratified_folds(folds.provider_labels(labelled(spark, sf)), K, method="hash")
+    providers = stage(folds.provider_labels(labelled(spark, sf)), "provider-labels")
+    return folds.stratified_folds(providers, K, method="hash")
 
 
 SIDES = "case when fold = 0 then 'test' else 'train' end as side"
@@ -328,7 +330,7 @@ def stream_landing(spark, sf):
     V.pages(spark, sf).write.json(source)
     for _ in range(2):  # the second run finds nothing new
         land_page_stream(spark, source, target, checkpoint, V.RECORD)
-    return spark.read.parquet(f"{target}/batch=*")
+    return read_landed(spark, target)
 
 
 RUN_METRICS = ["aucpr", "auroc", *RATES, "threshold", "fraud_count", "total_count", "fraud_ratio"]
@@ -398,8 +400,7 @@ def prepared(spark: SparkSession, sf: str, rounds: int = 2) -> training.Prepared
     table = stage(whole_table(spark, sf), "feature-table")
     flags = sorted(c for c in table.columns if "_ohe_" in c)
     keys = ["rndrng_npi", "year", *flags]
-    data = training.prepare(table, keys, OPTIONS.with_rounds(rounds))
-    return training.Prepared(stage(data.frame, "training-frame"), data.features, data.counts, data.options)
+    return training.prepare(table, keys, OPTIONS.with_rounds(rounds))
 
 
 def _defaults(data: training.Prepared):

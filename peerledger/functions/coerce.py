@@ -6,13 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: published in place of small counts and amounts.
+SUPPRESSED = "*"
+
+
+def parse(text: Column, kind: str) -> Column:
+    """try_cast with the common suppression mark sorted out first: a cast that fails raises and
+    catches an exception for every such row, which costs far more than the cast itself."""
+    return F.when(text != SUPPRESSED, text.try_cast(kind))
+
+
 def to_double(c: Column) -> Column:
-    return c.cast("string").try_cast("double")
+    return parse(c.cast("string"), "double")
 
 
 def to_int(c: Column, width: str = "int") -> Column:
-    """Text or number to an integer, truncating fractions towards zero; out of range gives NULL."""
-    return c.cast("string").try_cast("double").try_cast(width)
+    """Text or number to an integer, truncating fractions towards zero; out of range gives NULL.
+
+    The way through double also avoids failing casts: text such as 12.5 is no valid integer.
+    """
+    return to_double(c).try_cast(width)
 
 
 def npi_key(c: Column) -> Column:
@@ -21,12 +34,12 @@ def npi_key(c: Column) -> Column:
 
 
 def strip_money(c: Column) -> Column:
-    return F.regexp_replace(c.cast("string"), r"[$,]", "")
+    return F.translate(c.cast("string"), "$,", "")
 
 
 def money(c: Column, kind: str = "float") -> Column:
     """`$1,234.50` to a number. `kind` may be float, double or a decimal type."""
-    return strip_money(c).try_cast(kind)
+    return parse(strip_money(c), kind)
 
 
 def compact_date(c: Column) -> Column:

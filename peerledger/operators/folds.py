@@ -11,6 +11,7 @@ from peerledger import schemas as S
 from peerledger.functions.hashing import leading_bits, seeded_digest
 from peerledger.operators.labels import provider_labels
 from peerledger.operators.ranking import hash_rank
+from peerledger.session import stage
 
 
 def stratified_folds(
@@ -46,8 +47,14 @@ def stratified_folds(
 def assign_folds(
     df: DataFrame, k: int, seed: int = 42, provider: str = S.PROVIDER, label: str = S.LABEL, **options
 ) -> DataFrame:
-    """Add the provider's fold to every row; rows without a provider belong to no fold."""
-    folds = stratified_folds(provider_labels(df, label, provider), k, seed, provider, label, **options)
+    """Add the provider's fold to every row; rows without a provider belong to no fold.
+
+    The provider labels are staged, so `df` is read once for them and once for the result. A
+    provider with very many rows makes one partition of the join large, which adaptive execution
+    splits; no result depends on how rows are spread.
+    """
+    providers = stage(provider_labels(df, label, provider), "provider-labels")
+    folds = stratified_folds(providers, k, seed, provider, label, **options)
     return df.join(folds.select(provider, "fold"), provider, "inner")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerledger import schemas as S
-from peerledger.operators.ranking import BUCKET, score_buckets, with_offsets
+from peerledger.operators.ranking import BUCKET, GROUP, grouped, score_buckets, with_offsets
 
 SUMMARISED = ("aucpr", "auroc", "f2", "tpr", "tnr", "precision")
 
@@ -28,14 +28,15 @@ def _positive(label: str) -> Column:
     return F.col(label).cast("bigint")
 
 
+def _class_counts(label: str) -> list[Column]:
+    pos = F.sum(_positive(label))
+    return [pos.alias("pos"), (F.count("*") - pos).alias("neg")]
+
+
 def tie_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score."""
-    pos = F.sum(_positive(label))
-    return (
-        checked(df.select(*by, label, F.col(score).cast("double").alias(score)), label, score)
-        .groupBy(*by, score)
-        .agg(pos.alias("pos"), (F.count("*") - pos).alias("neg"))
-    )
+    clean = df.select(*by, label, F.col(score).cast("double").alias(score))
+    return checked(clean, label, score).groupBy(*by, score).agg(*_class_counts(label))
 
 
 def _cumulative(
@@ -44,11 +45,10 @@ def _cumulative(
     """Tie rows with `ctp`/`cfp`: positives and negatives scored at least this high."""
     clean = df.select(*by, label, F.col(score).cast("double").alias(score))
     ties = tie_counts(score_buckets(clean, score, buckets), label, score, [*by, BUCKET])
-    placed = with_offsets(
-        ties, by, {"_pos_above": F.sum("pos"), "_neg_above": F.sum("neg")}, descending=True
-    )
+    totals = {"_pos_above": F.sum("pos"), "_neg_above": F.sum("neg")}
+    placed = with_offsets(grouped(ties, by), totals, descending=True)
     down = (
-        Window.partitionBy(*by, BUCKET)
+        Window.partitionBy(GROUP, BUCKET)
         .orderBy(F.col(score).desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -201,8 +201,7 @@ def threshold_sweep(
     for t in steps:
         reached = reached + (F.col(score) >= F.lit(t)).cast("int")
     rows = checked(df.select(*by, label, score), label, score).withColumn("_reached", reached)
-    pos = F.sum(_positive(label))
-    levels = rows.groupBy(*by, "_reached").agg(pos.alias("pos"), (F.count("*") - pos).alias("neg"))
+    levels = rows.groupBy(*by, "_reached").agg(*_class_counts(label))
 
     def above(column: str, i: int) -> Column:
         return F.sum(F.when(F.col("_reached") > i, F.col(column)).otherwise(F.lit(0).cast("bigint")))

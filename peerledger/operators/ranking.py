@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from peerledger.functions.hashing import seeded_digest
 
 BUCKET = "_bucket"
+GROUP = "_group"
 
 
 def score_buckets(df: DataFrame, score: str, buckets: int | None = None, output: str = BUCKET) -> DataFrame:
@@ -31,23 +32,21 @@ def score_buckets(df: DataFrame, score: str, buckets: int | None = None, output:
     return bucketed.transform(df).withColumn(output, F.col(output).cast("int"))
 
 
-def with_offsets(
-    df: DataFrame, by: Sequence[str], totals: Mapping[str, Column], descending: bool = False
-) -> DataFrame:
-    """Add, per row, the totals of all buckets before its own within the group `by`."""
-    sums = df.groupBy(*by, BUCKET).agg(*[c.alias(n) for n, c in totals.items()])
+def grouped(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the group as one never-null column, in which NULL keys equal each other. Join, window
+    and aggregate can then share a single hash partitioning."""
+    return df.withColumn(GROUP, F.struct(*by) if by else F.lit(0))
+
+
+def with_offsets(df: DataFrame, totals: Mapping[str, Column], descending: bool = False) -> DataFrame:
+    """Add, per row of a grouped and bucketed frame, the totals of all earlier buckets of its group."""
+    sums = df.groupBy(GROUP, BUCKET).agg(*[c.alias(n) for n, c in totals.items()])
     order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
-    groups = by or [F.lit(0)]
-    earlier = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    keys = [*by, BUCKET]
+    earlier = Window.partitionBy(GROUP).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in totals],
+        GROUP, BUCKET, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in totals]
     )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & df[k].eqNullSafe(offsets[f"_o_{k}"])
-    return df.join(offsets, condition, "inner").drop(*[f"_o_{k}" for k in keys])
+    return df.join(offsets, [GROUP, BUCKET], "inner")
 
 
 def hash_rank(
@@ -58,9 +57,9 @@ def hash_rank(
     `key` must be unique within `by`. Hash prefixes are uniform, so the 16**digits buckets stay
     even however uneven the groups are.
     """
-    hashed = df.withColumn("_digest", seeded_digest(F.col(key), seed))
+    kept = df.columns
+    hashed = grouped(df, by).withColumn("_digest", seeded_digest(F.col(key), seed))
     hashed = hashed.withColumn(BUCKET, F.substring("_digest", 1, digits))
-    placed = with_offsets(hashed, by, {"_before": F.count("*")})
-    inside = Window.partitionBy(*by, BUCKET).orderBy("_digest", key)
-    ranked = placed.withColumn(output, (F.row_number().over(inside) + F.col("_before")).cast("bigint"))
-    return ranked.drop("_digest", BUCKET, "_before")
+    placed = with_offsets(hashed, {"_before": F.count("*")})
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy("_digest", key)
+    return placed.select(*kept, (F.row_number().over(inside) + F.col("_before")).cast("bigint").alias(output))

@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 from peerledger import schemas as S
 from peerledger.functions.hashing import key_text
 from peerledger.operators import encode, folds, metrics, sampling
+from peerledger.session import fresh_path, stage, stage_counted
 
 # Trees send values below every threshold left, so missing values form their own branch.
 MISSING = -1e12
@@ -173,16 +174,20 @@ class Prepared:
 
 
 def prepare(table: DataFrame, keys: Sequence[str], options: TrainingOptions) -> Prepared:
-    """Assign folds, fix types, assemble vectors; `keys` identify a row of `table`."""
+    """Assign folds, fix types, assemble vectors; `keys` identify a row of `table`.
+
+    The assembled frame is staged: every fit and every scoring pass reads it, and nothing before
+    it is computed again.
+    """
     keyed = folds.assign_folds(table, options.folds, options.seed).withColumn("row_key", key_text(keys))
     features = encode.feature_names(table, SPARE)
     typed = encode.fix_types(keyed, keep=("row_key",))
-    frame = encode.assemble(typed, features, missing=MISSING)
-    per_fold = table_counts(frame)
-    return Prepared(frame, features, per_fold, options)
+    assembled = encode.assemble(typed, features, missing=MISSING)
+    frame = stage(assembled.select("row_key", S.PROVIDER, "fold", S.LABEL, "features"), "training-frame")
+    return Prepared(frame, features, class_counts(frame), options)
 
 
-def table_counts(frame: DataFrame) -> dict[int, sampling.ClassCounts]:
+def class_counts(frame: DataFrame) -> dict[int, sampling.ClassCounts]:
     """Class counts per fold, one row per fold."""
     label = F.col(S.LABEL)
     grouped = frame.groupBy("fold").agg(
@@ -217,13 +222,11 @@ def out_of_fold(data: Prepared, chosen: Sequence[tuple[Learner, Mapping[str, flo
 
 def cross_validate(data: Prepared, learner: Learner, params: Mapping[str, float]) -> DataFrame:
     """Metrics per fold. Only the training side of a fold is undersampled."""
-    scored = out_of_fold(data, [(learner, params)])
-    with persisted(scored.select("fold", S.LABEL, f"score_{learner.name}")) as scored:
-        per_fold = metrics.fold_metrics(
-            scored, ["fold"], data.options.threshold, S.LABEL, f"score_{learner.name}"
-        )
-        rows = per_fold.collect()  # one row per fold
-    return scored.sparkSession.createDataFrame(rows, per_fold.schema)
+    score_name = f"score_{learner.name}"
+    scores = out_of_fold(data, [(learner, params)]).select("fold", S.LABEL, score_name)
+    # Staged, because the metrics read the scores more than once and scoring is the dear part.
+    scored = stage(scores, "fold-scores")
+    return metrics.fold_metrics(scored, ["fold"], data.options.threshold, S.LABEL, score_name)
 
 
 def search(data: Prepared, learner: Learner, trials: int | None = None) -> DataFrame:
@@ -273,14 +276,18 @@ def fit_stacker(oof: DataFrame, strength: float = 1.0, max_iter: int = 1000):
         elasticNetParam=0.0,
         standardization=False,
     )
-    return learner.fit(_stack_vector(oof))
+    path = fresh_path(oof.sparkSession, "stacker")
+    learner.fit(_stack_vector(oof)).write().save(path)
+    # Read back without its training summary, which holds the session and cannot be sent to tasks.
+    return LogisticRegressionModel.load(path)
 
 
 def stacker_report(oof: DataFrame, stacker, threshold: float = S.DEFAULT_THRESHOLD) -> DataFrame:
     """Metrics of the stacker on its own training rows, marked as such, with its coefficients."""
     scored = stacker.transform(_stack_vector(oof))
     score = vector_to_array(F.col("probability_stack"))[1].alias("score")
-    report = metrics.fold_metrics(scored.select(S.LABEL, score), [], threshold, S.LABEL, "score")
+    scores = stage(scored.select(S.LABEL, score), "stacked-scores")
+    report = metrics.fold_metrics(scores, [], threshold, S.LABEL, "score")
     a, b = (float(c) for c in stacker.coefficients)
     return report.select(
         "*",
@@ -364,19 +371,16 @@ def train(table: DataFrame, keys: Sequence[str], options: TrainingOptions = Trai
     """The whole run: folds, two searches, out-of-fold scores, stacker, final models."""
     data = prepare(table, keys, options)
     spark = table.sparkSession
-    with persisted(data.frame):
-        trials_a, trials_b = search(data, options.learner_a), search(data, options.learner_b)
-        params_a, params_b = best_trial(trials_a)[0], best_trial(trials_b)[0]
-        oof = out_of_fold(data, [(options.learner_a, params_a), (options.learner_b, params_b)])
-        with persisted(oof):
-            expected = sum(c.positives + c.negatives for c in data.counts.values())
-            if oof.count() != expected:
-                raise RuntimeError("some rows have no out-of-fold score")
-            stacker = fit_stacker(oof)
-            report = stacker_report(oof, stacker, options.threshold)
-            report = spark.createDataFrame(report.collect(), report.schema)  # one row
-        a, b = fit_final(data, params_a, params_b)
-        top = top_importance(
-            importance(spark, a, data.features, "a"), importance(spark, b, data.features, "b")
-        )
+    trials_a, trials_b = search(data, options.learner_a), search(data, options.learner_b)
+    params_a, params_b = best_trial(trials_a)[0], best_trial(trials_b)[0]
+    scores = out_of_fold(data, [(options.learner_a, params_a), (options.learner_b, params_b)])
+    oof, scored = stage_counted(scores, "oof")
+    if scored != sum(c.positives + c.negatives for c in data.counts.values()):
+        raise RuntimeError("some rows have no out-of-fold score")
+    stacker = fit_stacker(oof)
+    report = stacker_report(oof, stacker, options.threshold)
+    a, b = fit_final(data, params_a, params_b)
+    top = top_importance(
+        importance(spark, a, data.features, "a"), importance(spark, b, data.features, "b")
+    )
     return TrainingResult(ensemble(a, b, stacker), trials_a, trials_b, oof, report, top)

@@ -35,3 +35,8 @@ def land_page_stream(
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def read_landed(spark: SparkSession, target: str) -> DataFrame:
+    """Everything landed so far, whatever micro-batch brought it."""
+    return spark.read.parquet(target).drop("batch")
