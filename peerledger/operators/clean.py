@@ -93,8 +93,8 @@ def clean_summary(
 ) -> DataFrame:
     """Provider summaries to join-ready rows.
 
-    mode="parity" turns every column into a number, as the original job does, which makes real
-    categoricals constant 0.0. mode="typed" keeps the columns named in `categorical`.
+    mode="parity" turns every column into a number, which makes real categoricals constant 0.0.
+    mode="typed" keeps the columns named in `categorical`.
     """
     if mode not in ("typed", "parity"):
         raise ValueError(f"unknown mode {mode!r}")
