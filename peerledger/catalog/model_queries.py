@@ -398,9 +398,7 @@ OPTIONS = training.TrainingOptions(folds=K, trials=2, ratio=10).with_rounds(2)
 def prepared(spark: SparkSession, sf: str, rounds: int = 2) -> training.Prepared:
     """The whole feature table, keyed, folded, assembled and staged once."""
     table = stage(whole_table(spark, sf), "feature-table")
-    flags = sorted(c for c in table.columns if "_ohe_" in c)
-    keys = ["rndrng_npi", "year", *flags]
-    return training.prepare(table, keys, OPTIONS.with_rounds(rounds))
+    return training.prepare(table, None, OPTIONS.with_rounds(rounds))
 
 
 def _defaults(data: training.Prepared):

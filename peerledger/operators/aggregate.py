@@ -17,7 +17,7 @@ from peerledger.session import stage_counted
 CROWDED_ROWS = 5_000_000
 
 
-def _statistics(source: str, target: str, is_float: bool) -> list[Column]:
+def _statistics(source: str, target: str, is_money: bool) -> list[Column]:
     x = F.col(source)
     columns = {
         "min": F.min(x),
@@ -27,8 +27,8 @@ def _statistics(source: str, target: str, is_float: bool) -> list[Column]:
         "sum": F.sum(x),
         "std": F.coalesce(F.stddev_samp(x), F.lit(0.0)),
     }
-    if is_float:
-        columns |= {s: columns[s].cast("double") for s in ("min", "max", "median")}
+    if is_money:  # decimals are summed exactly before they become doubles
+        columns = {s: c.cast("double") for s, c in columns.items()}
     return [columns[s].alias(f"{target}_{s}") for s in S.STATISTICS]
 
 
@@ -43,8 +43,9 @@ def provider_stats(
     for groups below its 10,000-sample accuracy), so a hot group is combined map-side and its
     final task merges one small state per map task.
     """
-    floats = {f.name for f in detail.schema.fields if isinstance(f.dataType, T.FloatType)}
-    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, src in floats)]
+    fractional = (T.FloatType, T.DoubleType, T.DecimalType)
+    money = {f.name for f in detail.schema.fields if isinstance(f.dataType, fractional)}
+    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, src in money)]
     return detail.groupBy(*keys).agg(*columns)
 
 

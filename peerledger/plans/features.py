@@ -63,3 +63,8 @@ def feature_table(
     flagged = labels.flag_providers(enriched, fraud)
     encoded = encode.one_hot(flagged, values=values, on_collision=options.on_collision)
     return encode.training_projection(encoded)
+
+
+def row_keys(table: DataFrame) -> list[str]:
+    """Columns that identify a row of the feature table: provider, year and the category flags."""
+    return [S.PROVIDER, "year", *sorted(c for c in table.columns if "_ohe_" in c)]

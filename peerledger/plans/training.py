@@ -20,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 from peerledger import schemas as S
 from peerledger.functions.hashing import key_text
 from peerledger.operators import encode, folds, metrics, sampling
+from peerledger.plans.features import row_keys
 from peerledger.session import fresh_path, stage, stage_counted
 
 # Trees send values below every threshold left, so missing values form their own branch.
@@ -173,13 +174,14 @@ class Prepared:
         return chosen, counts.positives + round(counts.negatives * fraction)
 
 
-def prepare(table: DataFrame, keys: Sequence[str], options: TrainingOptions) -> Prepared:
+def prepare(table: DataFrame, keys: Sequence[str] | None, options: TrainingOptions) -> Prepared:
     """Assign folds, fix types, assemble vectors; `keys` identify a row of `table`.
 
     The assembled frame is staged: every fit and every scoring pass reads it, and nothing before
     it is computed again.
     """
-    keyed = folds.assign_folds(table, options.folds, options.seed).withColumn("row_key", key_text(keys))
+    key = key_text(keys or row_keys(table))
+    keyed = folds.assign_folds(table, options.folds, options.seed).withColumn("row_key", key)
     features = encode.feature_names(table, SPARE)
     typed = encode.fix_types(keyed, keep=("row_key",))
     assembled = encode.assemble(typed, features, missing=MISSING)
@@ -367,8 +369,13 @@ def save(result: TrainingResult, path: str) -> None:
     result.top.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/feature_importance")
 
 
-def train(table: DataFrame, keys: Sequence[str], options: TrainingOptions = TrainingOptions()) -> TrainingResult:
-    """The whole run: folds, two searches, out-of-fold scores, stacker, final models."""
+def train(
+    table: DataFrame, options: TrainingOptions = TrainingOptions(), keys: Sequence[str] | None = None
+) -> TrainingResult:
+    """The whole run: folds, two searches, out-of-fold scores, stacker, final models.
+
+    `keys` identify a row; by default those of a feature table.
+    """
     data = prepare(table, keys, options)
     spark = table.sparkSession
     trials_a, trials_b = search(data, options.learner_a), search(data, options.learner_b)

@@ -57,7 +57,7 @@ def test_cross_validation_and_search(data):
 
 
 def test_whole_run_saves_and_scores(spark, frame, data, tmp_path):
-    result = training.train(frame, ["rndrng_npi", "year"], OPTIONS)
+    result = training.train(frame, OPTIONS)
     assert result.oof.count() == 240
     assert result.oof.select("row_key").distinct().count() == 240
     report = result.report.first()
