@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerledger.llm.bpe import decode, encode
 from peerledger.llm.exact_dedup import exact_dedup
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import query, table
 from peerledger.llm.sharding import shard
+from peerledger.llm.token_store import read_tokens, write_tokens
+from peerledger.session import fresh_path
+
+END_OF_DOCUMENT = 1
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 EXACT_DEDUP_SQL = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
@@ -34,3 +46,23 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(table(spark, sf_dir, "documents"), carry=[F.col("doc_id")])
     return rows.select("doc.doc_id", "size", "source_size", "target", "taken", "per_shard")
+
+
+@query("op4_token_store")
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-store")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), END_OF_DOCUMENT)
+    return read_tokens(spark, path, digests=True).withColumnRenamed("key", "doc_id")
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = tokenizer_file("byte_bpe_50k.json")
+    rows = decode(encode(table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
