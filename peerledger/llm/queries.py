@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from peerledger.llm.bpe import decode, encode
 from peerledger.llm.exact_dedup import exact_dedup
+from peerledger.llm.language_id import held_out, predict, train
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import query, table
 from peerledger.llm.sharding import shard
@@ -66,3 +67,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out(F.col("doc_id"))))
+    held = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    return predict(docs, model, ["doc_id", held])
