@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from peerledger.llm.bpe import decode, encode
 from peerledger.llm.exact_dedup import exact_dedup
+from peerledger.llm.jaccard import near_duplicates
 from peerledger.llm.language_id import held_out, predict, train
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import query, table
@@ -75,3 +76,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     held = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
     return predict(docs, model, ["doc_id", held])
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85, carry=[F.col("doc_id")])
+    return rows.select("doc.doc_id", "n_shingles", "component_id")
