@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerledger.llm.bpe import decode, encode
+from peerledger.llm.chat_format import rotate
 from peerledger.llm.exact_dedup import exact_dedup
 from peerledger.llm.jaccard import near_duplicates
 from peerledger.llm.language_id import held_out, predict, train
@@ -82,3 +83,36 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85, carry=[F.col("doc_id")])
     return rows.select("doc.doc_id", "n_shingles", "component_id")
+
+
+CHAT_SQL = """
+with said as (select distinct conv_id, turn, role, coalesce(text, '') as text from conversations),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, md5(text)) - 1 as pos from said
+),
+speakers as (select distinct conv_id, role as perspective from said where role is not null and role <> 'system'),
+seen as (
+  select p.conv_id, s.perspective, p.pos // 64 as part, p.pos, coalesce(p.role = s.perspective, false) as own, p.text,
+         case when p.role = s.perspective then '<|assistant|>' when p.role = 'system' then '<|system|>'
+              else '<|user name=' || coalesce(p.role, 'unknown') || '|>' end || chr(10) as head
+  from placed p join speakers s on p.conv_id is not distinct from s.conv_id
+),
+pieces as (select *, head || text || '<|end|>' || chr(10) as piece from seen),
+ends as (
+  select *, sum(length(piece)) over (partition by conv_id, perspective order by pos) as total,
+         sum(length(piece)) over (partition by conv_id, perspective, part order by pos) as stop
+  from pieces
+)
+select conv_id, perspective, cast(part as integer) as part, cast(min(total - length(piece)) as bigint) as start,
+       string_agg(piece, '' order by pos) as text, cast(count(*) as integer) as n_turns,
+       coalesce(string_agg(case when own then cast(cast(stop - length(piece) + length(head) as bigint) as varchar) || '-'
+                           || cast(cast(stop as bigint) as varchar) end, ',' order by pos), '') as masks
+from ends group by conv_id, perspective, part
+"""
+
+
+@query("op10_chat_format", CHAT_SQL)
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("masks", lambda m: F.concat_ws("-", m["begin"], m["end"]))
+    return rows.withColumn("masks", F.array_join(spans, ","))
