@@ -10,6 +10,7 @@ from peerledger.llm.chat_format import rotate
 from peerledger.llm.exact_dedup import exact_dedup
 from peerledger.llm.jaccard import near_duplicates
 from peerledger.llm.language_id import held_out, predict, train
+from peerledger.llm.metric_join import near_vectors
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import query, table
 from peerledger.llm.sharding import shard
@@ -116,3 +117,26 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rotate(table(spark, sf_dir, "conversations"))
     spans = F.transform("masks", lambda m: F.concat_ws("-", m["begin"], m["end"]))
     return rows.withColumn("masks", F.array_join(spans, ","))
+
+
+EMBEDDING_SQL = """
+with recursive usable as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+  select a.vec_id as u, b.vec_id as v from usable a join usable b
+  on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reached as (select u, v from links union select r.u, l.v from reached r join links l on r.v = l.u),
+least as (select u, min(v) as v from reached group by u),
+counts as (select u, count(*) as n from links group by u)
+select e.vec_id, coalesce(c.n, 0) as n_links, least(e.vec_id, l.v) as component_id, e.vec_id = least(e.vec_id, l.v) as kept
+from embeddings e left join counts c on c.u = e.vec_id left join least l on l.u = e.vec_id
+"""
+
+
+@query("op8_embedding_join", EMBEDDING_SQL)
+def op8_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
