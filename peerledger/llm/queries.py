@@ -14,6 +14,7 @@ from peerledger.llm.metric_join import near_vectors
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import query, table
 from peerledger.llm.sharding import shard
+from peerledger.llm.suffix_dedup import remove_repeats
 from peerledger.llm.token_store import read_tokens, write_tokens
 from peerledger.session import fresh_path
 
@@ -140,3 +141,11 @@ from embeddings e left join counts c on c.u = e.vec_id left join least l on l.u
 @query("op8_embedding_join", EMBEDDING_SQL)
 def op8_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(table(spark, sf_dir, "documents"), carry=[F.col("doc_id")])
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    n_spans = F.size("spans").cast("bigint").alias("n_spans")
+    return rows.select("doc.doc_id", "n_bytes", removed.alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
