@@ -28,12 +28,15 @@ def local_session(app: str = "peerledger", cores: str = "*", partitions: int = 8
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, as the cluster names it; a local one only where none is named."""
+    """The folder every executor sees, as the cluster names it. Only a local master may go without: a folder of the driver's
+    own disk would be read back short, or not at all, where executors run elsewhere."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         current = tempfile.mkdtemp(prefix="peerledger-")
         spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
@@ -52,7 +55,7 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """
     path = fresh_path(df.sparkSession, name)
     seen = Observation(name)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
