@@ -1,13 +1,14 @@
 """BPE encoding through a table of distinct words, and decoding through an id-to-piece table.
 
-Texts are split into words in blocks of about 32 million characters. Every block numbers its different words; these (block, number,
-word) rows are shuffled by word and sorted, so a word met in any number of blocks is encoded once, by the tokenizers library. Its
+Texts are split into words in blocks of about 12 million characters. Every block numbers its different words and sends them,
+sorted and compressed, to the words' hash buckets; there a word met in any number of blocks is encoded once, by the tokenizers library. Its
 ids go back to the blocks, where every position holds the number of its word. What is shuffled is a block's different words and its
 compressed positions, never a row per position.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -20,23 +21,32 @@ from pyspark.sql import types as T
 
 from peerledger.llm.words import BYTE, encoder, flat_ids, slices, split_words, spread
 
-BLOCK_CHARS = 32_000_000
-SLICE_CHARS = 4_000_000
+BLOCK_CHARS = 12_000_000
+SLICE_CHARS = 2_000_000
 BLOCK_BITS = 24  # blocks of one task
+BUCKETS = 256  # of words; many times as many as a cluster has cores are wanted, since a bucket is one task's
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    """Non-negative integers below 2**32 as compressed byte planes."""
+def compressed(data: bytes) -> bytes:
     import zstandard
 
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
-def unpacked(data: bytes, count: int) -> np.ndarray:
+def decompressed(data: bytes, size: int) -> bytes:
     import zstandard
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=4 * count + 1), np.uint8)
+    return zstandard.ZstdDecompressor().decompress(data, max_output_size=size + 1)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Non-negative integers below 2**32 as compressed byte planes."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return compressed(planes.tobytes())
+
+
+def unpacked(data: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(decompressed(data, 4 * count), np.uint8)
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
@@ -58,21 +68,32 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int,
             size, part = size + chars, part + 1
 
 
-def _words_of_blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    def rows(block: int, known: dict[str, int]) -> Iterator[pa.RecordBatch]:
-        words = list(known)
-        for at in range(0, len(words), 50_000):
-            some = words[at : at + 50_000]
-            numbers = np.arange(at, at + len(some), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(numbers), pa.array(some, pa.string())], ["block", "number", "word"])
+def _words_of_blocks(batches: Iterator[pa.RecordBatch], path: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row per block and bucket: the block's numbers of the bucket's words, and the words, sorted and compressed."""
+
+    def rows(block: int, known: dict[str, int]) -> pa.RecordBatch:
+        words = [w.encode() for w in known]
+        of = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+        order = sorted(range(len(words)), key=lambda i: (of[i], words[i]))
+        ends = np.searchsorted(of[order], np.arange(buckets + 1))
+        columns: list[list] = [[], [], [], [], []]
+        for bucket, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+            if a < b:
+                some = [words[i] for i in order[a:b]]
+                sizes = np.fromiter(map(len, some), np.int64, b - a)
+                row = (bucket, b - a, packed(np.array(order[a:b])), packed(sizes), compressed(b"".join(some)))
+                for column, value in zip(columns, row):
+                    column.append(value)
+        arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([pa.array([block] * len(columns[0]), pa.int64()), *arrays], ["block", "bucket", "n", "numbers", "sizes", "words"])
 
     last = None
     for block, known, *_ in _blocks(batches, path):
         if last is not None and last[0] != block:
-            yield from rows(*last)
+            yield rows(*last)
         last = block, known
     if last is not None:
-        yield from rows(*last)
+        yield rows(*last)
 
 
 def _positions_of_blocks(batches: Iterator[pa.RecordBatch], path: str, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -88,20 +109,37 @@ def _positions_of_blocks(batches: Iterator[pa.RecordBatch], path: str, key_type:
 
 
 def _encode_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by word, so the encoder's memory meets equal words one after the other."""
-    encode = encoder(path, False).encode
+    """Rows come sorted by bucket, so the encoder meets all blocks' words of a bucket one after the other and remembers only them."""
+    known, bucket = encoder(path, False), None
     for batch in batches:
-        flat, counts = flat_ids(encode(batch.column(2).to_pylist()))
-        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["block", "number", "ids"])
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket:
+                bucket = row["bucket"]
+                known.known.clear()
+            sizes = unpacked(row["sizes"], row["n"]).astype(np.int64)
+            blob, ends = decompressed(row["words"], int(sizes.sum())), np.cumsum(sizes).tolist()
+            words = [blob[a:b].decode() for a, b in zip([0, *ends[:-1]], ends)]
+            flat, counts = flat_ids(known.encode(words))
+            values = ([row["block"]], [row["n"]], [row["numbers"]], [packed(counts)], [len(flat)], [packed(flat)])
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
+            arrays = [pa.array(v, k) for v, k in zip(values, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, ["block", "n", "numbers", "counts", "total", "ids"])
 
 
 def _join_back(positions: pa.Table, words: pa.Table, key_type: pa.DataType) -> pa.Table:
-    order = np.argsort(words.column("number").to_numpy())
-    lists = words.column("ids").combine_chunks().take(pa.array(order))
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    counts = np.diff(lists.offsets.to_numpy())
+    """A block's positions with the ids of its words."""
+    found = words.to_pylist()
+    at = [unpacked(r["numbers"], r["n"]).astype(np.int64) for r in found]
+    counts = np.zeros(sum(map(len, at)), np.int64)
+    for numbers, row in zip(at, found):
+        counts[numbers] = unpacked(row["counts"], row["n"])
+    starts = np.cumsum(counts) - counts
+    flat = np.zeros(int(counts.sum()), np.uint32)
+    for numbers, row in zip(at, found):
+        sizes = counts[numbers]
+        place = np.repeat(starts[numbers] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        flat[place] = unpacked(row["ids"], row["total"])
+    del found, at
     keys, ids = [], []
     for row in positions.sort_by("part").to_pylist():
         numbers = unpacked(row["numbers"], sum(row["per_text"])).astype(np.int64)
@@ -114,7 +152,7 @@ def _join_back(positions: pa.Table, words: pa.Table, key_type: pa.DataType) -> p
     return pa.table([pa.chunked_array(keys, key_type), pa.chunked_array(ids, pa.list_(pa.int32()))], ["key", "ids"])
 
 
-def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """(key, ids) of every document, as the tokenizers library encodes its whole text without added tokens.
 
     `tokenizer` is the file of a byte-level BPE that every executor can open. Special tokens' strings in a text are those tokens.
@@ -126,9 +164,10 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     read = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     kind = read.schema["key"].dataType
     arrow = to_arrow_type(kind)
-    found = read.mapInArrow(partial(_words_of_blocks, path=tokenizer), "block bigint, number int, word string")
-    by_word = found.repartition("word").sortWithinPartitions("word")
-    encoded = by_word.mapInArrow(partial(_encode_words, path=tokenizer), "block bigint, number int, ids array<int>")
+    words = "block bigint, bucket int, n int, numbers binary, sizes binary, words binary"
+    by_bucket = read.mapInArrow(partial(_words_of_blocks, path=tokenizer, buckets=buckets), words).repartition("bucket")
+    ids = "block bigint, n int, numbers binary, counts binary, total bigint, ids binary"
+    encoded = by_bucket.sortWithinPartitions("bucket").mapInArrow(partial(_encode_words, path=tokenizer), ids)
     schema = T.StructType(
         [
             T.StructField("block", T.LongType()),
