@@ -304,14 +304,20 @@ def sanitize_names(spark, sf):
 # ---- Aggregates, peers, ratios --------------------------------------------------------------------
 
 
-@query(
-    "provider_stats",
-    SQL("stats", f"select {KEY_SQL}, {', '.join(STAT_WHOLE)}, {round_sql(STAT_DOUBLES)} from stats"),
-)
+STATS_SQL = SQL("stats", f"select {KEY_SQL}, {', '.join(STAT_WHOLE)}, {round_sql(STAT_DOUBLES)} from stats")
+
+
+@query("provider_stats", STATS_SQL)
 def provider_stats_query(spark, sf):
     return rounded(stats(spark, sf))
 
 
+@query("provider_stats_crowded", STATS_SQL)
+def provider_stats_crowded(spark, sf):
+    """The same statistics with provider-years of more than ten lines taken as crowded."""
+    return rounded(claim_statistics(V.detail(spark, sf), crowded_rows=10))
+
+
 MOMENT_COLUMNS = [f"{m}_peer_{s}" for m in S.PEER_METRICS for s in ("mean", "std")]
 MOMENT_SQL = SQL("moments", f"select rndrng_prvdr_type, {round_sql(MOMENT_COLUMNS, 4)} from moments")
 

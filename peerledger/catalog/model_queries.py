@@ -302,27 +302,65 @@ def land_batches(spark, sf):
     return spark.read.parquet(path)
 
 
-@query(
-    "landing_audit",
-    SQL(
-        "records",
-        f"""select y.year, p.pages, y.records, y.records as declared_total, p.gaps, cast(0 as bigint) as repeated_pages,
- p.early as early_short_pages, y.digest, d.first_year as same_content_as
-from ({DIGEST_SQL}) y
-join (select year, cast(count(*) as bigint) as pages,
-  cast(sum(case when nxt is null or nxt = start + n then 0 else 1 end) as bigint) as gaps,
-  cast(sum(case when n < {V.PAGE_ROWS} and nxt is not null then 1 else 0 end) as bigint) as early
- from (select year, start, n, lead(start) over (partition by year order by start) as nxt
-  from (select year, event_id // {V.PAGE_ROWS} * {V.PAGE_ROWS} as start, count(*) as n from records group by 1, 2) a) b
- group by year) p on p.year = y.year
-left join (select a.year, min(b.year) as first_year from ({DIGEST_SQL}) a join ({DIGEST_SQL}) b
-  on a.digest = b.digest and a.records = b.records and b.year < a.year group by a.year) d on d.year = y.year""",
-    ),
+def _audit_sql(broken: str, early: str) -> str:
+    """Audit of `paged`, the records with their page number, of which some pages are broken and some start one place early."""
+    return f"""
+sound as (select * from paged where not ({broken})),
+digests as ({DIGEST_SQL.replace("from records", "from sound")}),
+starts as (
+  select year, page, page * {V.PAGE_ROWS} - case when {early} then 1 else 0 end as start, count(*) as n from sound group by year, page
+),
+nexts as (select *, lead(start) over (partition by year order by start) as nxt from starts),
+totals as (select year, count(*) as total from paged group by year),
+declared as (select s.year, max(total) as total from starts s join totals t on s.year = t.year where s.page % 2 = 1 group by s.year),
+breaks as (
+  select year, count(*) as pages, sum(case when nxt > start + n then 1 else 0 end) + max(case when start > 0 and page = first then 1 else 0 end) as gaps,
+    sum(case when nxt < start + n then 1 else 0 end) as overlaps, sum(case when n < {V.PAGE_ROWS} and nxt is not null then 1 else 0 end) as early
+  from (select *, min(page) over (partition by year) as first from nexts) x group by year
+),
+corrupt as (select year, count(distinct case when {broken} then page end) as pages from paged group by year),
+twins as (
+  select a.year, min(b.year) as first_year from digests a join digests b
+  on a.digest = b.digest and a.records = b.records and b.year < a.year group by a.year
 )
+select c.year, cast(coalesce(b.pages, 0) as bigint) as pages, coalesce(d.records, 0) as records, cast(coalesce(b.gaps, 0) as bigint) as gaps,
+  cast(coalesce(b.overlaps, 0) as bigint) as overlaps, cast(0 as bigint) as repeated_pages,
+  cast(coalesce(b.early, 0) as bigint) as early_short_pages, cast(t.total as bigint) as declared_total,
+  cast(c.pages as bigint) as corrupt_pages, d.digest, w.first_year as same_content_as
+from corrupt c left join breaks b on b.year = c.year left join digests d on d.year = c.year
+left join declared t on t.year = c.year left join twins w on w.year = c.year"""
+
+
+PAGED = f"paged as (select *, event_id // {V.PAGE_ROWS} as page from records),"
+PAGED_AGAIN = f"""more as (select * from records union all select 2022, * exclude (year) from records where year = 2021),
+paged as (select *, event_id // {V.PAGE_ROWS} as page from more),"""
+BROKEN = "year = 2022 or (year = 2019 and page % 3 = 1)"
+
+
+def _with_records(ctes: str) -> str:
+    whole = SQL("records", "select")
+    return whole[: whole.rindex("select")].rstrip() + ",\n" + ctes
+
+
+@query("landing_audit", _with_records(PAGED + _audit_sql("false", "false")))
 def landing_audit(spark, sf):
     return pages.audit_pages(V.pages(spark, sf), V.RECORD, V.PAGE_ROWS)
 
 
+@query("landing_audit_damaged", _with_records(PAGED_AGAIN + _audit_sql(BROKEN, "year = 2020 and page % 4 = 2")))
+def landing_audit_damaged(spark, sf):
+    """Some pages are cut off, some overlap, and one year has nothing but broken pages."""
+    return pages.audit_pages(V.damaged_pages(spark, sf), V.RECORD, V.PAGE_ROWS)
+
+
+REJECTED_SQL = f"select distinct year, cast(page * {V.PAGE_ROWS} as bigint) as \"offset\" from paged where {BROKEN}"
+
+
+@query("rejected_pages", _with_records(PAGED_AGAIN.rstrip(",") + "\n" + REJECTED_SQL))
+def rejected_pages(spark, sf):
+    return pages.rejected_pages(V.damaged_pages(spark, sf), V.RECORD).select("year", "offset")
+
+
 @query("stream_landing", SQL("records", f"select {RECORD_COLUMNS} from records"))
 def stream_landing(spark, sf):
     source, target = fresh_path(spark, "pages"), fresh_path(spark, "stream")

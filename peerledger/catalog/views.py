@@ -141,6 +141,19 @@ def pages(spark: SparkSession, sf: str, rows: int = PAGE_ROWS) -> DataFrame:
     )
 
 
+def damaged_pages(spark: SparkSession, sf: str, rows: int = PAGE_ROWS) -> DataFrame:
+    """The pages with faults: in 2019 every third page is cut off, in 2020 every fourth starts one place early, and 2022 has the pages of
+    2021, all of them cut off."""
+    sound = pages(spark, sf, rows)
+    again = sound.filter("year = 2021").withColumn("year", F.lit(2022))
+    number = F.floor(F.col("offset") / rows)
+    cut = (F.col("year") == 2022) | ((F.col("year") == 2019) & (number % 3 == 1))
+    early = F.when((F.col("year") == 2020) & (number % 4 == 2), 1).otherwise(0)
+    whole = F.col("payload")
+    payload = F.when(cut, F.substring(whole, F.lit(1), F.length(whole) - 5)).otherwise(whole)
+    return sound.unionByName(again).select("year", (F.col("offset") - early).alias("offset"), payload.alias("payload"))
+
+
 # ---- SQL fragments shared by the twins ------------------------------------------------------------
 
 

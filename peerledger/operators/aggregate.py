@@ -4,49 +4,85 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerledger import schemas as S
 from peerledger.operators.clean import comparable_detail, typed_detail
 from peerledger.operators.joins import BROADCAST_ROWS
-from peerledger.session import stage_counted
+from peerledger.operators.ranking import BUCKET, GROUP, with_offsets
+from peerledger.session import stage, stage_counted
 
 # Claim lines of one provider-year that a single task may hold.
 CROWDED_ROWS = 5_000_000
+VALUE_BUCKETS = 1024
+FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _statistics(source: str, target: str, is_money: bool) -> list[Column]:
+def _statistics(source: str, target: str, kind: T.DataType, median: bool) -> list[Column]:
     x = F.col(source)
     columns = {
         "min": F.min(x),
         "max": F.max(x),
         "mean": F.avg(x),
-        "median": F.percentile_approx(x, 0.5),
+        "median": F.expr(f"percentile_disc(0.5) within group (order by `{source}`)").cast(kind),
         "sum": F.sum(x),
         "std": F.coalesce(F.stddev_samp(x), F.lit(0.0)),
     }
-    if is_money:  # decimals are summed exactly before they become doubles
+    if isinstance(kind, FRACTIONAL):  # decimals are summed exactly before they become doubles
         columns = {s: c.cast("double") for s, c in columns.items()}
-    return [columns[s].alias(f"{target}_{s}") for s in S.STATISTICS]
+    return [columns[s].alias(f"{target}_{s}") for s in S.STATISTICS if median or s != "median"]
 
 
 def provider_stats(
     detail: DataFrame,
     keys: Sequence[str] = S.GROUP_KEYS,
     measures: Mapping[str, str] = S.MEASURES,
+    crowded: bool = False,
 ) -> DataFrame:
-    """Six statistics per measure in one grouped pass.
+    """Six statistics per measure; the median is the exact lower middle value.
 
-    All thirty have mergeable partial states, the median included (a bounded sketch that is exact
-    for groups below its 10,000-sample accuracy), so a hot group is combined map-side and its
-    final task merges one small state per map task.
+    In one grouped pass, the state of a median holds the different values of its group. With `crowded` groups of any size are
+    fine: the other statistics have small mergeable states, and medians are found by `medians`.
     """
-    fractional = (T.FloatType, T.DoubleType, T.DecimalType)
-    money = {f.name for f in detail.schema.fields if isinstance(f.dataType, fractional)}
-    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, src in money)]
-    return detail.groupBy(*keys).agg(*columns)
+    kinds = {f.name: f.dataType for f in detail.schema.fields}
+    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, kinds[src], not crowded)]
+    grouped = detail.groupBy(*keys).agg(*columns)
+    if not crowded:
+        return grouped
+    middle = medians(detail, keys, measures)
+    joined = grouped.withColumn(GROUP, F.struct(*keys)).join(middle, GROUP)
+    return joined.select(*keys, *[f"{dst}_{s}" for dst in measures.values() for s in S.STATISTICS])
+
+
+def medians(detail: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """(group, <measure>_median...): the exact lower middle value of each measure, whatever a group holds.
+
+    Equal values are counted before the shuffle. Different values of a group are put in buckets that are monotone in the value, so
+    their running counts need no window over a whole group.
+    """
+    values = F.array(*[F.struct(F.lit(dst).alias("measure"), F.col(src).cast("double").alias("value")) for src, dst in measures.items()])
+    tall = detail.select(F.struct(*keys).alias("at"), F.explode(values).alias("v")).select("at", "v.*").filter("value is not null")
+    counted = tall.groupBy("at", "measure", "value").agg(F.count("*").alias("n"))
+    counted = stage(counted.select(F.struct("at", "measure").alias(GROUP), "value", "n"), "value-counts")
+    plain = F.when(~F.isnan("value"), F.col("value"))
+    extents = counted.groupBy(GROUP).agg(F.min(plain).alias("low"), F.max(plain).alias("high"), F.sum("n").alias("rows"))
+    placed = counted.join(stage(extents, "value-extents"), GROUP)
+    share = F.coalesce(F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
+    bucket = F.when(F.isnan("value") | F.isnan(share), VALUE_BUCKETS).otherwise(F.floor(share * (VALUE_BUCKETS - 1)).cast("int"))
+    placed = with_offsets(placed.withColumn(BUCKET, bucket), {"_before": F.sum("n")})
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto, half = F.col("_before") + F.sum("n").over(inside), F.ceil(F.col("rows") / 2)
+    middle = placed.withColumn("upto", upto).filter((F.col("upto") >= half) & (F.col("upto") - F.col("n") < half))
+    types = {f.name: f.dataType for f in detail.schema.fields}
+    kinds = {dst: "double" if isinstance(types[src], FRACTIONAL) else types[src] for src, dst in measures.items()}
+    columns = [
+        F.max(F.when(F.col(f"{GROUP}.measure") == dst, F.col("value"))).cast(kind).alias(f"{dst}_median") for dst, kind in kinds.items()
+    ]
+    found = middle.groupBy(F.col(f"{GROUP}.at").alias("at")).agg(*columns)
+    every = detail.select(F.struct(*keys).alias("at")).distinct()  # groups without any value have no median
+    return every.join(found, "at", "left").withColumnRenamed("at", GROUP)
 
 
 def crowded_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int]:
@@ -62,22 +98,26 @@ def claim_statistics(
     layout: str = "auto",
     crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
-    """Raw claim lines to provider statistics, with the cheapest layout that skew allows.
+    """Raw claim lines to provider statistics, with the cheapest layout that skew allows. The layout changes no value but the last
+    digits of means and deviations.
 
     layout="colocate" moves each line once, to its provider-year; removing copies and all thirty
     statistics then need no further exchange. layout="spread" lets Spark combine map-side before
-    each of two exchanges: safe whatever one provider or one line holds, but the second exchange
-    carries wide partial states. layout="auto" counts lines per provider-year first, reading two
+    each exchange: safe whatever one provider or one line holds, but it reads the distinct lines
+    twice, for medians apart. layout="auto" counts lines per provider-year first, reading two
     columns, and takes "spread" only for the provider-years above `crowded_rows`, if there are any.
     """
     lines = comparable_detail(detail, money_type)
     keys = ["_npi", "_year"]
 
+    def typed(part: DataFrame) -> DataFrame:
+        return typed_detail(part.dropDuplicates() if distinct else part)
+
     def spread(part: DataFrame) -> DataFrame:
-        return provider_stats(typed_detail(part.dropDuplicates() if distinct else part))
+        return provider_stats(stage(typed(part), "typed-lines"), crowded=True)
 
     def colocate(part: DataFrame) -> DataFrame:
-        return spread(part.repartition(*keys))
+        return provider_stats(typed(part.repartition(*keys)))
 
     if layout == "spread":
         return spread(lines)

@@ -1,17 +1,22 @@
 """Landed API pages: decoding and completeness audit.
 
 A page is (year, offset, payload); the payload is a JSON list of records or an object with the
-records under `data` and the declared total under `meta.totalCount`.
+records under `data` and the declared total under `meta.totalCount`. Any other payload, NULL included, is a corrupt page: decoding
+raises unless told to leave such pages to `rejected_pages`, and the audit counts them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerledger import schemas as S
 from peerledger.functions.hashing import leading_bits
+from peerledger.operators.ranking import BUCKET, GROUP, grouped, with_offsets
+from peerledger.session import stage
+
+PAGES_PER_BUCKET = 1024
 
 
 def _text_fields(fields: T.StructType) -> T.StructType:
@@ -19,7 +24,7 @@ def _text_fields(fields: T.StructType) -> T.StructType:
 
 
 def _parsed(pages: DataFrame, fields: T.StructType) -> DataFrame:
-    """Pages with `records` (array of text structs) and `declared`. Each payload is parsed once."""
+    """Pages with `records` (array of text structs; NULL on a corrupt page), `declared` and the payload. Each is parsed once."""
     record = T.ArrayType(_text_fields(fields))
     meta = T.StructType([T.StructField("totalCount", T.LongType())])
     envelope = T.StructType([T.StructField("data", record), T.StructField("meta", meta)])
@@ -30,20 +35,36 @@ def _parsed(pages: DataFrame, fields: T.StructType) -> DataFrame:
             F.from_json("payload", record).alias("data"), F.lit(None).cast(meta).alias("meta")
         ),
     ).otherwise(F.from_json("payload", envelope))
-    return pages.select("year", "offset", wrapped.alias("page")).select(
+    return pages.select("year", "offset", "payload", wrapped.alias("page")).select(
         "year",
         "offset",
         F.col("page.data").alias("records"),
         F.col("page.meta.totalCount").alias("declared"),
+        "payload",
     )
 
 
-def decode_pages(pages: DataFrame, fields: T.StructType) -> DataFrame:
-    """One row per record: year plus the declared fields in their declared types."""
-    rows = _parsed(pages, fields).select("year", F.explode("records").alias("r"))
+def decode_pages(pages: DataFrame, fields: T.StructType, corrupt: str = "raise") -> DataFrame:
+    """One row per record: year plus the declared fields in their declared types.
+
+    corrupt="raise" fails on the first corrupt page; corrupt="reject" leaves them out, for `rejected_pages` to return.
+    """
+    if corrupt not in ("raise", "reject"):
+        raise ValueError(f"unknown treatment {corrupt!r}")
+    parsed = _parsed(pages, fields)
+    if corrupt == "raise":
+        where = F.concat(F.lit("corrupt page: year "), F.coalesce(F.col("year").cast("string"), F.lit("?")), F.lit(", offset "), F.coalesce(F.col("offset").cast("string"), F.lit("?")))
+        none = F.raise_error(where).cast(parsed.schema["records"].dataType)
+        parsed = parsed.withColumn("records", F.when(F.col("records").isNull(), none).otherwise(F.col("records")))
+    rows = parsed.select("year", F.explode("records").alias("r"))
     return rows.select("year", *[F.col("r")[f.name].try_cast(f.dataType).alias(f.name) for f in fields.fields])
 
 
+def rejected_pages(pages: DataFrame, fields: T.StructType) -> DataFrame:
+    """(year, offset, payload) of the corrupt pages."""
+    return _parsed(pages, fields).filter(F.col("records").isNull()).select("year", "offset", "payload")
+
+
 def _content(records: Column, fields: T.StructType) -> Column:
     """Sum of record hashes: independent of the order of records and of page boundaries."""
 
@@ -58,58 +79,65 @@ def _content(records: Column, fields: T.StructType) -> Column:
 def audit_pages(
     pages: DataFrame, fields: T.StructType, page_rows: int = S.LANDING_BATCH_ROWS
 ) -> DataFrame:
-    """Per year: pages, records, declared total, gaps, repeated and early short pages, content
+    """Per year: sound pages, records, declared total, gaps, overlaps, repeated and early short pages, corrupt pages, content
     digest, and the earliest year with identical content.
 
-    Every page adds its start and its end position. An end that is nobody's start is where the
-    pages break off: once per year if nothing is missing. This needs no ordered window, so a year
-    with most of the pages is no problem.
+    Every sound page adds 1 where it starts and takes 1 away where it ends, so the running sum says how many pages cover a position:
+    0 before the last end is a gap (one more if the first page does not start at 0), 2 or more is an overlap, unless the
+    pages start at the same place, which is a repeated page. A year whose pages are all corrupt or empty stays in the result.
+    Positions are buckets of pages, so the running sum has no window over a year.
     """
-    read = _parsed(pages, fields).filter(F.size("records") > 0)
-    size = F.size("records").cast("bigint")
     none, zero = F.lit(None).cast("bigint"), F.lit(0).cast("bigint")
-    start = F.struct(
-        F.col("offset").alias("pos"),
-        F.lit(1).cast("bigint").alias("starts"),
-        size.alias("records"),
-        (size < page_rows).cast("bigint").alias("short"),
-        F.col("declared").alias("declared"),
+    parsed = _parsed(pages, fields)
+    every = parsed.groupBy("year").agg(F.count_if(F.col("records").isNull()).alias("corrupt_pages"))
+    size = F.size("records").cast("bigint")
+    read = parsed.filter(F.size("records") > 0).select(
+        "year",
+        "offset",
+        size.alias("size"),
+        "declared",
         _content(F.col("records"), fields).alias("content"),
     )
-    end = F.struct(
-        (F.col("offset") + size).alias("pos"),
-        zero.alias("starts"),
-        zero.alias("records"),
-        zero.alias("short"),
-        none.alias("declared"),
-        zero.cast("decimal(38,0)").alias("content"),
-    )
-    marks = read.select("year", F.explode(F.array(start, end)).alias("m")).select("year", "m.*")
-    positions = marks.groupBy("year", "pos").agg(
-        *[F.sum(c).alias(c) for c in ("starts", "records", "short", "content")],
+    # Pages that start together are one place; the longest of them decides how far it reaches.
+    starts = read.groupBy("year", "offset").agg(
+        F.count("*").alias("pages"),
+        F.max("size").alias("reach"),
+        F.sum("size").alias("records"),
+        F.sum((F.col("size") < page_rows).cast("bigint")).alias("short"),
         F.max("declared").alias("declared"),
+        F.sum("content").alias("content"),
+    )
+    starts = stage(starts, "page-starts")
+    start = F.struct(F.col("offset").alias("pos"), F.lit(1).cast("bigint").alias("step"))
+    end = F.struct((F.col("offset") + F.col("reach")).alias("pos"), F.lit(-1).cast("bigint").alias("step"))
+    marks = starts.select("year", F.explode(F.array(start, end)).alias("m")).select("year", "m.*")
+    steps = grouped(marks.groupBy("year", "pos").agg(F.sum("step").alias("step")), ["year"])
+    steps = steps.withColumn(BUCKET, F.floor(F.col("pos") / (page_rows * PAGES_PER_BUCKET)))
+    placed = with_offsets(steps, {"_before": F.sum("step")})
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = placed.withColumn("cover", F.col("_before") + F.sum("step").over(inside))
+    breaks = covered.groupBy("year").agg(
+        (F.count_if(F.col("cover") == 0) - 1 + (F.min("pos") > 0).cast("bigint")).alias("gaps"),
+        F.sum(F.when((F.col("cover") > 1) & (F.col("step") > 0), 1).otherwise(0)).cast("bigint").alias("overlaps"),
     )
-    first_start = F.min(F.when(F.col("starts") > 0, F.col("pos")))
-    last_short = F.max_by(F.col("short"), F.when(F.col("starts") > 0, F.col("pos")))
-    years = positions.groupBy("year").agg(
-        F.sum("starts").alias("pages"),
+    last_short = F.max_by(F.col("short"), F.col("offset"))
+    sums = starts.groupBy("year").agg(
+        F.sum("pages").alias("pages"),
         F.sum("records").alias("records"),
         F.max("declared").alias("declared_total"),
-        (F.count_if(F.col("starts") == 0) - 1 + (first_start > 0).cast("bigint")).alias("gaps"),
-        F.sum(F.greatest(F.col("starts") - 1, zero)).alias("repeated_pages"),
+        F.sum(F.col("pages") - 1).alias("repeated_pages"),
         (F.sum("short") - F.least(last_short, F.lit(1).cast("bigint"))).alias("early_short_pages"),
         F.sum("content").alias("digest"),
     )
-    same = years.groupBy("digest", "records").agg(F.min("year").alias("first_year"))
-    joined = years.join(same, ["digest", "records"], "inner")
+    years = every.join(sums, "year", "left").join(breaks, "year", "left")
+    same = sums.groupBy("digest", "records").agg(F.min("year").alias("first_year"))
+    joined = years.join(same, ["digest", "records"], "left")
+    counts = ("pages", "records", "gaps", "overlaps", "repeated_pages", "early_short_pages")
     return joined.select(
         "year",
-        "pages",
-        "records",
-        "declared_total",
-        "gaps",
-        "repeated_pages",
-        "early_short_pages",
+        *[F.coalesce(c, zero).alias(c) for c in counts],
+        F.coalesce("declared_total", none).alias("declared_total"),
+        "corrupt_pages",
         F.col("digest").cast("string").alias("digest"),
         F.when(F.col("first_year") < F.col("year"), F.col("first_year")).alias("same_content_as"),
     )

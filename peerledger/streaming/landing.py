@@ -20,7 +20,8 @@ def land_page_stream(
     rows_per_file: int = S.LANDING_BATCH_ROWS,
     files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Decode every page file not seen before and stop when the folder is drained.
+    """Decode every page file not seen before and stop when the folder is drained. A corrupt page stops the stream; once the file is
+    mended or moved away, the next run goes on from there.
 
     Each micro-batch overwrites its own `batch=<id>` folder, so a batch replayed after a failure
     replaces what the first attempt left instead of adding to it.

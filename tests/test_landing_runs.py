@@ -40,13 +40,26 @@ def test_audit_finds_gaps_short_pages_repeats_and_equal_years(spark):
     got = {r["year"]: r.asDict() for r in pages.audit_pages(df, FIELDS, 2).collect()}
     assert got[2019] | {"digest": ""} == {
         "year": 2019, "pages": 3, "records": 5, "declared_total": 5, "gaps": 0, "repeated_pages": 0,
-        "early_short_pages": 0, "digest": "", "same_content_as": None,
+        "early_short_pages": 0, "digest": "", "same_content_as": None, "overlaps": 0, "corrupt_pages": 0,
     }
     assert got[2020]["same_content_as"] == 2019
     assert (got[2021]["gaps"], got[2021]["repeated_pages"]) == (1, 1)
     assert (got[2022]["gaps"], got[2022]["early_short_pages"]) == (1, 1)  # does not start at 0
 
 
+def test_corrupt_pages_are_never_lost(spark):
+    broken = [(2020, 4, '[{"id": 4'), (2021, 0, None), (2022, 0, "oops")]
+    df = landed(spark, page(2020, 0, records(0, 2)), page(2020, 2, records(2, 2)), *broken, page(2022, 1, records(1, 3)), page(2022, 3, records(3, 2), True, 9))
+    with pytest.raises(Exception, match="corrupt page: year 202"):
+        pages.decode_pages(df, FIELDS).collect()
+    assert len(rows(pages.decode_pages(df, FIELDS, corrupt="reject"))) == 9
+    assert {r[:2] for r in rows(pages.rejected_pages(df, FIELDS))} == {(2020, 4), (2021, 0), (2022, 0)}
+    got = {r["year"]: r.asDict() for r in pages.audit_pages(df, FIELDS, 2).collect()}
+    assert (got[2020]["pages"], got[2020]["gaps"], got[2020]["corrupt_pages"]) == (2, 0, 1)  # a broken last page
+    assert (got[2021]["pages"], got[2021]["records"], got[2021]["corrupt_pages"]) == (0, 0, 1)  # nothing but a broken page
+    assert (got[2022]["gaps"], got[2022]["overlaps"], got[2022]["declared_total"]) == (1, 1, 9)
+
+
 def test_batches_have_bounded_files(spark, tmp_path):
     df = spark.range(0, 1000).selectExpr("id", "2019 + cast(id >= 900 as int) as year")
     sinks.land_batches(df, str(tmp_path / "out"), rows_per_file=100)

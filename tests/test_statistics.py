@@ -32,6 +32,25 @@ def test_layouts_agree(spark, layout, crowded):
     assert rows(steady(got)) == expected
 
 
+def test_median_of_a_large_group_is_exact_in_every_layout(spark):
+    spread = spark.range(60001).selectExpr(
+        "'1' as rndrng_npi", "2020 as year", "'A' as rndrng_prvdr_type", "'F' as place_of_srvc", "cast(id as string) as hcpcs_cd",
+        "cast((id * 7919) % 100003 as string) as tot_srvcs", "cast(id % 5 as string) as tot_benes", "cast(id as string) as tot_bene_day_srvcs",
+        "concat('$', cast((id * 31) % 60013 as string), '.5') as avg_sbmtd_chrg", "if(id % 2 = 0, '*', cast(id as string)) as avg_mdcr_pymt_amt",
+    )
+    n = range(60001)
+    middle = {
+        "line_srvc_cnt_median": sorted((i * 7919) % 100003 for i in n)[30000],
+        "bene_unique_cnt_median": 2,
+        "bene_day_srvc_cnt_median": 30000,
+        "average_submitted_chrg_amt_median": sorted((i * 31) % 60013 + 0.5 for i in n)[30000],
+        "average_medicare_payment_amt_median": [i for i in n if i % 2][14999],
+    }
+    for layout, crowded in (("colocate", 1), ("spread", 1), ("auto", 100), ("auto", 10**6)):
+        got = claim_statistics(spread, layout=layout, crowded_rows=crowded).first().asDict()
+        assert {k: got[k] for k in middle} == middle
+
+
 def test_colocated_layout_has_one_exchange(spark):
     df = claim_statistics(raw(spark), layout="colocate")
     plan = df._jdf.queryExecution().executedPlan().toString()
