@@ -7,6 +7,7 @@ move some of the borders. Work and memory are linear in the characters of a batc
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -20,7 +21,8 @@ OTHER, LETTER, DIGIT, SPACE = 0, 1, 2, 3
 #: The letters after an apostrophe that make a word of their own.
 SHORT_ENDINGS, LONG_ENDINGS = "stmd", ("re", "ve", "ll")
 ODD = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
+WORD_END = "</w>"
 
 
 @lru_cache(maxsize=1)
@@ -179,19 +181,40 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, words: Sequence[str]) -> list[tuple[int, ...]]:
-        """Ids of each word. A word that is a special token's text is that token."""
+        self.known: dict[str, bytes] = {}  # ids as 4 bytes each
+        self.ends = None  # of each id: does it end a word
+        if normalized:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+
+    def encode(self, words: Sequence[str]) -> list[bytes]:
+        """Ids of each word, 4 bytes each. A word that is a special token's text is that token."""
         known = self.known
-        missing = [w for w in words if w not in known]
+        found = list(map(known.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        if not missing:
+            return found
         if len(known) + len(missing) > CACHED_WORDS:
             known.clear()
-            missing = list(dict.fromkeys(words))
-        if missing:
-            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            known.update((w, tuple(e.ids)) for w, e in zip(missing, found))
-        return [known[w] for w in words]
+            known.update((w, ids) for w, ids in zip(words, found) if ids is not None)
+        if not self._encode_line(missing):
+            new = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            known.update((w, struct.pack(f"<{len(e.ids)}I", *e.ids)) for w, e in zip(missing, new))
+        return [known[w] if ids is None else ids for w, ids in zip(words, found)]
+
+    def _encode_line(self, words: Sequence[str]) -> bool:
+        """Encode words as one text where the vocabulary drops spaces and marks the ends of words, which is several times faster.
+        False if the marks do not give every word back."""
+        if self.ends is None or any(w in self.specials for w in words):
+            return False
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words) or stops[-1] != len(ids):
+            return False
+        data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
+        self.known.update((w, data[a:b]) for w, a, b in zip(words, at[:-1], at[1:]))
+        return True
 
 
 @lru_cache(maxsize=4)
@@ -199,10 +222,10 @@ def encoder(path: str, normalized: bool) -> WordEncoder:
     return WordEncoder(path, normalized)
 
 
-def flat_ids(per_word: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words end to end, and how many each word has."""
-    counts = np.fromiter(map(len, per_word), np.int64, len(per_word))
-    return np.fromiter(chain.from_iterable(per_word), np.uint32, int(counts.sum())), counts
+def flat_ids(per_word: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words end to end, and how many each has."""
+    counts = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
+    return np.frombuffer(b"".join(per_word), "<u4"), counts
 
 
 def spread(numbers: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
