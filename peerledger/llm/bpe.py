@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 from peerledger.llm.words import BYTE, encoder, flat_ids, slices, split_words, spread
 
 BLOCK_CHARS = 12_000_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 BLOCK_BITS = 24  # blocks of one task
-BUCKETS = 256  # of words; many times as many as a cluster has cores are wanted, since a bucket is one task's
+LEAST_BUCKETS = 256  # of words; there are also at least eight for each shuffle partition, since a bucket is one task's
 
 
 def compressed(data: bytes) -> bytes:
@@ -152,7 +152,7 @@ def _join_back(positions: pa.Table, words: pa.Table, key_type: pa.DataType) -> p
     return pa.table([pa.chunked_array(keys, key_type), pa.chunked_array(ids, pa.list_(pa.int32()))], ["key", "ids"])
 
 
-def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(key, ids) of every document, as the tokenizers library encodes its whole text without added tokens.
 
     `tokenizer` is the file of a byte-level BPE that every executor can open. Special tokens' strings in a text are those tokens.
@@ -164,6 +164,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     read = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     kind = read.schema["key"].dataType
     arrow = to_arrow_type(kind)
+    buckets = buckets or max(LEAST_BUCKETS, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     words = "block bigint, bucket int, n int, numbers binary, sizes binary, words binary"
     by_bucket = read.mapInArrow(partial(_words_of_blocks, path=tokenizer, buckets=buckets), words).repartition("bucket")
     ids = "block bigint, n int, numbers binary, counts binary, total bigint, ids binary"
