@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from peerledger import schemas as S
 from peerledger.catalog import views as V
-from peerledger.catalog.feature_queries import STAT_DOUBLES, STAT_WHOLE, labelled, staged_stats, whole_table
+from peerledger.catalog.feature_queries import STAT_DOUBLES, STAT_WHOLE, labelled, staged_stats
 from peerledger.catalog.registry import query, round_sql, rounded
 from peerledger.functions.hashing import key_text
 from peerledger.operators import encode, folds, metrics, sampling
 from peerledger.plans import runlog, training
+from peerledger.plans.features import FeatureOptions, feature_table
 from peerledger.session import fresh_path, stage
 from peerledger.sources import pages, sinks
 from peerledger.streaming.landing import land_page_stream, read_landed
@@ -298,7 +299,7 @@ def decode_pages(spark, sf):
 @query("land_batches", SQL("records", f"select {RECORD_COLUMNS} from records"))
 def land_batches(spark, sf):
     path = fresh_path(spark, "landed")
-    sinks.land_batches(pages.decode_pages(V.pages(spark, sf), V.RECORD), path)
+    sinks.land_batches(pages.decode_pages(V.pages(spark, sf), V.RECORD), path, rows_per_file=S.LANDING_BATCH_ROWS)
     return spark.read.parquet(path)
 
 
@@ -435,8 +436,9 @@ OPTIONS = training.TrainingOptions(folds=K, trials=2, ratio=10).with_rounds(2)
 
 def prepared(spark: SparkSession, sf: str, rounds: int = 2) -> training.Prepared:
     """The whole feature table, keyed, folded, assembled and staged once."""
-    table = stage(whole_table(spark, sf), "feature-table")
-    return training.prepare(table, None, OPTIONS.with_rounds(rounds))
+    options = FeatureOptions(row_key=True)
+    table = feature_table(V.detail(spark, sf), V.some_summary(spark, sf), V.exclusions(spark, sf), options)
+    return training.prepare(stage(table, "feature-table"), None, OPTIONS.with_rounds(rounds))
 
 
 def _defaults(data: training.Prepared):
@@ -444,6 +446,33 @@ def _defaults(data: training.Prepared):
     return [(a, a.defaults()), (b, b.defaults() | {"leaves": 31, "learning_rate": 0.2})]
 
 
+ROW_KEY_AUDIT_SQL = """
+with lines as ({detail}),
+more as (
+  select rndrng_npi, yr, rndrng_prvdr_type, place_of_srvc from lines
+  union all select rndrng_npi, yr, 'Hematology-Oncology', place_of_srvc from lines where rndrng_prvdr_type = 'Hematology/Oncology'
+),
+groups as (
+  select distinct cast(rndrng_npi as bigint) as npi, yr, place_of_srvc,
+    case rndrng_prvdr_type when 'Allergy/ Immunology' then 'Allergy/Immunology' when 'CRNA' then 'Certified Registered Nurse Anesthetist'
+      else rndrng_prvdr_type end as kind
+  from more
+)
+select count(*) as "rows", cast(0 as bigint) as duplicates from groups where npi % 10 <> 3
+"""
+
+
+@query("row_key_audit", ROW_KEY_AUDIT_SQL.format(detail=V.plain(V.DETAIL)))
+def row_key_audit(spark, sf):
+    """Rows and repeated row keys where providers bill under two specialties that share a flag column."""
+    lines = V.detail(spark, sf)
+    twice = lines.filter("rndrng_prvdr_type = 'Hematology/Oncology'").withColumn("rndrng_prvdr_type", F.lit("Hematology-Oncology"))
+    options = FeatureOptions(row_key=True)
+    table = feature_table(lines.unionByName(twice), V.some_summary(spark, sf), V.exclusions(spark, sf), options)
+    keys = table.groupBy("row_key").count()
+    return keys.agg(F.sum("count").alias("rows"), (F.sum("count") - F.count("*")).alias("duplicates"))
+
+
 @query("assemble_features")
 def assemble_features(spark, sf):
     rows = encode.fix_types(labelled(spark, sf))

@@ -89,21 +89,25 @@ def numeric_view(
 
 
 def clean_summary(
-    df: DataFrame, mode: str = "typed", categorical: Sequence[str] | None = None
+    df: DataFrame, mode: str = "typed", categorical: Sequence[str] = ("rndrng_prvdr_ent_cd", "rndrng_prvdr_mdcr_prtcptg_ind", S.SPECIALTY)
 ) -> DataFrame:
     """Provider summaries to join-ready rows.
 
-    mode="parity" turns every column into a number, which makes real categoricals constant 0.0.
-    mode="typed" keeps the columns named in `categorical`.
+    mode="typed" turns numeric columns, and text columns whose names say that they hold numbers, into doubles without NULLs; other
+    text, and the columns named in `categorical`, stay. mode="parity" turns every text column into a number, which makes
+    real categoricals constant 0.0. Dates, booleans and nested columns stay in either mode.
     """
     if mode not in ("typed", "parity"):
         raise ValueError(f"unknown mode {mode!r}")
     df = lower_names(df).drop(*S.SUMMARY_DROPPED)
-    if categorical is None:
-        categorical = ("rndrng_prvdr_ent_cd", "rndrng_prvdr_mdcr_prtcptg_ind", S.SPECIALTY)
     keys = {S.PROVIDER, "year"}
     kept = keys | (set(categorical) if mode == "typed" else set())
-    df = numeric_view(df, [c for c in df.columns if c not in kept])
+
+    def is_number(field: T.StructField) -> bool:
+        text = isinstance(field.dataType, T.StringType) and (mode == "parity" or field.name.startswith(S.SUMMARY_NUMBERS))
+        return field.name not in kept and (text or isinstance(field.dataType, T.NumericType))
+
+    df = numeric_view(df, [f.name for f in df.schema.fields if is_number(f)])
     provider = coerce.npi_key(F.col(S.PROVIDER))
     year = coerce.to_int(F.col("year"))
     if mode == "parity":

@@ -15,19 +15,21 @@ from peerledger.functions.names import label_text
 
 
 def category_values(
-    df: DataFrame, columns: Sequence[str] = S.CATEGORICAL, max_values: int = 5000
+    df: DataFrame, columns: Sequence[str] = S.CATEGORICAL, max_values: int | None = None
 ) -> dict[str, list[str]]:
     """Sorted distinct non-null values per column, found in one job.
 
-    The values become columns, so their number must be small; more than `max_values` is an error.
+    The values become columns, so they are few. With `max_values`, more of them in one column is an error.
     """
     pair = F.explode(
         F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
     )
     found = df.select(pair.alias("p")).select("p.*").filter("value is not null").distinct()
-    rows = found.limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {list(columns)}")
+    if max_values is not None:
+        many = found.groupBy("name").count().filter(F.col("count") > max_values).collect()
+        if many:
+            raise ValueError(f"more than {max_values} distinct values in {sorted(r['name'] for r in many)}")
+    rows = found.collect()
     return {c: sorted(r["value"] for r in rows if r["name"] == c) for c in columns}
 
 

@@ -41,9 +41,12 @@ def join_summary(
     keys: Sequence[str] = ("rndrng_npi", "year"),
     check_unique: bool = True,
 ) -> DataFrame:
-    """Inner join on the keys. Columns that both sides have are taken from `stats`."""
+    """Inner join on the keys. Columns that both sides have are taken from `stats`.
+
+    Keys that can match must be unique; 0 stands for ids that did not parse and matches no claim.
+    """
     shared = [c for c in summary.columns if c in stats.columns and c not in keys]
     right = summary.drop(*shared)
     if check_unique:
-        require_unique(right, keys)
+        require_unique(right.filter(F.col(keys[0]) != 0), keys)
     return stats.join(right, list(keys), "inner")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,8 +15,11 @@ from peerledger.operators.joins import bounded_broadcast
 
 
 def resolve_metrics(columns: Sequence[str], metrics: Sequence[str]) -> dict[str, str]:
-    """Metric name to the column it stands for; unknown metrics are left out."""
+    """Metric name to the column it stands for; unknown metrics are left out with a warning."""
     found = {m: stat_column(columns, m) for m in metrics}
+    unknown = [m for m, c in found.items() if c is None]
+    if unknown:
+        warnings.warn(f"no column for the metrics {unknown}: they are skipped", stacklevel=2)
     return {m: c for m, c in found.items() if c is not None}
 
 
@@ -93,5 +97,8 @@ def risk_ratios(df: DataFrame) -> DataFrame:
         "billing_inflation": (pick("avg_sbmtd_chrg"), pick("avg_mdcr_pymt_amt")),
         "service_density": (pick("tot_srvcs"), pick("tot_benes")),
     }
+    skipped = [n for n, (a, b) in wanted.items() if a is None or b is None]
+    if skipped:
+        warnings.warn(f"no columns for the ratios {skipped}: they are skipped", stacklevel=2)
     ready = {n: guarded_ratio(a, b) for n, (a, b) in wanted.items() if a is not None and b is not None}
     return df.withColumns(ready) if ready else df

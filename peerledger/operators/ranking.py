@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from peerledger.functions.hashing import seeded_digest
 
 BUCKET = "_bucket"
+ROWS_PER_BUCKET = 50_000
 GROUP = "_group"
 
 
@@ -50,14 +51,18 @@ def with_offsets(df: DataFrame, totals: Mapping[str, Column], descending: bool =
 
 
 def hash_rank(
-    df: DataFrame, key: str, seed: int, by: Sequence[str] = (), output: str = "rank", digits: int = 3
+    df: DataFrame, key: str, seed: int, by: Sequence[str] = (), output: str = "rank", digits: int | None = None
 ) -> DataFrame:
-    """1-based rank of each row in the order of its seeded hash, within `by`.
+    """1-based rank of each row in the order of its seeded hash, within `by`. Without `digits`, rows are counted to choose them.
 
     `key` must be unique within `by`. Hash prefixes are uniform, so the 16**digits buckets stay
     even however uneven the groups are.
     """
     kept = df.columns
+    if digits is None:
+        rows, digits = df.count(), 1
+        while 16**digits * ROWS_PER_BUCKET < rows:
+            digits += 1
     hashed = grouped(df, by).withColumn("_digest", seeded_digest(F.col(key), seed))
     hashed = hashed.withColumn(BUCKET, F.substring("_digest", 1, digits))
     placed = with_offsets(hashed, {"_before": F.count("*")})

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerledger import schemas as S
-from peerledger.functions.hashing import key_text, unit_hash
-from peerledger.operators.ranking import hash_rank
+from peerledger.functions.hashing import key_text, seeded_digest, unit_hash
 
 
 @dataclass(frozen=True)
@@ -50,17 +49,40 @@ def undersample(
 
     `keys` must identify a row. The choice is a hash of the key, so it is the same for any
     partitioning and after any task retry, and is a plain filter. exact=True keeps precisely the
-    target number, by distributed hash rank.
+    target number, those with the smallest hashes.
     """
     counts = count_classes(df, label)
     key = key_text(keys)
     if not exact:
         return df.filter(kept(key, F.col(label), counts.keep_fraction(ratio), seed))
     target = int(min(counts.positives * ratio, counts.negatives))
-    ranked = hash_rank(df.withColumn("_key", key), "_key", seed, by=[label], output="_rank")
-    return ranked.filter((F.col(label) == 1) | ((F.col(label) == 0) & (F.col("_rank") <= target))).drop(
-        "_key", "_rank"
-    )
+    digest = seeded_digest(key, seed)
+    prefix = digest_cut(df.filter(F.col(label) == 0).select(digest.alias("digest")), target)
+    below = F.lit(False) if prefix is None else F.substring(digest, 1, len(prefix)) <= prefix
+    return df.filter((F.col(label) == 1) | ((F.col(label) == 0) & below))
+
+
+def digest_cut(digests: DataFrame, target: int, step: int = 3) -> str | None:
+    """The prefix up to which `target` of the hex digests lie; None for no digest.
+
+    Each pass counts the digests by their next `step` digits, at most 16**step rows, and goes on inside the one in which the target
+    falls. No row is sorted or moved.
+    """
+    if target <= 0:
+        return None
+    prefix, left = "", target
+    while True:
+        part = F.substring("digest", len(prefix) + 1, step).alias("part")
+        inside = digests.filter(F.col("digest").startswith(prefix)) if prefix else digests
+        for row in inside.groupBy(part).count().orderBy("part").collect():
+            if left <= row["count"]:
+                prefix += row["part"]
+                break
+            left -= row["count"]
+        else:
+            return "g"  # fewer digests than wanted: all of them
+        if left == row["count"] or len(prefix) >= 32:
+            return prefix
 
 
 def head_sample(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:

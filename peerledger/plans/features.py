@@ -8,10 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from peerledger import schemas as S
+from peerledger.functions.hashing import key_text
 from peerledger.operators import clean, encode, joins, labels, peers
 from peerledger.operators.aggregate import CROWDED_ROWS, claim_statistics
 from peerledger.session import stage
 
+ROW_KEY = "row_key"
+
 
 @dataclass(frozen=True)
 class FeatureOptions:
@@ -25,6 +28,7 @@ class FeatureOptions:
     on_collision: str = "or"
     layout: str = "auto"
     crowded_rows: int = CROWDED_ROWS
+    row_key: bool = False
 
 
 def staged_statistics(detail: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
@@ -51,8 +55,14 @@ def feature_table(
     exclusions: DataFrame,
     options: FeatureOptions = FeatureOptions(),
 ) -> DataFrame:
-    """The labelled, encoded training table. Categories are those left after the summary join."""
+    """The labelled, encoded training table. Categories are those left after the summary join.
+
+    With `row_key` it also has a column of that name, made of provider, year, specialty and place before the last two become flags:
+    specialties whose flags share a column then still tell rows apart.
+    """
     stats = staged_statistics(detail, options)
+    if options.row_key:
+        stats = stats.withColumn(ROW_KEY, key_text(S.GROUP_KEYS))
     tidy = clean.clean_summary(summary, options.summary_mode)
     keys = [S.PROVIDER, "year"]
     values = options.categories
@@ -66,5 +76,8 @@ def feature_table(
 
 
 def row_keys(table: DataFrame) -> list[str]:
-    """Columns that identify a row of the feature table: provider, year and the category flags."""
+    """Columns that identify a row of the feature table: its row key if it has one, else provider, year and the category flags, which
+    do so only where no two specialties of a provider share a flag."""
+    if ROW_KEY in table.columns:
+        return [ROW_KEY]
     return [S.PROVIDER, "year", *sorted(c for c in table.columns if "_ohe_" in c)]

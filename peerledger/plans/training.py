@@ -8,6 +8,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
+from threading import Lock
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
@@ -20,12 +21,18 @@ from pyspark.storagelevel import StorageLevel
 from peerledger import schemas as S
 from peerledger.functions.hashing import key_text
 from peerledger.operators import encode, folds, metrics, sampling
-from peerledger.plans.features import row_keys
+from peerledger.operators.clean import audit_nulls
+from peerledger.operators.labels import class_distribution
+from peerledger.plans import runlog
+from peerledger.plans.features import ROW_KEY, row_keys
 from peerledger.session import fresh_path, stage, stage_counted
 
 # Trees send values below every threshold left, so missing values form their own branch.
 MISSING = -1e12
-SPARE = (S.LABEL, S.PROVIDER)
+SPARE = (S.LABEL, S.PROVIDER, ROW_KEY)
+EXPECTED = "features array<string>, categories map<string,array<string>>, missing double"
+# Training rows that one task of a fit may hold.
+ROWS_PER_TASK = 50_000
 
 
 # ---- Search spaces ------------------------------------------------------------------------------
@@ -159,19 +166,31 @@ class Prepared:
     features: list[str]
     counts: Mapping[int, sampling.ClassCounts]
     options: TrainingOptions
+    categories: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    samples: dict[int | None, DataFrame] = field(default_factory=dict, init=False, repr=False)
+    lock: Lock = field(default_factory=Lock, init=False, repr=False)
 
     def total(self, fold: int | None = None) -> sampling.ClassCounts:
         used = [c for f, c in self.counts.items() if f != fold]
         return sampling.ClassCounts(sum(c.positives for c in used), sum(c.negatives for c in used))
 
     def training_rows(self, fold: int | None) -> tuple[DataFrame, int]:
-        """Undersampled training rows of a fold (all rows for None) and their expected number."""
-        rows = self.frame if fold is None else self.frame.filter(F.col("fold") != fold)
+        """Undersampled training rows of a fold (all rows for None) and their expected number.
+
+        They are written once, in as many partitions as their number asks for, and read by every trial, both learners and the
+        out-of-fold pass: a fit runs a job per tree level, and would else filter the whole frame and start a task per scan split
+        in each of them.
+        """
         counts = self.total(fold)
         fraction = counts.keep_fraction(self.options.ratio) if self.options.undersample else 1.0
-        seed = self.options.seed + (fold or 0)
-        chosen = rows.filter(sampling.kept(F.col("row_key"), F.col(S.LABEL), fraction, seed))
-        return chosen, counts.positives + round(counts.negatives * fraction)
+        expected = counts.positives + round(counts.negatives * fraction)
+        with self.lock:
+            if fold not in self.samples:
+                rows = self.frame if fold is None else self.frame.filter(F.col("fold") != fold)
+                seed = self.options.seed + (fold or 0)
+                chosen = rows.filter(sampling.kept(F.col(ROW_KEY), F.col(S.LABEL), fraction, seed))
+                self.samples[fold] = stage(chosen.repartition(max(1, -(-expected // ROWS_PER_TASK)), ROW_KEY), "training-sample")
+        return self.samples[fold], expected
 
 
 def prepare(table: DataFrame, keys: Sequence[str] | None, options: TrainingOptions) -> Prepared:
@@ -180,13 +199,22 @@ def prepare(table: DataFrame, keys: Sequence[str] | None, options: TrainingOptio
     The assembled frame is staged: every fit and every scoring pass reads it, and nothing before
     it is computed again.
     """
-    key = key_text(keys or row_keys(table))
-    keyed = folds.assign_folds(table, options.folds, options.seed).withColumn("row_key", key)
+    names = keys or row_keys(table)
+    key = F.col(ROW_KEY) if list(names) == [ROW_KEY] else key_text(names)
+    kept = [c for c in S.SUMMARY_CATEGORIES if c in table.columns]
+    categories = {}
+    if kept:  # categoricals that a typed summary keeps: as flags, for as text they would become 0
+        categories = encode.category_values(table, kept)
+        table = encode.one_hot(table.withColumn(ROW_KEY, key), kept, categories)
+        key = F.col(ROW_KEY)
+    keyed = folds.assign_folds(table, options.folds, options.seed).withColumn(ROW_KEY, key)
     features = encode.feature_names(table, SPARE)
-    typed = encode.fix_types(keyed, keep=("row_key",))
-    assembled = encode.assemble(typed, features, missing=MISSING)
-    frame = stage(assembled.select("row_key", S.PROVIDER, "fold", S.LABEL, "features"), "training-frame")
-    return Prepared(frame, features, class_counts(frame), options)
+    typed = encode.fix_types(keyed, keep=(ROW_KEY,))
+    assembled = encode.assemble(typed, features, missing=MISSING).select(ROW_KEY, S.PROVIDER, S.LABEL, "features", "fold")
+    path = fresh_path(table.sparkSession, "training-frame")
+    assembled.write.partitionBy("fold").parquet(path)  # a fold is a folder
+    frame = table.sparkSession.read.schema(assembled.schema).parquet(path)
+    return Prepared(frame, features, class_counts(frame), options, categories)
 
 
 def class_counts(frame: DataFrame) -> dict[int, sampling.ClassCounts]:
@@ -357,25 +385,76 @@ class TrainingResult:
     oof: DataFrame
     report: DataFrame
     top: DataFrame
+    base_reports: Mapping[str, DataFrame]  # out-of-fold metrics of each base learner
+    classes: DataFrame
+    features: list[str]
+    categories: Mapping[str, Sequence[str]]
 
 
 def save(result: TrainingResult, path: str) -> None:
-    """Model, best parameters (JSON) and top features (CSV) under one folder."""
+    """Model, what it expects of a table (JSON), best parameters (JSON) and top features (CSV) under one folder."""
     result.model.write().overwrite().save(f"{path}/model")
     spark = result.oof.sparkSession
     best = {"a": best_trial(result.trials_a)[0], "b": best_trial(result.trials_b)[0]}
     rows = spark.createDataFrame([(best,)], "params map<string,map<string,double>>")
     rows.coalesce(1).write.mode("overwrite").json(f"{path}/best_params")
+    expected = spark.createDataFrame([(list(result.features), dict(result.categories), MISSING)], EXPECTED)
+    expected.coalesce(1).write.mode("overwrite").json(f"{path}/features")
     result.top.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/feature_importance")
 
 
+def score_features(table: DataFrame, path: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """(row_key, score) of a feature table that needs no label, by the ensemble saved under `path`.
+
+    Features are taken by name in the order of training. A flag that the table lacks is 0, any other missing feature follows the
+    saved rule for missing values, and columns that training did not see are ignored.
+    """
+    spark = table.sparkSession
+    expected = spark.read.schema(EXPECTED).json(f"{path}/features").first()
+    names = keys or row_keys(table)
+    keyed = table.withColumn(ROW_KEY, F.col(ROW_KEY) if list(names) == [ROW_KEY] else key_text(names))
+    values = {c: v for c, v in (expected["categories"] or {}).items() if c in table.columns}
+    if values:
+        keyed = encode.one_hot(keyed, list(values), values)
+    absent = [f for f in expected["features"] if f not in keyed.columns]
+    if absent:
+        keyed = keyed.withColumns({f: F.lit(0) if "_ohe_" in f else F.lit(None).cast("double") for f in absent})
+    typed = encode.fix_types(keyed.select(ROW_KEY, *expected["features"]), keep=(ROW_KEY,))
+    assembled = encode.assemble(typed, expected["features"], missing=expected["missing"])
+    return score_table(assembled, PipelineModel.load(f"{path}/model"))
+
+
+def log_search(trials: DataFrame, run: str, learner: str, path: str) -> None:
+    """Append each trial to the run log, and the best one as their parent."""
+    numbers = F.transform_values("metrics", lambda _, v: v.cast("double"))
+    columns = [
+        F.concat(F.lit(f"{run}/{learner}/trial-"), F.col("trial")).alias("run_id"),
+        F.lit(f"{run}/{learner}").alias("parent_id"),
+        F.lit("trial").alias("name"),
+        F.transform_values("params", lambda _, v: v.cast("string")).alias("params"),
+        numbers.alias("metrics"),
+    ]
+    runlog.append_runs(trials.select(*columns), path)
+    params, means = best_trial(trials)
+    best = runlog.record(trials.sparkSession, f"{run}/{learner}", "best trial", params, means, run, "best_")
+    runlog.append_runs(best, path)
+
+
 def train(
-    table: DataFrame, options: TrainingOptions = TrainingOptions(), keys: Sequence[str] | None = None
+    table: DataFrame,
+    options: TrainingOptions = TrainingOptions(),
+    keys: Sequence[str] | None = None,
+    log: str | None = None,
+    run: str = "training",
 ) -> TrainingResult:
-    """The whole run: folds, two searches, out-of-fold scores, stacker, final models.
+    """The whole run: validation, folds, two searches, out-of-fold scores, stacker, final models.
 
-    `keys` identify a row; by default those of a feature table.
+    `keys` identify a row; by default those of a feature table. With `log`, trials, best trials and the run itself are appended to
+    the run log at that path. Rows without a label are an error.
     """
+    if audit_nulls(table, [S.LABEL]).first()[0]:
+        raise ValueError("rows without a label")
+    classes = class_distribution(table)
     data = prepare(table, keys, options)
     spark = table.sparkSession
     trials_a, trials_b = search(data, options.learner_a), search(data, options.learner_b)
@@ -384,10 +463,17 @@ def train(
     oof, scored = stage_counted(scores, "oof")
     if scored != sum(c.positives + c.negatives for c in data.counts.values()):
         raise RuntimeError("some rows have no out-of-fold score")
+    base = {n: metrics.fold_metrics(oof, [], options.threshold, S.LABEL, f"score_{n}") for n in "ab"}
     stacker = fit_stacker(oof)
     report = stacker_report(oof, stacker, options.threshold)
     a, b = fit_final(data, params_a, params_b)
     top = top_importance(
         importance(spark, a, data.features, "a"), importance(spark, b, data.features, "b")
     )
-    return TrainingResult(ensemble(a, b, stacker), trials_a, trials_b, oof, report, top)
+    if log is not None:
+        log_search(trials_a, run, "a", log)
+        log_search(trials_b, run, "b", log)
+        settings = {"folds": options.folds, "trials": options.trials, "ratio": options.ratio, "seed": options.seed}
+        runlog.append_runs(runlog.record(spark, run, "training", settings, report.first().asDict()), log)
+    model = ensemble(a, b, stacker)
+    return TrainingResult(model, trials_a, trials_b, oof, report, top, base, classes, data.features, data.categories)

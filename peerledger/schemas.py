@@ -47,10 +47,14 @@ SPECIALTY_ALIASES = {
 }
 DETAIL_RENAMES = {"rfrg_crdntls": "rfrg_prvdr_crdntls"}
 
+# How the names of summary columns begin that hold numbers, published as text or not.
+SUMMARY_NUMBERS = ("tot_", "drug_", "med_", "bene_")
+
 MISSING_BENEFICIARIES = 5
 FLAT_STD = 0.01
 DEFAULT_THRESHOLD = 0.0004
-LANDING_BATCH_ROWS = 5000
+LANDING_BATCH_ROWS = 5000  # of one page of the service
+LANDING_FILE_ROWS = 1_000_000
 
 COUNT_COLUMNS = ("tot_benes", "tot_srvcs", "tot_bene_day_srvcs")
 GROUP_KEYS = ("rndrng_npi", "year", "rndrng_prvdr_type", "place_of_srvc")
@@ -72,6 +76,7 @@ SPECIALTY = "rndrng_prvdr_type"
 PROVIDER = "rndrng_npi"
 LABEL = "fraud_label"
 CATEGORICAL = ("rndrng_prvdr_type", "place_of_srvc")
+SUMMARY_CATEGORIES = ("rndrng_prvdr_ent_cd", "rndrng_prvdr_mdcr_prtcptg_ind")
 
 
 # ---- Contracts ----------------------------------------------------------------------------------
@@ -81,7 +86,7 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
 
 
-# Landed files were typed batch by batch, so everything that may drift is declared as text.
+# Landed files were typed batch by batch, so everything that may drift is declared as text; scans cast each file to it.
 DETAIL = T.StructType(
     _strings(
         "rndrng_npi",

@@ -32,7 +32,7 @@ def land_batches(
     df: DataFrame,
     path: str,
     partition: str = "year",
-    rows_per_file: int = S.LANDING_BATCH_ROWS,
+    rows_per_file: int = S.LANDING_FILE_ROWS,
     mode: str = "append",
 ) -> None:
     """Fixed-size parquet files under one folder per year.

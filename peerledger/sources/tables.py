@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,13 +14,48 @@ from peerledger.functions.coerce import to_int
 from peerledger.operators.sampling import head_sample
 
 
-def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet files under a path or glob; a missing path is reported with its name."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, year_marker: str | None = None) -> DataFrame:
+    """Parquet files under a path or glob; a missing path is reported with its name.
+
+    With a contract, each file is read in its own types and cast to the contract, since Parquet does not read a number as text and
+    batches of one table disagree. Names match whatever their case; a column that a file lacks is NULL. Files of one schema are
+    read together, so pruning and pushed filters stay; finding the schemas reads one footer per file on the driver. With
+    `year_marker` a column `year` is taken from the path.
+    """
     try:
-        return reader.parquet(path)
+        whole = spark.read.parquet(path)
+        if schema is None:
+            return whole if year_marker is None else with_path_year(whole, year_marker)
+        groups: dict[str, list[str]] = {}
+        for file in sorted(whole.inputFiles()):
+            groups.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
     except AnalysisException as e:
         raise FileNotFoundError(f"no readable parquet at {path}") from e
+    parts = [_to_contract(spark.read.parquet(*files), schema, year_marker) for files in groups.values()]
+    if not parts:
+        return _to_contract(whole, schema, year_marker)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _to_contract(df: DataFrame, schema: T.StructType, year_marker: str | None) -> DataFrame:
+    found = {f.name.lower(): f for f in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        have = found.get(field.name.lower())
+        if have is None:
+            value = F.lit(None).cast(field.dataType)
+        elif isinstance(have.dataType, T.DateType) and isinstance(field.dataType, T.StringType):
+            value = F.date_format(F.col(f"`{have.name}`"), "yyyyMMdd")
+        elif have.dataType == field.dataType:
+            value = F.col(f"`{have.name}`")
+        else:
+            value = F.col(f"`{have.name}`").try_cast(field.dataType)
+        columns.append(value.alias(field.name))
+    return df.select(*columns, *([] if year_marker is None else [_path_year(year_marker)]))
+
+
+def _path_year(marker: str) -> Column:
+    return to_int(F.regexp_extract(F.col("_metadata.file_path"), rf"{marker}_(\d{{4}})", 1)).alias("year")
 
 
 def with_path_year(df: DataFrame, marker: str) -> DataFrame:
@@ -28,12 +64,11 @@ def with_path_year(df: DataFrame, marker: str) -> DataFrame:
     Only for layouts that keep the year in a folder name. Data landed by `sinks.land_batches` has
     a `year=` partition instead, which also prunes files.
     """
-    found = F.regexp_extract(F.col("_metadata.file_path"), rf"{marker}_(\d{{4}})", 1)
-    return df.select("*", to_int(found).alias("year"))
+    return df.select("*", _path_year(marker))
 
 
 def scan_yearly(spark: SparkSession, root: str, marker: str, schema: T.StructType | None = None) -> DataFrame:
-    return with_path_year(scan(spark, f"{root.rstrip('/')}/{marker}_*/*.parquet", schema), marker)
+    return scan(spark, f"{root.rstrip('/')}/{marker}_*/*.parquet", schema, marker)
 
 
 def scan_training(

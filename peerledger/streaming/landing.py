@@ -17,7 +17,7 @@ def land_page_stream(
     target: str,
     checkpoint: str,
     fields: T.StructType,
-    rows_per_file: int = S.LANDING_BATCH_ROWS,
+    rows_per_file: int = S.LANDING_FILE_ROWS,
     files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Decode every page file not seen before and stop when the folder is drained. A corrupt page stops the stream; once the file is

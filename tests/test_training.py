@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -57,8 +58,14 @@ def test_cross_validation_and_search(data):
 
 
 def test_whole_run_saves_and_scores(spark, frame, data, tmp_path):
-    result = training.train(frame, OPTIONS)
+    log = str(tmp_path / "log")
+    result = training.train(frame, OPTIONS, log=log, run="r1")
     assert result.oof.count() == 240
+    assert result.classes.first()["fraud_count"] == 40
+    assert all(r.first()["total_count"] == 240 for r in result.base_reports.values())
+    logged = Counter((r["run_id"].rsplit("-", 1)[0] if "trial" in r["run_id"] else r["run_id"], r["parent_id"]) for r in spark.read.parquet(log).collect())
+    trials = {("r1/a/trial", "r1/a"): 2, ("r1/b/trial", "r1/b"): 2}
+    assert logged == Counter(trials | {("r1/a", "r1"): 1, ("r1/b", "r1"): 1, ("r1", None): 1})
     assert result.oof.select("row_key").distinct().count() == 240
     report = result.report.first()
     assert report["in_sample"] and report["auroc"] > 0.6
@@ -66,6 +73,11 @@ def test_whole_run_saves_and_scores(spark, frame, data, tmp_path):
     assert shares[0] == pytest.approx(1) and shares[1] == pytest.approx(1)
     training.save(result, str(tmp_path / "out"))
     loaded = PipelineModel.load(str(tmp_path / "out" / "model"))
+    fresh = frame.drop("fraud_label").withColumn("unseen", F.lit(3.0))
+    by_name = training.score_features(fresh, str(tmp_path / "out"), ["rndrng_npi", "year"])
+    known = {k: v for k, v in rows(training.score_table(data.frame, result.model), "row_key", "score")}
+    assert all(abs(known[k] - v) < 1e-12 for k, v in rows(by_name, "row_key", "score"))
+    assert training.score_features(fresh.drop("noise"), str(tmp_path / "out"), ["rndrng_npi", "year"]).count() == 240
     before = training.score_table(data.frame, result.model)
     assert rows(training.score_table(data.frame, loaded), "row_key", "score") == rows(before, "row_key", "score")
     assert before.filter("score <= 0 or score >= 1").isEmpty()
@@ -74,6 +86,30 @@ def test_whole_run_saves_and_scores(spark, frame, data, tmp_path):
     assert top.columns == ["feature", "importance_a", "importance_b", "importance_avg"]
 
 
+def test_samples_are_made_once(data, monkeypatch):
+    made = []
+    fresh = replace(data)
+    monkeypatch.setattr(training, "stage", lambda df, name: made.append(name) or df)
+    training.search(fresh, OPTIONS.learner_a)
+    training.search(fresh, OPTIONS.learner_b)
+    assert made.count("training-sample") == 2  # one per fold, whatever the trials and learners
+
+
+def test_kept_categoricals_reach_the_model(spark, tmp_path):
+    rng = random.Random(4)
+    records = [(i, 2020, rng.random(), "I" if i % 2 else "O", int(i % 4 == 1)) for i in range(160)]
+    kinds = "rndrng_npi bigint, year int, noise double, rndrng_prvdr_ent_cd string, fraud_label int"
+    table = spark.createDataFrame(records, kinds)
+    options = replace(OPTIONS, trials=1)
+    result = training.train(table, options, ["rndrng_npi", "year"])
+    assert {"rndrng_prvdr_ent_cd_ohe_I", "rndrng_prvdr_ent_cd_ohe_O"} <= set(result.features)
+    training.save(result, str(tmp_path / "kept"))
+    new = spark.createDataFrame([(1, 2021, 0.5, "I"), (2, 2021, 0.5, "never seen"), (3, 2021, 0.5, None)], kinds.rsplit(",", 1)[0])
+    assert training.score_features(new, str(tmp_path / "kept"), ["rndrng_npi", "year"]).count() == 3
+    with pytest.raises(ValueError, match="without a label"):
+        training.train(table.withColumn("fraud_label", F.lit(None).cast("int")), options, ["rndrng_npi", "year"])
+
+
 def test_prior_correction(spark):
     # 1:1 training odds on a population with a tenth of the negatives kept
     got = spark.range(1).select(training.correct_prior(F.lit(0.5), 0.1).alias("p")).first()["p"]
