@@ -17,6 +17,7 @@ from peerledger.operators.ranking import BUCKET, GROUP, grouped, with_offsets
 from peerledger.session import stage
 
 PAGES_PER_BUCKET = 1024
+BROKEN = "_broken"
 
 
 def _text_fields(fields: T.StructType) -> T.StructType:
@@ -27,18 +28,21 @@ def _parsed(pages: DataFrame, fields: T.StructType) -> DataFrame:
     """Pages with `records` (array of text structs; NULL on a corrupt page), `declared` and the payload. Each is parsed once."""
     record = T.ArrayType(_text_fields(fields))
     meta = T.StructType([T.StructField("totalCount", T.LongType())])
-    envelope = T.StructType([T.StructField("data", record), T.StructField("meta", meta)])
+    # A page that breaks off after its records still yields them; the text of a broken page shows in a column of its own.
+    envelope = T.StructType([T.StructField("data", record), T.StructField("meta", meta), T.StructField(BROKEN, T.StringType())])
     bare = F.substring(F.ltrim(F.col("payload")), 1, 1) == "["
     wrapped = F.when(
         bare,
         F.struct(
-            F.from_json("payload", record).alias("data"), F.lit(None).cast(meta).alias("meta")
+            F.from_json("payload", record).alias("data"),
+            F.lit(None).cast(meta).alias("meta"),
+            F.lit(None).cast("string").alias(BROKEN),
         ),
-    ).otherwise(F.from_json("payload", envelope))
+    ).otherwise(F.from_json("payload", envelope, {"columnNameOfCorruptRecord": BROKEN}))
     return pages.select("year", "offset", "payload", wrapped.alias("page")).select(
         "year",
         "offset",
-        F.col("page.data").alias("records"),
+        F.when(F.col(f"page.{BROKEN}").isNull(), F.col("page.data")).alias("records"),
         F.col("page.meta.totalCount").alias("declared"),
         "payload",
     )

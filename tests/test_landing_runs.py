@@ -48,7 +48,8 @@ def test_audit_finds_gaps_short_pages_repeats_and_equal_years(spark):
 
 
 def test_corrupt_pages_are_never_lost(spark):
-    broken = [(2020, 4, '[{"id": 4'), (2021, 0, None), (2022, 0, "oops")]
+    cut = page(2020, 4, records(4, 2), True, 6)[2][:-5]  # all records are there, the end is not
+    broken = [(2020, 4, cut), (2021, 0, None), (2022, 0, "oops")]
     df = landed(spark, page(2020, 0, records(0, 2)), page(2020, 2, records(2, 2)), *broken, page(2022, 1, records(1, 3)), page(2022, 3, records(3, 2), True, 9))
     with pytest.raises(Exception, match="corrupt page: year 202"):
         pages.decode_pages(df, FIELDS).collect()
