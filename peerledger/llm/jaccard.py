@@ -4,13 +4,14 @@
 2. Shingles have one order for all: those frequent in a sample of the documents last, others by hash. Two sets that are similar
    enough share DEPTH of their first n - need + DEPTH shingles (fewer for tiny sets), which are therefore all that is
    shuffled; the order decides the cost and never the result.
-3. Classes are grouped: those with the same smallest hash elect a leader and join it if they are similar to it, in rounds. A group is
-   connected, so it needs no pairs inside. Groups are cut into parts of at most PART members.
+3. Classes are grouped: where more than LEAD share a smallest hash, they elect a leader and join it if they are similar to it. Such a
+   group is connected, so it needs no pairs inside. The others form loose groups by their smallest hash, whose own links are looked
+   for too. Groups are cut into parts of about PART members.
 4. The token-group matrix holds, per shingle, the parts whose union has it. A class reads the rows of its own first shingles: a
    part qualifies for it if enough of them are there.
-5. Only qualifying parts are opened, one task per part and slice of its queries: the union of the members' whole sets bounds the
-   overlap, then members are compared until one link is found. One link joins two connected groups, so no link between
-   different components is lost and no group emits its pairs.
+5. Only qualifying parts are opened, one task per part and slice of its queries, from their compressed texts: the union of the members' whole sets bounds the
+   overlap, then members are compared until a query has one link to each connected set of them. No link between different
+   components is lost, and no group emits its pairs.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peerledger.llm.bits import bit_table, marked
+from peerledger.llm.bpe import compressed
 from peerledger.llm.components import components
 from peerledger.llm.words import slices
 from peerledger.session import stage, stage_counted
@@ -31,10 +34,11 @@ from peerledger.session import stage, stage_counted
 DEPTH = 4
 PART = 256
 QUERIES = 1024
-ROUNDS = 3
+LEAD = 8  # classes sharing a smallest hash, from which on they elect a leader
+FIRST_BITS = 48  # kept of a first shingle: sharing one by chance adds a candidate and costs no link
 ROOTS = 3  # smallest hashes kept per class
-FREQUENT_SAMPLE = 8  # one document in so many is looked at for frequent shingles
-FREQUENT_ROWS = 4
+FREQUENT_SAMPLE = 32  # one document in so many is looked at for frequent shingles
+FREQUENT_ROWS = 3
 FREQUENT_KEPT = 200_000
 SLICE_CHARS = 2_000_000
 STEP = 0x9E3779B97F4A7C15
@@ -149,12 +153,12 @@ def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequ
             first = np.minimum(n, n - needed(n, percent) + depth)
             kept = order[place < first[owner]]
             some = [c.slice(begin, end - begin) for c in batch.columns[:carried]]
-            numbers = [pa.array(n), *(pa.array(s.view(np.int64)) for s in (*sums, *roots)), _lists(tokens[kept], first)]
+            numbers = [pa.array(n), *(pa.array(s.view(np.int64)) for s in (*sums, *roots)), _lists(tokens[kept] >> np.uint64(64 - FIRST_BITS), first)]
             yield pa.RecordBatch.from_arrays([*some, *numbers], [*batch.schema.names[:carried], "n", "a", "b", *(f"root{r}" for r in range(ROOTS)), "first"])
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted) -> Iterator[pa.RecordBatch]:
-    """(a, b, tokens) of the texts whose set may be wanted: `wanted` is a bit table over set identities."""
+    """(a, b, body) of the texts whose set may be wanted: `wanted` is a bit table over set identities."""
     bits = wanted.value
     for batch in batches:
         texts = [t or "" for t in batch.column(0).to_pylist()]
@@ -166,35 +170,26 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted) -> Itera
                 continue
             a = np.add.reduceat(mixed(tokens + np.uint64(1)), start)
             b = np.add.reduceat(mixed(tokens ^ np.uint64(STEP)), start)
-            slot = a & np.uint64(8 * len(bits) - 1)
             _, once = np.unique(a, return_index=True)
             keep = np.zeros(len(a), bool)
             keep[once] = True
-            keep &= (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            sizes = n[n > 0]
-            held = tokens[np.repeat(keep, sizes)]
-            columns = [pa.array(a[keep].view(np.int64)), pa.array(b[keep].view(np.int64)), _lists(held, sizes[keep])]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "tokens"])
+            keep &= marked(bits, a)
+            some = np.flatnonzero(n > 0)[keep]
+            bodies = [compressed(texts[begin + i].encode()) for i in some.tolist()]
+            columns = [pa.array(a[keep].view(np.int64)), pa.array(b[keep].view(np.int64)), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "body"])
 
 
 WANTED_BITS = 2**23
 
 
-def _bit_table(classes: DataFrame) -> np.ndarray:
-    """A table of fixed size with a bit set for each class's identity; it only spares work, an exact join follows."""
-    slot = F.col("a").bitwiseAND(WANTED_BITS - 1)
-    words = classes.select(F.shiftright(slot, 5).alias("word"), F.expr(f"shiftleft(1L, cast((a & {WANTED_BITS - 1}) & 31 as int))").alias("bit"))
-    table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most WANTED_BITS / 32 rows
-    packed = np.zeros(WANTED_BITS // 32, "<u4")
-    packed[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.uint32)
-    return packed.view(np.uint8)
+def sets_of(bodies: Sequence[bytes], words: int) -> list[np.ndarray]:
+    """The sorted shingle hashes of each compressed text."""
+    import zstandard
 
-
-def _lists_of(column: pa.ChunkedArray) -> list[np.ndarray]:
-    lists = column.combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    unpack = zstandard.ZstdDecompressor().decompress
+    tokens, owner = shingles_of([unpack(b).decode() for b in bodies], words)
+    return np.split(tokens, np.cumsum(np.bincount(owner, minlength=len(bodies)))[:-1]) if len(bodies) else []
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -213,22 +208,50 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _open(members: pa.Table, queries: pa.Table, percent: int) -> pa.Table:
-    """At most one (query, member) link for each query of a part."""
-    sets = [np.sort(s) for s in _lists_of(members.column("tokens"))]
-    union = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
-    least = min(map(len, sets), default=0)
-    names, found = members.column("cid").to_pylist(), []
-    for name, tokens in zip(queries.column("cid").to_pylist(), map(np.sort, _lists_of(queries.column("tokens")))):
-        if shared(tokens, union) < needed(max(len(tokens), least), percent):
-            continue
-        for member, own in zip(names, sets):
-            if similar(tokens, own, percent):
-                found.append((name, member))
-                break
+def _open(rows: pa.Table, words: int, percent: int) -> pa.Table:
+    """Links (u, v) that connect what the links of a part connect: among its members if it is loose, and at most one from each query
+    to each connected set of members."""
+    asks, loose = np.array(rows.column("asks")), np.array(rows.column("loose"))
+    names, sets = rows.column("cid").to_pylist(), sets_of(rows.column("body").to_pylist(), words)
+    members = np.flatnonzero(~asks).tolist()
+    union = np.unique(np.concatenate([sets[i] for i in members])) if members else np.zeros(0, np.uint64)
+    least = min((len(sets[i]) for i in members), default=0)
+    found: list[tuple[int, int]] = []
+
+    def met(i: int, connected: list[list[int]]) -> list[int]:
+        """Which of the connected sets have a member similar to i; the first of each is noted as a link."""
+        hits = []
+        for c, own in enumerate(connected):
+            near = next((j for j in own if similar(sets[i], sets[j], percent)), None)
+            if near is not None:
+                found.append((names[i], names[near]))
+                hits.append(c)
+        return hits
+
+    connected: list[list[int]] = []
+    if members and loose[members[0]]:
+        for i in members:
+            hits = met(i, connected)
+            joined = [i, *(j for c in hits for j in connected[c])]
+            connected = [own for c, own in enumerate(connected) if c not in hits] + [joined]
+    else:
+        connected = [members]
+    for q in np.flatnonzero(asks).tolist():
+        if shared(sets[q], union) >= needed(max(len(sets[q]), least), percent):
+            met(q, connected)
     return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["u", "v"])
 
 
+def _near_leader(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        own = sets_of(batch.column(2).to_pylist(), words)
+        leaders = dict(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()))
+        led = dict(zip(leaders, sets_of(list(leaders.values()), words)))
+        keep = [similar(tokens, led[leader], percent) for tokens, leader in zip(own, batch.column(1).to_pylist())]
+        kept = batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays(kept.columns[:2], ["cid", "leader"])
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -264,25 +287,26 @@ def near_duplicates(
 
     # Equal sets are one class. Its first row is by key, NULL last.
     order_key = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("row").alias("row"))
-    described = [F.first(c).alias(c) for c in ("n", *(f"root{r}" for r in range(ROOTS)), "first")]
+    described = [F.first(c).alias(c) for c in ("n", *(f"root{r}" for r in range(ROOTS)))]
     grouped = rows.filter("n > 0").groupBy("a", "b").agg(F.min(order_key).alias("head"), *described)
     classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "set-classes")
 
     # First shingles that several classes share; a class can only link if enough of its own are among them.
-    posted = classes.select("cid", "n", F.explode("first").alias("token"))
+    heads = classes.select("cid", "n", F.col("head.row").alias("row"))
+    posted = heads.join(rows.select("row", "first"), "row").select("cid", "n", F.explode("first").alias("token"))
     again = F.count("*").over(Window.partitionBy("token"))
     posted = stage(posted.withColumn("again", again).filter("again > 1").drop("again"), "shared-first-shingles")
     smallest = needed_column(F.col("n"), percent)  # of the sets that can be similar to one of n
     must_share = F.least(F.lit(DEPTH), needed_column(smallest, percent))
-    open_to_links = posted.groupBy("cid", "n").count().filter(F.col("count") >= must_share).select("cid")
-    wanted = stage(classes.join(open_to_links, "cid").select("cid", "a", "b", "n", *(f"root{r}" for r in range(ROOTS))), "linkable-classes")
-    bits = spark.sparkContext.broadcast(_bit_table(wanted))
-    sets = texts.mapInArrow(partial(_wanted_sets, words=words, wanted=bits), "a bigint, b bigint, tokens array<bigint>")
-    sets = sets.join(wanted.select("cid", "a", "b"), ["a", "b"]).groupBy("cid").agg(F.first("tokens").alias("tokens"))
-    sets = stage(sets, "linkable-sets")
-
-    stars, groups = _lead(wanted, sets, percent)
-    opened = _cross(posted.join(groups, "cid"), sets, percent)
+    able = posted.groupBy("cid", "n").count().filter(F.col("count") >= must_share).select("cid")
+    wanted = stage(classes.join(able, "cid").select("cid", "a", "b", "n", *(f"root{r}" for r in range(ROOTS))), "linkable-classes")
+    bits = spark.sparkContext.broadcast(bit_table(wanted.select("a"), WANTED_BITS))
+    sets = texts.mapInArrow(partial(_wanted_sets, words=words, wanted=bits), "a bigint, b bigint, body binary")
+    sets = sets.join(wanted.select("cid", "a", "b"), ["a", "b"]).groupBy("cid").agg(F.first("body").alias("body"))
+    sets = stage(sets, "linkable-texts")
+
+    stars, groups = _lead(wanted, sets, words, percent)
+    opened = _cross(posted, groups, sets, words, percent)
     links = stage(stars.union(opened), "class-links")
     roots = components(links).withColumnRenamed("node", "cid")
     at = classes.select("a", "b", "cid", "head").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
@@ -298,58 +322,65 @@ def needed_column(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def _lead(wanted: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links (u, v) of classes to leaders that they are similar to, and (cid, gid) of all linkable classes.
+def _lead(wanted: DataFrame, sets: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) of classes to leaders that they are similar to, and (cid, gid, loose) of all linkable classes.
 
-    Each round, those that lead nothing elsewhere and share a smallest hash elect the first of them; a new leader takes its group along.
+    One round per kept smallest hash: those that no leader has yet, and of which more than LEAD share it, elect the first of them; a
+    new leader takes its group along. Those left alone form loose groups by their smallest hash, similar but not known to be connected.
     """
-    heads = wanted.select("cid", "n", *(f"root{r}" for r in range(ROOTS)))
+    heads = wanted.select("cid", *(f"root{r}" for r in range(ROOTS)))
     groups = wanted.select("cid", F.col("cid").alias("gid"))
-    links = None
-    for r in range(ROUNDS):
-        root = f"root{r % ROOTS}"
-        elected = heads.groupBy(root).agg(F.min("cid").alias("leader"), F.count("*").alias("size")).filter("size > 1")
+    links = wanted.sparkSession.createDataFrame([], "cid bigint, leader bigint")
+    for root in (f"root{r}" for r in range(ROOTS)):
+        elected = heads.groupBy(root).agg(F.min("cid").alias("leader"), F.count("*").alias("size")).filter(F.col("size") > LEAD)
         elected = stage(elected.drop("size"), "leaders")
-        pairs = heads.select("cid", "n", root).join(elected, root).filter("cid <> leader").select("cid", "leader")
-        led = elected.select("leader").join(sets.withColumnRenamed("cid", "leader").withColumnRenamed("tokens", "led"), "leader")
-        led = stage(led, "leader-sets")
-        compared = pairs.join(sets, "cid").join(led, "leader")
-        both = F.size(F.array_intersect("tokens", "led"))
-        united = F.size("tokens") + F.size("led") - both
-        joined, count = stage_counted(compared.filter(100 * both >= percent * united).select("cid", "leader"), "led")
+        pairs, count = stage_counted(heads.select("cid", root).join(elected, root).filter("cid <> leader").select("cid", "leader"), "led-pairs")
+        if not count:
+            continue
+        led = stage(elected.select("leader").join(sets.toDF("leader", "led"), "leader"), "leader-texts")
+        compared = pairs.join(sets, "cid").join(led, "leader").select("cid", "leader", "body", "led")
+        joined = compared.mapInArrow(partial(_near_leader, words=words, percent=percent), "cid bigint, leader bigint")
+        joined, count = stage_counted(joined, "led")
         if not count:
             continue
-        links = joined if links is None else links.union(joined)
+        links = links.union(joined)
         heads = stage(heads.join(joined.select("cid"), "cid", "left_anti"), "heads")
         moved = groups.join(joined.select(F.col("cid").alias("gid"), "leader"), "gid", "left")
         groups = stage(moved.select("cid", F.coalesce("leader", "gid").alias("gid")), "groups")
-    if links is None:
-        links = wanted.sparkSession.createDataFrame([], "cid bigint, leader bigint")
-    return links.toDF("u", "v"), groups
-
-
-def _cross(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different groups, from (cid, n, token, gid)."""
-    posted = stage(posted, "grouped-shingles")
-    members = posted.groupBy("gid").agg(F.countDistinct("cid").alias("members"))
-    sized = stage(members, "group-sizes")
+    alone = stage(groups.groupBy("gid").count().filter("count = 1").select(F.col("gid").alias("cid")), "lone-classes")
+    alone = alone.join(wanted.select("cid", "root0"), "cid")
+    families = alone.groupBy("root0").agg(F.min("cid").alias("family"), F.count("*").alias("size")).filter("size > 1")
+    families = alone.join(stage(families.drop("size"), "loose-families"), "root0").select("cid", "family")
+    groups = groups.join(stage(families, "loose-groups"), "cid", "left")
+    groups = groups.select("cid", F.coalesce("family", "gid").alias("gid"), F.col("family").isNotNull().alias("loose"))
+    return links.toDF("u", "v"), stage(groups, "groups")
+
+
+def _cross(posted: DataFrame, groups: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between classes of different groups, and inside loose ones, from (cid, n, token) and (cid, gid, loose)."""
+    sizes = stage(groups.groupBy("gid").agg(F.count("*").alias("members")), "group-sizes")
     parts = F.ceil(F.col("members") / PART)
-    placed = posted.join(sized, "gid").withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
-    placed = stage(placed, "group-parts")
+    parted = groups.join(sizes, "gid").withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
+    parted = stage(parted, "group-parts")
+    placed = stage(posted.join(parted, "cid"), "parted-shingles")
     matrix = placed.groupBy("token", "gid", "part").agg(F.min("n").alias("least"), F.first("members").alias("members"))
     matrix = matrix.select("token", F.col("gid").alias("to"), "part", "least", F.col("members").alias("to_members"))
-    # The smaller group asks, so a large one is read by few.
-    asks = (F.col("members") < F.col("to_members")) | ((F.col("members") == F.col("to_members")) & (F.col("gid") < F.col("to")))
-    met = placed.select("token", "cid", "n", "gid", "members").join(stage(matrix, "token-group-matrix"), "token").filter(asks)
+    # The smaller group asks, so a large one is read by few; in a loose group the earlier part does.
+    smaller = (F.col("members") < F.col("to_members")) | ((F.col("members") == F.col("to_members")) & (F.col("gid") < F.col("to")))
+    asks = smaller & (F.col("gid") != F.col("to")) | (F.col("gid") == F.col("to")) & F.col("loose") & (F.col("own") < F.col("part"))
+    asking = placed.select("token", "cid", "n", "gid", "members", "loose", F.col("part").alias("own"))
+    met = asking.join(stage(matrix, "token-group-matrix"), "token").filter(asks)
     share = F.least(F.lit(DEPTH), needed_column(F.col("n"), percent), needed_column(F.min("least"), percent))
     hits = met.groupBy("cid", "n", "to", "part").agg(F.count("*").alias("hits"), share.alias("share")).filter("hits >= share")
     queries = stage(hits.select("cid", "to", "part"), "part-queries")
-    loads = queries.groupBy("to", "part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("slices"))
-    loads = stage(loads, "part-loads")
-    asked = queries.join(loads, ["to", "part"]).join(sets, "cid")
-    asked = asked.select("cid", "tokens", "to", "part", F.pmod(F.xxhash64("cid"), F.col("slices")).cast("int").alias("slice"))
-    held = placed.select("cid", F.col("gid").alias("to"), "part").distinct().join(loads, ["to", "part"]).join(sets, "cid")
-    held = held.select(*[F.col(c).alias(c) for c in ("cid", "tokens", "to", "part", "slices")])  # columns of its own for the cogroup
-    held = held.select("cid", "tokens", "to", "part", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    inner = parted.filter("loose").select(F.col("gid").alias("to"), "part", F.lit(0).alias("asks")).distinct()
+    loads = queries.select("to", "part", F.lit(1).alias("asks")).union(inner).groupBy("to", "part").agg(F.sum("asks").alias("asks"))
+    loads = stage(loads.select("to", "part", F.greatest(F.lit(1), F.ceil(F.col("asks") / QUERIES)).cast("int").alias("slices")), "part-loads")
+    asked = queries.join(loads, ["to", "part"]).withColumn("slice", F.pmod(F.xxhash64("cid"), F.col("slices")).cast("int"))
+    held = parted.select("cid", F.col("gid").alias("to"), "part", "loose").join(loads, ["to", "part"])
+    held = held.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     at = ["to", "part", "slice"]
-    return held.groupBy(*at).cogroup(asked.groupBy(*at)).applyInArrow(partial(_open, percent=percent), "u bigint, v bigint")
+    roles = asked.select("cid", *at, F.lit(True).alias("asks"), F.lit(False).alias("loose"))
+    roles = roles.union(held.select("cid", *at, F.lit(False).alias("asks"), "loose"))
+    opened = stage(roles, "part-roles").join(sets, "cid").groupBy(*at)
+    return opened.applyInArrow(lambda rows: _open(rows, words, percent), "u bigint, v bigint")

@@ -81,7 +81,31 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, model, ["doc_id", held])
 
 
-@query("op3_jaccard_join")
+JACCARD_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+shingles as (
+  select distinct doc_id, array_to_string(w[i : i + 3], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 2)) as i from words where len(w) >= 4) x
+  union all select doc_id, array_to_string(w, ' ') from words where len(w) between 1 and 3
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as u, b.doc_id as v, count(*) as k from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+),
+links as (
+  select u, v from shared join sizes a on a.doc_id = u join sizes b on b.doc_id = v where 100 * k >= 85 * (a.n + b.n - k)
+),
+reached as (select u, v from links union select r.u, l.v from reached r join links l on r.v = l.u),
+least as (select u, min(v) as v from reached group by u)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, least(d.doc_id, l.v) as component_id
+from documents d left join sizes s on s.doc_id = d.doc_id left join least l on l.u = d.doc_id
+"""
+
+
+@query("op3_jaccard_join", JACCARD_SQL)
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85, carry=[F.col("doc_id")])
     return rows.select("doc.doc_id", "n_shingles", "component_id")
@@ -143,7 +167,29 @@ def op8_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query("op7_suffix_dedup")
+REPEATS_SQL = """
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+  select doc_id, i, md5(substr(h, 2 * i + 1, 400)) as s from (select doc_id, h, unnest(range(0, len(h) // 2 - 199)) as i from docs) x
+),
+again as (select s from windows group by s having count(*) > 1),
+hits as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as gap from windows where s in (select s from again)),
+runs as (select doc_id, i, sum(case when gap is null or gap > 200 then 1 else 0 end) over (partition by doc_id order by i) as g from hits),
+spans as (select doc_id, g, min(i) as b, max(i) + 200 as e from runs group by doc_id, g),
+placed as (select *, coalesce(lag(e) over (partition by doc_id order by b), 0) as after from spans),
+parts as (
+  select d.doc_id, p.b, substr(h, 2 * after + 1, 2 * (p.b - after)) as part from placed p join docs d on d.doc_id = p.doc_id
+  union all
+  select d.doc_id, len(h), substr(h, 2 * coalesce(t.e, 0) + 1) from docs d left join (select doc_id, max(e) as e from spans group by doc_id) t on t.doc_id = d.doc_id
+),
+kept as (select doc_id, string_agg(part, '' order by b) as h from parts group by doc_id),
+counts as (select doc_id, count(*) as n from spans group by doc_id)
+select d.doc_id, len(d.h) // 2 as n_bytes, (len(d.h) - len(k.h)) // 2 as n_removed, coalesce(c.n, 0) as n_spans, sha256(unhex(k.h)) as kept_sha256
+from docs d join kept k on k.doc_id = d.doc_id left join counts c on c.doc_id = d.doc_id
+"""
+
+
+@query("op7_suffix_dedup", REPEATS_SQL)
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeats(table(spark, sf_dir, "documents"), carry=[F.col("doc_id")])
     removed = F.col("n_bytes") - F.octet_length("kept")
