@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from peerledger.llm.words import BYTE, encoder, flat_ids, slices, split_words, spread
 
 BLOCK_CHARS = 12_000_000
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 BLOCK_BITS = 24  # blocks of one task
 LEAST_BUCKETS = 256  # of words; there are also at least eight for each shuffle partition, since a bucket is one task's
 

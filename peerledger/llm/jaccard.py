@@ -40,7 +40,7 @@ ROOTS = 3  # smallest hashes kept per class
 FREQUENT_SAMPLE = 32  # one document in so many is looked at for frequent shingles
 FREQUENT_ROWS = 3
 FREQUENT_KEPT = 200_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 STEP = 0x9E3779B97F4A7C15
 MASK = 2**64 - 1
 

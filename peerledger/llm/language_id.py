@@ -30,7 +30,7 @@ TRAIN_ROWS = 5000
 MIN_SHARE = 0.002
 NEAR_BEST = 0.25
 SLOTS_PER_ENTRY = 8
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 UNKNOWN = "und"
 #: Odd constants of the slot hashes.
 MIXERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
