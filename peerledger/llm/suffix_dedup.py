@@ -35,6 +35,7 @@ PREFIX = 32
 CHUNK = 96
 BATCHES = 4
 CROWDED = 512
+TOGETHER = 8192  # stretches compared at a time, besides the rest of a core
 SLICE_BYTES = 2_000_000
 TABLE_BITS = 2**25
 
@@ -172,11 +173,30 @@ def _spans(rows: np.ndarray, begin: np.ndarray, length: int) -> pa.Table:
     return pa.table([pa.array(rows[starts]), pa.array(begin[starts]), pa.array(last + length)], ["row", "begin", "end"])
 
 
-def _compare(group: pa.Table, length: int) -> pa.Table:
-    hashes, rows, begin = _windows(group.column("row").to_numpy(), group.column("first").to_numpy(), group.column("bytes").to_pylist(), length)
-    _, number, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    again = counts[number] > 1
-    return _spans(rows[again], begin[again], length)
+def _compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by core; whole cores are compared together, many at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def compared(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        _, number, counts = np.unique(rows.column("core").to_numpy(), return_inverse=True, return_counts=True)
+        rows = rows.filter(pa.array(counts[number] > 1))  # equal windows have equal cores
+        if rows.num_rows:
+            hashes, names, begin = _windows(rows.column("row").to_numpy(), rows.column("first").to_numpy(), rows.column("bytes").to_pylist(), length)
+            _, number, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+            again = counts[number] > 1
+            yield from _spans(names[again], begin[again], length).to_batches()
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            held.append(batch.slice(at, TOGETHER))
+            if sum(b.num_rows for b in held) >= TOGETHER:
+                rows = pa.Table.from_batches(held)
+                cores = rows.column("core").to_numpy()
+                whole = int(np.searchsorted(cores, cores[-1]))  # the last core may go on
+                yield from compared(rows.slice(0, whole))
+                held = rows.slice(whole).to_batches()
+    if held:
+        yield from compared(pa.Table.from_batches(held))
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -298,7 +318,8 @@ def remove_repeats(
     if count:
         hot, hot_ones = stage_counted(cores.groupBy("core").count().filter(F.col("count") > crowded).select("core"), "crowded-cores")
         calm = cores.join(hot, "core", "left_anti") if hot_ones else cores
-        found = calm.groupBy("core").applyInArrow(lambda group: _compare(group, length), "row bigint, begin bigint, end bigint")
+        calm = calm.repartition("core").sortWithinPartitions("core")
+        found = calm.mapInArrow(partial(_compare, length=length), "row bigint, begin bigint, end bigint")
         spans = spans.union(found)
         if hot_ones:
             crowd = cores.join(hot, "core", "left_semi").select("row", "first", "bytes")
