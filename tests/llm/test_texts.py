@@ -142,6 +142,25 @@ def test_mixing_gives_seats_by_highest_quotients(spark):
         assert sum(r.taken for r in got if r.source == s) == min(won[s] * block, 2 * size)
 
 
+def test_mixing_keeps_small_sources(spark):
+    rows = [(i, " ".join(["w"] * 1000), "big") for i in range(500)]
+    rows += [(1000, "one two three", "small"), (1001, " ".join(["w"] * 300), "middle"), (1002, None, "none")]
+    shards = 5
+    got = mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), blocks=16, shards=shards)
+    got = got.select("doc.source", "target", "taken", "per_shard").collect()
+    targets = {r.source: r.target for r in got}
+    assert targets["small"] == 6 and targets["middle"] == 600
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in targets}
+    assert taken["small"] == 6 and abs(taken["middle"] - 600) <= 600 / 64 and taken["none"] == 0
+    assert abs(taken["big"] - targets["big"]) <= targets["big"] / 64
+    total = round(sum(targets.values()))  # blocks of one word
+    seats = sorted(((t / (2 * k + 1), s) for s, t in targets.items() for k in range(round(t) + 1)), key=lambda q: (-q[0], q[1]))[:total]
+    per_shard = -(-total // shards)
+    for i in range(shards):
+        won = Counter(s for _, s in seats[i * per_shard : (i + 1) * per_shard])
+        assert all(sum(r.per_shard[i] for r in got if r.source == s) == won[s] for s in targets)
+
+
 def jaccard_answer(rows, words, percent):
     sets = []
     for _, t in rows:
