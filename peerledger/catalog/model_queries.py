@@ -431,14 +431,14 @@ def topk_features(spark, sf):
 
 # ---- Models (no SQL twin) -------------------------------------------------------------------------
 
-OPTIONS = training.TrainingOptions(folds=K, trials=2, ratio=10).with_rounds(2)
+OPTIONS = training.TrainingOptions(folds=K, ratio=10)  # rounds and trials are the library's own
 
 
-def prepared(spark: SparkSession, sf: str, rounds: int = 2) -> training.Prepared:
+def prepared(spark: SparkSession, sf: str) -> training.Prepared:
     """The whole feature table, keyed, folded, assembled and staged once."""
     options = FeatureOptions(row_key=True)
     table = feature_table(V.detail(spark, sf), V.some_summary(spark, sf), V.exclusions(spark, sf), options)
-    return training.prepare(stage(table, "feature-table"), None, OPTIONS.with_rounds(rounds))
+    return training.prepare(stage(table, "feature-table"), None, OPTIONS)
 
 
 def _defaults(data: training.Prepared):
@@ -507,7 +507,7 @@ def cross_validate(spark, sf):
 
 @query("hpo_search")
 def hpo_search(spark, sf):
-    data = prepared(spark, sf, rounds=1)
+    data = prepared(spark, sf)
     return training.search(data, data.options.learner_a)
 
 

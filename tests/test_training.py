@@ -7,10 +7,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from helpers import rows
+from peerledger.catalog import model_queries
 from peerledger.plans import training
 
 OPTIONS = replace(training.TrainingOptions(folds=2, trials=2, ratio=3), parallelism=2).with_rounds(2)
 
+NOTHING = training.Prepared(None, [], {}, OPTIONS)
+
 
 @pytest.fixture(scope="module")
 def frame(spark):
@@ -114,3 +117,18 @@ def test_prior_correction(spark):
     # 1:1 training odds on a population with a tenth of the negatives kept
     got = spark.range(1).select(training.correct_prior(F.lit(0.5), 0.1).alias("p")).first()["p"]
     assert got == pytest.approx(0.1 / 1.1)
+
+
+def test_model_queries_run_the_library_defaults(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(model_queries, "feature_table", lambda *tables: None)
+    monkeypatch.setattr(model_queries, "stage", lambda df, name: df)
+    for view in ("detail", "summary", "some_summary", "exclusions"):
+        monkeypatch.setattr(model_queries.V, view, lambda spark, sf: None)
+    monkeypatch.setattr(training, "prepare", lambda table, keys, options: replace(NOTHING, options=options))
+    monkeypatch.setattr(training, "search", lambda data, learner, trials=None: seen.update(learner=learner, trials=trials or data.options.trials))
+    default = training.TrainingOptions()
+    options = model_queries.prepared(None, "").options
+    assert (options.learner_a, options.learner_b, options.trials) == (default.learner_a, default.learner_b, default.trials)
+    model_queries.hpo_search(None, "")
+    assert seen == {"learner": default.learner_a, "trials": default.trials}
