@@ -437,7 +437,7 @@ OPTIONS = training.TrainingOptions(folds=K, ratio=10)  # rounds and trials are t
 def prepared(spark: SparkSession, sf: str) -> training.Prepared:
     """The whole feature table, keyed, folded, assembled and staged once."""
     options = FeatureOptions(row_key=True)
-    table = feature_table(V.detail(spark, sf), V.some_summary(spark, sf), V.exclusions(spark, sf), options)
+    table = feature_table(V.detail(spark, sf), V.summary(spark, sf), V.exclusions(spark, sf), options)
     return training.prepare(stage(table, "feature-table"), None, OPTIONS)
 
 

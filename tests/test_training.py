@@ -132,3 +132,12 @@ def test_model_queries_run_the_library_defaults(monkeypatch):
     assert (options.learner_a, options.learner_b, options.trials) == (default.learner_a, default.learner_b, default.trials)
     model_queries.hpo_search(None, "")
     assert seen == {"learner": default.learner_a, "trials": default.trials}
+
+
+def test_model_queries_train_on_all_providers(monkeypatch):
+    for view in ("detail", "summary", "some_summary", "exclusions"):
+        monkeypatch.setattr(model_queries.V, view, lambda spark, sf, view=view: view)
+    monkeypatch.setattr(model_queries, "feature_table", lambda *tables: tables[:3])
+    monkeypatch.setattr(model_queries, "stage", lambda df, name: df)
+    monkeypatch.setattr(training, "prepare", lambda table, keys, options: table)
+    assert model_queries.prepared(None, "") == ("detail", "summary", "exclusions")
