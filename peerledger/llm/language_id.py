@@ -108,18 +108,20 @@ def _slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordB
 
 
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_language: int = TRAIN_ROWS) -> LanguageFilter:
-    """Fit on at most about `rows_per_language` rows of each language, drawn by a hash of the text; rows without text or language are
-    not used. The filter's size follows the n-grams kept, which MIN_SHARE bounds however large the sample is."""
+    """Fit on at most about `rows_per_language` texts of each language, drawn by a hash of the text; equal texts of a language count
+    as one, rows without text or language are not used. The filter's size follows the n-grams kept, which MIN_SHARE bounds however large the sample is."""
     rows = labelled.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")).dropna()
-    shares = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    texts = F.approx_count_distinct(F.xxhash64("text"), 0.02)
+    found = rows.groupBy("lang").agg(F.count("*").alias("count"), texts.alias("texts")).collect()  # one row per language
+    shares, distinct = {r["lang"]: r["count"] for r in found}, {r["lang"]: r["texts"] for r in found}
     if len(shares) > LANGUAGES_PER_MASK:
         raise ValueError(f"a mask holds {LANGUAGES_PER_MASK} languages")
     names = sorted(shares, key=lambda n: (-shares[n], n))
     total = sum(shares.values()) or 1
     if not names:
         return LanguageFilter([], [], np.zeros(1, np.uint64))
-    limit = F.element_at(F.create_map(*[F.lit(v) for n in names for v in (n, min(1.0, rows_per_language / shares[n]))]), F.col("lang"))
-    drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(2**20)) < limit * 2**20)
+    limit = F.element_at(F.create_map(*[F.lit(v) for n in names for v in (n, min(1.0, rows_per_language / distinct[n]))]), F.col("lang"))
+    drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(2**20)) < limit * 2**20).distinct()
     sizes = {r["lang"]: r["count"] for r in drawn.groupBy("lang").count().collect()}
     counted = drawn.mapInArrow(_count_grams, "lang string, gram bigint, texts bigint").groupBy("lang", "gram").agg(F.sum("texts").alias("texts"))
     size = F.element_at(F.create_map(*[F.lit(v) for n in names for v in (n, max(1, sizes.get(n, 0)))]), F.col("lang"))

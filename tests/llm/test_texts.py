@@ -1,6 +1,7 @@
 """Text operators on edge tables and against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -236,6 +237,19 @@ def test_language(edges, nothing):
     assert {r.lang_pred for r in predict(edges, train(nothing)).collect()} == {UNKNOWN}
 
 
+def test_language_counts_copies_once(spark):
+    """One text, 2,500 times in the language, is in the sample: the other texts of the language are still recognised."""
+    draw = random.Random(5)
+    names = ["".join(draw.choice(half) for _ in range(7)) for half in ("abcdefghijklm", "nopqrstuvwxyz") for _ in range(20)]
+    low, high = [[" ".join(draw.sample(part, 5)) + f" {i}" for i in range(n)] for part, n in ((names[:20], 500), (names[20:], 4000))]
+    tries = spark.createDataFrame([(f"0 {i}w {i}",) for i in range(3000)], "text string")
+    hot = tries.filter(F.pmod(F.xxhash64("text"), F.lit(2**20)) < 10000).first().text
+    rows = [(hot, "low")] * 2500 + [(t, "low") for t in low] + [(t, "high") for t in high]
+    model = train(spark.createDataFrame(rows, "text string, lang string"), rows_per_language=50)
+    held = spark.createDataFrame([(i, " ".join(draw.sample(names[:20], 8))) for i in range(50)], "doc_id int, text string")
+    assert {r.lang_pred for r in predict(held, model).collect()} == {"low"}
+
+
 def test_language_held_out_accuracy(spark):
     from peerledger.llm.queries import op1_language_id
 
