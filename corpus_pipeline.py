@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from peerledger.llm.bpe import decode, encode
 from peerledger.llm.exact_dedup import exact_dedup
 from peerledger.llm.jaccard import near_duplicates
-from peerledger.llm.language_id import UNKNOWN, predict, train
+from peerledger.llm.language_id import predict, train
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import table
 from peerledger.session import stage
@@ -27,9 +27,10 @@ def columns_of(docs: DataFrame) -> list[str]:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found are rejected: NULL texts, and texts without a letter."""
+    """Documents in which no language is found are rejected: NULL texts, texts without a letter, and texts in which every language has
+    no more n-grams than chance gives."""
     judged = predict(docs, train(docs), [F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc")])
-    return judged.filter(F.col("lang_pred") != UNKNOWN).select(*columns_of(docs))
+    return judged.filter("known").select(*columns_of(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ TRAIN_ROWS = 5000
 MIN_SHARE = 0.002
 NEAR_BEST = 0.25
 SLOTS_PER_ENTRY = 8
+CHANCE = 4.0  # standard deviations of the false positives, above which a text's n-grams count as known
 SLICE_CHARS = 500_000
 UNKNOWN = "und"
 #: Odd constants of the slot hashes.
@@ -144,7 +145,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
     bits = len(known.languages)
     for batch in batches:
         texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-        chosen, scores = [], []
+        chosen, scores, sure = [], [], []
         for begin, end in slices(texts, SLICE_CHARS):
             some = texts[begin:end]
             grams, owner = grams_of(some)
@@ -157,29 +158,34 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
                 counts[:, b] = np.bincount(owner[(mask >> np.uint64(b)) & np.uint64(1) == 1], minlength=len(some))
             corrected = np.maximum(0.0, (counts - all_grams[:, None] * false) / (1 - false))
             sums = corrected.sum(axis=1)
+            expected = all_grams[:, None] * false
+            beyond = (counts - expected > CHANCE * np.sqrt(expected * (1 - false))).any(axis=1)
             for i, text in enumerate(some):
                 if not bits or not A_LETTER.search(text):
                     chosen.append(UNKNOWN)
                     scores.append(0.0)
-                elif sums[i] <= 0:  # nothing known: the most frequent language, with its share
+                    sure.append(False)
+                    continue
+                sure.append(bool(beyond[i]))
+                if sums[i] <= 0:  # nothing known: the most frequent language, with its share
                     chosen.append(known.languages[0])
                     scores.append(known.shares[0])
                 else:
                     b = int(corrected[i].argmax())
                     chosen.append(known.languages[b])
                     scores.append(float(corrected[i, b] / sums[i]))
-        columns = [*batch.columns[:-1], pa.array(chosen, pa.string()), pa.array(scores, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
+        columns = [*batch.columns[:-1], pa.array(chosen, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score", "known"])
 
 
 def predict(docs: DataFrame, model: LanguageFilter, carry: Sequence[str | Column] = ("doc_id",), text: str = "text") -> DataFrame:
-    """`carry`, lang_pred and score (0 to 1) of every whole text. Texts that are NULL, empty or without a letter are `und` with score
+    """`carry`, lang_pred, score (0 to 1) and known of every whole text: whether a language has more of its n-grams than chance gives. Texts that are NULL, empty or without a letter are `und` with score
     0; a text whose n-grams no language has gets the most frequent language. Ties go to the more frequent language. A filter
     trained on nothing says `und`."""
     from pyspark.sql import types as T
 
     read = docs.select(*carry, F.col(f"`{text}`").alias("_text"))
-    schema = T.StructType([*read.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*read.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.BooleanType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return read.mapInArrow(partial(_predict, model=shared), schema)
 

@@ -78,7 +78,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     held = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
-    return predict(docs, model, ["doc_id", held])
+    return predict(docs, model, ["doc_id", held]).drop("known")
 
 
 JACCARD_SQL = r"""

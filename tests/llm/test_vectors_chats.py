@@ -1,5 +1,6 @@
 """Embeddings, conversations and the pipeline on edge tables and against brute force."""
 
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -135,6 +136,16 @@ def test_pipeline_against_brute_force(spark, edges):
     assert Counter((r.doc_id, tuple(r.ids), r.n_bytes) for r in got["token_ids"]) == ids
 
 
+def test_pipeline_rejects_texts_of_no_known_language(spark):
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(2000)]
+    rows = [(i, " ".join(draw.sample(words[i % 2 :: 2], 60)), ("en", "de")[i % 2]) for i in range(400)]
+    foreign = [(1000 + i, " ".join("".join(draw.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(6)) for _ in range(60)), None) for i in range(40)]
+    docs = spark.createDataFrame(rows + foreign, "doc_id int, text string, lang string")
+    kept = dict(corpus_pipeline.STAGES)["language"](spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(400))
+
+
 def test_pipeline_of_nothing(spark, nothing):
     docs = nothing
     for _, apply in corpus_pipeline.STAGES:
