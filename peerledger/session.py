@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +49,65 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Scope:
+    """The staged tables written while it is the innermost open one."""
+
+    def __init__(self, spark: SparkSession, outer: Scope | None):
+        self.spark, self.outer = spark, outer
+        self.owned: list[tuple[DataFrame, str]] = []
+
+    def _take(self, frames: tuple[DataFrame, ...]) -> list[tuple[DataFrame, str]]:
+        taken = [o for o in self.owned if any(o[0] is f for f in frames)]
+        self.owned = [o for o in self.owned if not any(o[0] is f for f in frames)]
+        return taken
+
+    def keep(self, *frames: DataFrame) -> None:
+        """These staged tables outlive the scope: the next outer one owns them, or nobody."""
+        taken = self._take(frames)
+        if self.outer is not None:
+            self.outer.owned += taken
+
+    def release(self, *frames: DataFrame) -> None:
+        """Delete these staged tables now, their last reader having been written."""
+        for _, path in self._take(frames):
+            delete_path(self.spark, path)
+
+
+INNERMOST: ContextVar[Scope | None] = ContextVar("staging scope", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Scope]:
+    """Own the staged tables written inside: all but the kept ones are deleted at the end, after a failure too.
+
+    What is still lazy at the end must read kept tables only.
+    """
+    scope = Scope(spark, INNERMOST.get())
+    token = INNERMOST.set(scope)
+    try:
+        yield scope
+    finally:
+        INNERMOST.reset(token)
+        scope.release(*[df for df, _ in scope.owned])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def shuffle_files_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go when each write ends, instead of when the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """Write `df` once to the shared folder; return it read back, and its rows as counted by the
     write itself.
@@ -53,10 +115,16 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     Later steps that use the result several times read only the columns they need, and a lost
     executor costs a re-read instead of a replay of everything before this point.
     """
-    path = fresh_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
     seen = Observation(name)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+    with shuffle_files_freed(spark):
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").option("compression", "zstd").parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    scope = INNERMOST.get()
+    if scope is not None:
+        scope.owned.append((staged, path))
+    return staged, seen.get["rows"]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
