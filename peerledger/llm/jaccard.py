@@ -6,12 +6,14 @@
    shuffled; the order decides the cost and never the result.
 3. Classes are grouped: where more than LEAD share a smallest hash, they elect a leader and join it if they are similar to it. Such a
    group is connected, so it needs no pairs inside. The others form loose groups by their smallest hash, whose own links are looked
-   for too. Groups are cut into parts of about PART members.
-4. The token-group matrix holds, per shingle, the parts whose union has it. A class reads the rows of its own first shingles: a
-   part qualifies for it if enough of them are there.
-5. Only qualifying parts are opened, one task per part and slice of its queries, from their compressed texts: the union of the members' whole sets bounds the
-   overlap, then members are compared until a query has one link to each connected set of them. No link between different
-   components is lost, and no group emits its pairs.
+   for too. Groups are cut into parts of about PART members and PART_BYTES of text.
+4. The token-group matrix holds, per shingle, the parts that have it among their first ones. A class reads the rows of its own first
+   shingles: a part qualifies for it if enough of them are there.
+5. Each part that somebody asks for, or that is loose, is stored once as a row of the matrix: the union of its members' whole sets and,
+   member by member, which shingles of the union are theirs. Loose parts note their inner links there.
+6. A query's overlap with a part's stored union bounds what it can share with any member; only where the bound suffices is the part
+   opened, and all its members are compared in one pass over the member rows. A query gets one link to each connected set of them. No
+   link between different components is lost, and no group emits its pairs. Queries stream past the part, so a task holds one part.
 """
 
 from __future__ import annotations
@@ -26,14 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerledger.llm.bits import bit_table, marked
-from peerledger.llm.bpe import compressed
+from peerledger.llm.bpe import compressed, decompressed, packed, unpacked
 from peerledger.llm.components import components
 from peerledger.llm.words import slices
-from peerledger.session import stage, stage_counted
+from peerledger.session import Scope, stage, stage_counted, staging
 
 DEPTH = 4
 PART = 256
-QUERIES = 1024
+PART_BYTES = 2_000_000
+QUERIES = 256
 LEAD = 8  # classes sharing a smallest hash, from which on they elect a leader
 FIRST_BITS = 48  # kept of a first shingle: sharing one by chance adds a candidate and costs no link
 ROOTS = 3  # smallest hashes kept per class
@@ -129,7 +132,7 @@ def _sample_tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa
 
 
 def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent, depth: int, carried: int) -> Iterator[pa.RecordBatch]:
-    """The carried columns, set size, set identity (two sums over the set), smallest hashes, and first shingles of every text."""
+    """The carried columns, text bytes, set size, set identity (two sums over the set), smallest hashes, and first shingles of every text."""
     common, ranks = frequent.value
     for batch in batches:
         texts = [t or "" for t in batch.column(carried).to_pylist()]
@@ -153,8 +156,9 @@ def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequ
             first = np.minimum(n, n - needed(n, percent) + depth)
             kept = order[place < first[owner]]
             some = [c.slice(begin, end - begin) for c in batch.columns[:carried]]
-            numbers = [pa.array(n), *(pa.array(s.view(np.int64)) for s in (*sums, *roots)), _lists(tokens[kept] >> np.uint64(64 - FIRST_BITS), first)]
-            yield pa.RecordBatch.from_arrays([*some, *numbers], [*batch.schema.names[:carried], "n", "a", "b", *(f"root{r}" for r in range(ROOTS)), "first"])
+            length = np.fromiter((len(t.encode()) for t in texts[begin:end]), np.int64, end - begin)
+            numbers = [pa.array(length), pa.array(n), *(pa.array(s.view(np.int64)) for s in (*sums, *roots)), _lists(tokens[kept] >> np.uint64(64 - FIRST_BITS), first)]
+            yield pa.RecordBatch.from_arrays([*some, *numbers], [*batch.schema.names[:carried], "length", "n", "a", "b", *(f"root{r}" for r in range(ROOTS)), "first"])
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted) -> Iterator[pa.RecordBatch]:
@@ -183,71 +187,150 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted) -> Itera
 WANTED_BITS = 2**23
 
 
-def sets_of(bodies: Sequence[bytes], words: int) -> list[np.ndarray]:
-    """The sorted shingle hashes of each compressed text."""
+def _ranges(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of items of about `most` in all; a larger item is alone."""
+    begin, total = 0, 0
+    for i, size in enumerate(sizes):
+        if total and total + size > most:
+            yield begin, i
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def sets_of(bodies: Sequence[bytes], words: int) -> Iterator[np.ndarray]:
+    """The sorted shingle hashes of each compressed text. About SLICE_CHARS bytes of text are unpacked at a time."""
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
-    tokens, owner = shingles_of([unpack(b).decode() for b in bodies], words)
-    return np.split(tokens, np.cumsum(np.bincount(owner, minlength=len(bodies)))[:-1]) if len(bodies) else []
+    for begin, end in _ranges([zstandard.frame_content_size(b) for b in bodies], SLICE_CHARS):
+        tokens, owner = shingles_of([unpack(b).decode() for b in bodies[begin:end]], words)
+        yield from np.split(tokens, np.cumsum(np.bincount(owner, minlength=end - begin))[:-1])
 
 
-def shared(a: np.ndarray, b: np.ndarray) -> int:
-    """Common values of two sorted sets."""
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if not len(small):
-        return 0
-    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-    return int(np.count_nonzero(large[at] == small))
+def places(union: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Where the tokens that a sorted union has are in it."""
+    if not len(union):
+        return np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
+    return at[union[at] == tokens]
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
-    both = shared(a, b)
+    both = len(places(a, b))
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _open(rows: pa.Table, words: int, percent: int) -> pa.Table:
-    """Links (u, v) that connect what the links of a part connect: among its members if it is loose, and at most one from each query
-    to each connected set of members."""
-    asks, loose = np.array(rows.column("asks")), np.array(rows.column("loose"))
-    names, sets = rows.column("cid").to_pylist(), sets_of(rows.column("body").to_pylist(), words)
-    members = np.flatnonzero(~asks).tolist()
-    union = np.unique(np.concatenate([sets[i] for i in members])) if members else np.zeros(0, np.uint64)
-    least = min((len(sets[i]) for i in members), default=0)
-    found: list[tuple[int, int]] = []
-
-    def met(i: int, connected: list[list[int]]) -> list[int]:
-        """Which of the connected sets have a member similar to i; the first of each is noted as a link."""
-        hits = []
-        for c, own in enumerate(connected):
-            near = next((j for j in own if similar(sets[i], sets[j], percent)), None)
-            if near is not None:
-                found.append((names[i], names[near]))
-                hits.append(c)
-        return hits
-
-    connected: list[list[int]] = []
-    if members and loose[members[0]]:
-        for i in members:
-            hits = met(i, connected)
-            joined = [i, *(j for c in hits for j in connected[c])]
-            connected = [own for c, own in enumerate(connected) if c not in hits] + [joined]
-    else:
-        connected = [members]
-    for q in np.flatnonzero(asks).tolist():
-        if shared(sets[q], union) >= needed(max(len(sets[q]), least), percent):
-            met(q, connected)
-    return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["u", "v"])
+class Part:
+    """Member rows of the matrix: the union of the members' sets, and each member's places in it, end to end."""
+
+    def __init__(self, union: np.ndarray, sizes: np.ndarray, members: np.ndarray, names: np.ndarray, connected: np.ndarray):
+        self.union, self.sizes, self.members, self.names, self.connected = union, sizes, members, names, connected
+        self.starts = np.cumsum(sizes) - sizes
+        self.flags = np.zeros(len(union), bool)
+
+    def asked(self, size: int, at: np.ndarray, percent: int, first: int = 0) -> np.ndarray:
+        """Members from number `first` on that are similar to a set of `size` tokens, of which the union has those at `at`."""
+        self.flags[at] = True
+        begin = int(self.starts[first])
+        both = np.add.reduceat(self.flags[self.members[begin:]], self.starts[first:] - begin, dtype=np.int64)
+        self.flags[at] = False
+        return first + np.flatnonzero(100 * both >= percent * (size + self.sizes[first:] - both))
+
+    def one_each(self, near: np.ndarray) -> np.ndarray:
+        """The first of the members `near` in each connected set."""
+        return near[np.unique(self.connected[near], return_index=True)[1]]
+
+
+def _roots(count: int, pairs: Iterator[tuple[int, np.ndarray]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The smallest connected member of each, and the pairs (i, j) that connected two sets."""
+    root = list(range(count))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    used = []
+    for i, near in pairs:
+        for j in near.tolist():
+            x, y = top(i), top(j)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                used.append((i, j))
+    return np.array([top(i) for i in range(count)], np.int64), used
+
+
+PART_FIELDS = "to bigint, part int, least bigint, n_union bigint, union binary, sizes array<bigint>, members binary, names array<bigint>, connected array<bigint>, u array<bigint>, v array<bigint>"
+
+
+def _store_part(rows: pa.Table, words: int, percent: int) -> pa.Table:
+    """The matrix row of one part, with the links between members of a loose part that connect what all of them would."""
+    names = rows.column("cid").to_numpy()
+    sets = list(sets_of(rows.column("body").to_pylist(), words))
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    union, members = np.unique(np.concatenate(sets), return_inverse=True)
+    part = Part(union, sizes, members.ravel(), names, np.zeros(len(names), np.int64))
+    links: list[tuple[int, int]] = []
+    if rows.column("loose")[0].as_py():
+        ends = part.starts + sizes
+        pairs = ((i, part.asked(int(sizes[i]), part.members[part.starts[i] : ends[i]], percent, i + 1)) for i in range(len(names) - 1))
+        part.connected, links = _roots(len(names), pairs)
+    row = {
+        "to": rows.column("to")[0].as_py(),
+        "part": rows.column("part")[0].as_py(),
+        "least": int(sizes.min()),
+        "n_union": len(union),
+        "union": compressed(union.tobytes()),
+        "sizes": sizes.tolist(),
+        "members": packed(part.members),
+        "names": names.tolist(),
+        "connected": part.connected.tolist(),
+        "u": [int(names[i]) for i, _ in links],
+        "v": [int(names[j]) for _, j in links],
+    }
+    kinds = {"to": pa.int64(), "part": pa.int32(), "least": pa.int64(), "n_union": pa.int64(), "union": pa.binary(), "members": pa.binary()}
+    return pa.table({k: pa.array([v], kinds.get(k, pa.list_(pa.int64()))) for k, v in row.items()})
+
+
+def _open(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (u, v): at most one from each query to each connected set of a part's members. Rows come in order of part, slice, role: the
+    stored part, then its queries."""
+    union, least, stored, part = np.zeros(0, np.uint64), 0, None, None
+    for batch in batches:
+        asks = batch.column("asks").to_pylist()
+        names = batch.column("cid").to_pylist()
+        sets = sets_of([b for b, a in zip(batch.column("body").to_pylist(), asks) if a], words)
+        found: list[tuple[int, int]] = []
+        for i, query in enumerate(asks):
+            if not query:
+                stored, part = batch.column("row")[i].as_py(), None
+                union = np.frombuffer(decompressed(stored["union"], 8 * stored["n_union"]), np.uint64)
+                least = stored["least"]
+                continue
+            tokens = next(sets)
+            at = places(union, tokens)
+            if len(at) < needed(max(len(tokens), least), percent):
+                continue
+            if part is None:
+                sizes = np.array(stored["sizes"], np.int64)
+                members = unpacked(stored["members"], int(sizes.sum())).astype(np.int64)
+                part = Part(union, sizes, members, np.array(stored["names"]), np.array(stored["connected"]))
+            found += [(names[i], int(part.names[j])) for j in part.one_each(part.asked(len(tokens), at, percent))]
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["u", "v"])
 
 
 def _near_leader(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        own = sets_of(batch.column(2).to_pylist(), words)
-        leaders = dict(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()))
-        led = dict(zip(leaders, sets_of(list(leaders.values()), words)))
-        keep = [similar(tokens, led[leader], percent) for tokens, leader in zip(own, batch.column(1).to_pylist())]
+        leaders, bodies = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        first = {name: i for i, name in reversed(list(enumerate(leaders)))}
+        led = sets_of(batch.column(3).take(pa.array(sorted(first.values()), pa.int64())).to_pylist(), words)
+        known = {leaders[i]: tokens for i, tokens in zip(sorted(first.values()), led)}
+        keep = [similar(known[leader], tokens, percent) for leader, tokens in zip(leaders, sets_of(bodies, words))]
         kept = batch.filter(pa.array(keep, pa.bool_()))
         yield pa.RecordBatch.from_arrays(kept.columns[:2], ["cid", "leader"])
 
@@ -280,42 +363,51 @@ def near_duplicates(
 
     doc = F.struct(*(carry or [F.col(f"`{c}`") for c in docs.columns])).alias("doc")
     read = docs.select(doc, F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    numbers = [T.StructField(c, T.LongType()) for c in ("n", "a", "b", *(f"root{r}" for r in range(ROOTS)))]
+    numbers = [T.StructField(c, T.LongType()) for c in ("length", "n", "a", "b", *(f"root{r}" for r in range(ROOTS)))]
     schema = T.StructType([*read.schema.fields[:2], *numbers, T.StructField("first", T.ArrayType(T.LongType()))])
     task = partial(_features, words=words, percent=percent, frequent=frequent_shared, depth=DEPTH, carried=2)
     rows = stage(read.mapInArrow(task, schema).withColumn("row", F.monotonically_increasing_id()), "document-sets")
 
+    with staging(spark) as scope:
+        answer = _class_components(rows, texts, words, percent, scope)
+        scope.keep(answer)
+    empty = rows.filter("n = 0").select("doc", F.col("n").alias("n_shingles"), F.col("key").alias("component_id"), F.lit(True).alias("kept"))
+    kept = (F.col("row") == F.col("least.row")).alias("kept")
+    linked = rows.filter("n > 0").select("doc", "n", "a", "b", "row").join(answer, ["a", "b"])
+    return linked.select("doc", F.col("n").alias("n_shingles"), F.col("least.key").alias("component_id"), kept).union(empty)
+
+
+def _class_components(rows: DataFrame, texts: DataFrame, words: int, percent: int, scope: Scope) -> DataFrame:
+    """(a, b, least) of each class: the first row, by key, of the classes that links lead to."""
     # Equal sets are one class. Its first row is by key, NULL last.
     order_key = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("row").alias("row"))
-    described = [F.first(c).alias(c) for c in ("n", *(f"root{r}" for r in range(ROOTS)))]
+    described = [F.first(c).alias(c) for c in ("length", "n", *(f"root{r}" for r in range(ROOTS)))]
     grouped = rows.filter("n > 0").groupBy("a", "b").agg(F.min(order_key).alias("head"), *described)
     classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "set-classes")
 
     # First shingles that several classes share; a class can only link if enough of its own are among them.
     heads = classes.select("cid", "n", F.col("head.row").alias("row"))
-    posted = heads.join(rows.select("row", "first"), "row").select("cid", "n", F.explode("first").alias("token"))
-    again = F.count("*").over(Window.partitionBy("token"))
-    posted = stage(posted.withColumn("again", again).filter("again > 1").drop("again"), "shared-first-shingles")
+    every = heads.join(rows.select("row", "first"), "row").select("cid", "n", F.explode("first").alias("token"))
+    every = stage(every, "first-shingles")
+    again = stage(every.groupBy("token").count().filter("count > 1").select("token"), "repeated-shingles")
+    posted = stage(every.join(again, "token"), "shared-first-shingles")
+    scope.release(every, again)
     smallest = needed_column(F.col("n"), percent)  # of the sets that can be similar to one of n
     must_share = F.least(F.lit(DEPTH), needed_column(smallest, percent))
     able = posted.groupBy("cid", "n").count().filter(F.col("count") >= must_share).select("cid")
-    wanted = stage(classes.join(able, "cid").select("cid", "a", "b", "n", *(f"root{r}" for r in range(ROOTS))), "linkable-classes")
-    bits = spark.sparkContext.broadcast(bit_table(wanted.select("a"), WANTED_BITS))
+    chosen = classes.join(able, "cid").select("cid", "a", "b", "n", "length", *(f"root{r}" for r in range(ROOTS)))
+    wanted = stage(chosen, "linkable-classes")
+    bits = texts.sparkSession.sparkContext.broadcast(bit_table(wanted.select("a"), WANTED_BITS))
     sets = texts.mapInArrow(partial(_wanted_sets, words=words, wanted=bits), "a bigint, b bigint, body binary")
     sets = sets.join(wanted.select("cid", "a", "b"), ["a", "b"]).groupBy("cid").agg(F.first("body").alias("body"))
     sets = stage(sets, "linkable-texts")
 
     stars, groups = _lead(wanted, sets, words, percent)
-    opened = _cross(posted, groups, sets, words, percent)
-    links = stage(stars.union(opened), "class-links")
+    links = stage(stars.union(_cross(posted, groups, sets, words, percent, scope)), "class-links")
     roots = components(links).withColumnRenamed("node", "cid")
     at = classes.select("a", "b", "cid", "head").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     heads = stage(at.groupBy("root").agg(F.min("head").alias("least")), "component-heads")
-    answer = stage(at.join(heads, "root").select("a", "b", "least"), "class-components")
-    empty = rows.filter("n = 0").select("doc", F.col("n").alias("n_shingles"), F.col("key").alias("component_id"), F.lit(True).alias("kept"))
-    kept = (F.col("row") == F.col("least.row")).alias("kept")
-    linked = rows.filter("n > 0").select("doc", "n", "a", "b", "row").join(answer, ["a", "b"])
-    return linked.select("doc", F.col("n").alias("n_shingles"), F.col("least.key").alias("component_id"), kept).union(empty)
+    return stage(at.join(heads, "root").select("a", "b", "least"), "class-components")
 
 
 def needed_column(n: Column, percent: int) -> Column:
@@ -323,13 +415,13 @@ def needed_column(n: Column, percent: int) -> Column:
 
 
 def _lead(wanted: DataFrame, sets: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links (u, v) of classes to leaders that they are similar to, and (cid, gid, loose) of all linkable classes.
+    """Links (u, v) of classes to leaders that they are similar to, and (cid, length, gid, loose) of all linkable classes.
 
     One round per kept smallest hash: those that no leader has yet, and of which more than LEAD share it, elect the first of them; a
     new leader takes its group along. Those left alone form loose groups by their smallest hash, similar but not known to be connected.
     """
     heads = wanted.select("cid", *(f"root{r}" for r in range(ROOTS)))
-    groups = wanted.select("cid", F.col("cid").alias("gid"))
+    groups = wanted.select("cid", "length", F.col("cid").alias("gid"))
     links = wanted.sparkSession.createDataFrame([], "cid bigint, leader bigint")
     for root in (f"root{r}" for r in range(ROOTS)):
         elected = heads.groupBy(root).agg(F.min("cid").alias("leader"), F.count("*").alias("size")).filter(F.col("size") > LEAD)
@@ -346,41 +438,51 @@ def _lead(wanted: DataFrame, sets: DataFrame, words: int, percent: int) -> tuple
         links = links.union(joined)
         heads = stage(heads.join(joined.select("cid"), "cid", "left_anti"), "heads")
         moved = groups.join(joined.select(F.col("cid").alias("gid"), "leader"), "gid", "left")
-        groups = stage(moved.select("cid", F.coalesce("leader", "gid").alias("gid")), "groups")
+        groups = stage(moved.select("cid", "length", F.coalesce("leader", "gid").alias("gid")), "groups")
     alone = stage(groups.groupBy("gid").count().filter("count = 1").select(F.col("gid").alias("cid")), "lone-classes")
     alone = alone.join(wanted.select("cid", "root0"), "cid")
     families = alone.groupBy("root0").agg(F.min("cid").alias("family"), F.count("*").alias("size")).filter("size > 1")
     families = alone.join(stage(families.drop("size"), "loose-families"), "root0").select("cid", "family")
     groups = groups.join(stage(families, "loose-groups"), "cid", "left")
-    groups = groups.select("cid", F.coalesce("family", "gid").alias("gid"), F.col("family").isNotNull().alias("loose"))
+    groups = groups.select("cid", "length", F.coalesce("family", "gid").alias("gid"), F.col("family").isNotNull().alias("loose"))
     return links.toDF("u", "v"), stage(groups, "groups")
 
 
-def _cross(posted: DataFrame, groups: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between classes of different groups, and inside loose ones, from (cid, n, token) and (cid, gid, loose)."""
-    sizes = stage(groups.groupBy("gid").agg(F.count("*").alias("members")), "group-sizes")
-    parts = F.ceil(F.col("members") / PART)
-    parted = groups.join(sizes, "gid").withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
-    parted = stage(parted, "group-parts")
+def _cross(posted: DataFrame, groups: DataFrame, sets: DataFrame, words: int, percent: int, scope: Scope) -> DataFrame:
+    """Links between classes of different groups, and inside loose ones, from (cid, n, token) and (cid, length, gid, loose)."""
+    sizes = groups.groupBy("gid").agg(F.count("*").alias("members"), F.sum("length").alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("members") / PART), F.ceil(F.col("bytes") / PART_BYTES))
+    parted = groups.join(stage(sizes, "group-sizes"), "gid").withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
+    parted = stage(parted.drop("length", "bytes"), "group-parts")
     placed = stage(posted.join(parted, "cid"), "parted-shingles")
+    scope.release(posted)
     matrix = placed.groupBy("token", "gid", "part").agg(F.min("n").alias("least"), F.first("members").alias("members"))
     matrix = matrix.select("token", F.col("gid").alias("to"), "part", "least", F.col("members").alias("to_members"))
+    matrix = stage(matrix, "token-group-matrix")
     # The smaller group asks, so a large one is read by few; in a loose group the earlier part does.
     smaller = (F.col("members") < F.col("to_members")) | ((F.col("members") == F.col("to_members")) & (F.col("gid") < F.col("to")))
     asks = smaller & (F.col("gid") != F.col("to")) | (F.col("gid") == F.col("to")) & F.col("loose") & (F.col("own") < F.col("part"))
     asking = placed.select("token", "cid", "n", "gid", "members", "loose", F.col("part").alias("own"))
-    met = asking.join(stage(matrix, "token-group-matrix"), "token").filter(asks)
+    met = asking.join(matrix, "token").filter(asks)
     share = F.least(F.lit(DEPTH), needed_column(F.col("n"), percent), needed_column(F.min("least"), percent))
     hits = met.groupBy("cid", "n", "to", "part").agg(F.count("*").alias("hits"), share.alias("share")).filter("hits >= share")
     queries = stage(hits.select("cid", "to", "part"), "part-queries")
+    scope.release(placed, matrix)
+
     inner = parted.filter("loose").select(F.col("gid").alias("to"), "part", F.lit(0).alias("asks")).distinct()
     loads = queries.select("to", "part", F.lit(1).alias("asks")).union(inner).groupBy("to", "part").agg(F.sum("asks").alias("asks"))
-    loads = stage(loads.select("to", "part", F.greatest(F.lit(1), F.ceil(F.col("asks") / QUERIES)).cast("int").alias("slices")), "part-loads")
-    asked = queries.join(loads, ["to", "part"]).withColumn("slice", F.pmod(F.xxhash64("cid"), F.col("slices")).cast("int"))
-    held = parted.select("cid", F.col("gid").alias("to"), "part", "loose").join(loads, ["to", "part"])
-    held = held.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    loads = stage(loads.select("to", "part", F.ceil(F.col("asks") / QUERIES).cast("int").alias("slices")), "part-loads")
+    members = parted.select("cid", F.col("gid").alias("to"), "part", "loose").join(loads.select("to", "part"), ["to", "part"]).join(sets, "cid")
+    stored = members.groupBy("to", "part").applyInArrow(lambda rows: _store_part(rows, words, percent), PART_FIELDS)
+    stored = stage(stored, "stored-parts")
+    inside = stored.select(F.explode(F.arrays_zip("u", "v")).alias("link")).select("link.u", "link.v")
+
     at = ["to", "part", "slice"]
-    roles = asked.select("cid", *at, F.lit(True).alias("asks"), F.lit(False).alias("loose"))
-    roles = roles.union(held.select("cid", *at, F.lit(False).alias("asks"), "loose"))
-    opened = stage(roles, "part-roles").join(sets, "cid").groupBy(*at)
-    return opened.applyInArrow(lambda rows: _open(rows, words, percent), "u bigint, v bigint")
+    asked = queries.join(loads, ["to", "part"]).withColumn("slice", F.pmod(F.xxhash64("cid"), F.col("slices")).cast("int"))
+    asked = asked.join(sets, "cid").select(*at, F.lit(True).alias("asks"), "cid", "body")
+    held = stored.join(loads, ["to", "part"]).filter("slices > 0").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    needs = ("union", "n_union", "least", "sizes", "members", "names", "connected")
+    held = held.select(*at, F.lit(False).alias("asks"), F.struct(*needs).alias("row"))
+    rows = asked.unionByName(held, allowMissingColumns=True).repartition(*at).sortWithinPartitions(*at, "asks")
+    opened = rows.mapInArrow(partial(_open, words=words, percent=percent), "u bigint, v bigint")
+    return inside.union(opened)
