@@ -14,6 +14,7 @@ from peerledger.llm.metric_join import near_vectors
 from peerledger.llm.mixing import mix
 from peerledger.llm.registry import query, table
 from peerledger.llm.sharding import shard
+from peerledger.llm.spelling import spelling_forms, word_counts
 from peerledger.llm.suffix_dedup import remove_repeats
 from peerledger.llm.token_store import read_tokens, write_tokens
 from peerledger.session import fresh_path
@@ -195,3 +196,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.col("n_bytes") - F.octet_length("kept")
     n_spans = F.size("spans").cast("bigint").alias("n_spans")
     return rows.select("doc.doc_id", "n_bytes", removed.alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = word_counts(table(spark, sf_dir, "documents"), least_length=6, least_count=5, deletion=199)
+    return spelling_forms(words, ratio=5)
