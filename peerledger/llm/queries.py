@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerledger.llm.alignment import align
 from peerledger.llm.bpe import decode, encode
 from peerledger.llm.chat_format import rotate
 from peerledger.llm.exact_dedup import exact_dedup
@@ -198,6 +199,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc.doc_id", "n_bytes", removed.alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return rows.withColumn("groups_sha256", digest).drop("groups")
+
+
 @query("op13_spelling_variants")
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = word_counts(table(spark, sf_dir, "documents"), least_length=6, least_count=5, deletion=199)
