@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import io
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,28 +18,103 @@ from pyspark.sql import types as T
 from peerledger.functions.coerce import to_int
 from peerledger.operators.sampling import head_sample
 
+FOOTERS_A_TASK = 16
+#: What Spark's readers report where a path has no Parquet files.
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, year_marker: str | None = None) -> DataFrame:
     """Parquet files under a path or glob; a missing path is reported with its name.
 
     With a contract, each file is read in its own types and cast to the contract, since Parquet does not read a number as text and
-    batches of one table disagree. Names match whatever their case; a column that a file lacks is NULL. Files of one schema are
-    read together, so pruning and pushed filters stay; finding the schemas reads one footer per file on the driver. With
-    `year_marker` a column `year` is taken from the path.
+    batches of one table disagree. Names match whatever their case; a column that a file lacks is NULL; partition folders below
+    the path, or below the last folder before a glob, are columns and prune files. Executors read the footers, in one job whatever the
+    number of files. Files of one schema are read together, so pruning and pushed filters stay. With `year_marker` a column `year`
+    is taken from the path.
     """
     try:
-        whole = spark.read.parquet(path)
-        if schema is None:
-            return whole if year_marker is None else with_path_year(whole, year_marker)
-        groups: dict[str, list[str]] = {}
-        for file in sorted(whole.inputFiles()):
-            groups.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+        whole = spark.read.options(**_base(path)).parquet(path)
     except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] not in MISSING:
+            raise
         raise FileNotFoundError(f"no readable parquet at {path}") from e
-    parts = [_to_contract(spark.read.parquet(*files), schema, year_marker) for files in groups.values()]
-    if not parts:
+    if schema is None:
+        return whole if year_marker is None else with_path_year(whole, year_marker)
+    groups = same_schema(spark, [unquote(f) for f in whole.inputFiles()])
+    if len(groups) < 2 and "" not in groups:
         return _to_contract(whole, schema, year_marker)
-    return reduce(DataFrame.unionByName, parts)
+    read = spark.read.options(**(_base(path) or {"basePath": path}))
+    parts = [read.option("mergeSchema", str(not shape).lower()).parquet(*group) for shape, group in groups.items()]
+    return reduce(DataFrame.unionByName, [_to_contract(part, schema, year_marker) for part in parts])
+
+
+def _base(path: str) -> dict[str, str]:
+    """The folder from which partition folders count, where the path is a glob; Spark takes a plain path itself."""
+    parts = path.rstrip("/").split("/")
+    globbed = next((i for i, p in enumerate(parts) if re.search(r"[*?\[{]", p)), None)
+    if globbed is not None:
+        return {"basePath": "/".join(parts[:globbed]) or "/"}
+    return {"basePath": "/".join(parts[:-1])} if parts[-1].endswith(".parquet") and len(parts) > 1 else {}
+
+
+def _shape(source) -> str:
+    """Names and types of a Parquet footer."""
+    import pyarrow.parquet as pq
+
+    found = pq.read_metadata(source).schema
+    columns = (found.column(i) for i in range(len(found)))
+    return "; ".join(f"{c.path} {c.physical_type} {c.logical_type} {c.max_repetition_level}" for c in columns)
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, shape); the shape is NULL where only Spark can open the path."""
+    from pyarrow import fs
+
+    def shape(path: str) -> str | None:
+        try:
+            local = re.sub(r"^file:/*", "/", path)
+            store, inner = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
+            with store.open_input_file(inner) as file:
+                return _shape(file)
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+            return None
+
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(map(shape, paths), pa.string())], ["path", "shape"])
+
+
+def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shapes = [_shape(io.BytesIO(content)) for content in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shapes, pa.string())], ["path", "shape"])
+
+
+def same_schema(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files by the schema of their footers, which executors read. Files in a store that only Spark's readers open are one group, named
+    by the empty text, if Spark can merge their schemas; if not, they are read whole to tell. The list of files is the driver's, as in any scan."""
+    if not files:
+        return {}
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(-(-len(files) // FOOTERS_A_TASK))
+    rows = listed.mapInArrow(_footers, "path string, shape string").collect()
+    unread = sorted(r["path"] for r in rows if r["shape"] is None)
+    groups: dict[str, list[str]] = {}
+    if unread and mergeable(spark, unread):
+        groups[""] = unread
+    elif unread:
+        whole = spark.read.format("binaryFile").load(unread).select("path", "content")
+        rows += whole.mapInArrow(_whole_files, "path string, shape string").collect()
+    for path, shape in sorted((r["path"], r["shape"]) for r in rows if r["shape"] is not None):
+        groups.setdefault(shape, []).append(path)
+    return groups
+
+
+def mergeable(spark: SparkSession, files: Sequence[str]) -> bool:
+    try:
+        spark.read.option("mergeSchema", "true").parquet(*files)
+    except (PySparkException, Py4JJavaError):  # the merging tasks fail where footers disagree
+        return False
+    return True
 
 
 def _to_contract(df: DataFrame, schema: T.StructType, year_marker: str | None) -> DataFrame:

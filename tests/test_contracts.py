@@ -1,7 +1,9 @@
 import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import rows
 from peerledger import schemas as S
@@ -24,6 +26,74 @@ def test_files_of_different_types_meet_one_contract(spark, tmp_path):
     )
 
 
+def jobs_of(spark, name, action):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        result = action()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def many_files(folder, files):
+    """Three schemas in turn, in folders of years."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    kinds = [("npi", pa.string()), ("NPI", pa.int64()), ("npi", pa.float64())]
+    for i in range(files):
+        name, kind = kinds[i % 3]
+        (folder / f"year={2018 + i % 4}").mkdir(parents=True, exist_ok=True)
+        table = pa.table({name: pa.array([i], pa.int64()).cast(kind), "excltype": pa.array([f"1128a{i}"])})
+        pq.write_table(table, folder / f"year={2018 + i % 4}" / f"part-{i:05d}.parquet")
+
+
+def test_many_files_of_three_schemas(spark, tmp_path):
+    few, many = tmp_path / "few table", tmp_path / "many"
+    many_files(few, 24)
+    many_files(many, 600)
+    contract = T.StructType([*S.EXCLUSIONS.fields, T.StructField("year", T.IntegerType())])
+    _, fewer = jobs_of(spark, "few", lambda: tables.scan(spark, str(few), contract))
+    got, jobs = jobs_of(spark, "many", lambda: tables.scan(spark, str(many), contract))
+    assert jobs <= fewer + 4  # listing many files takes jobs of its own; none is per file
+    assert sorted(int(float(r.npi)) for r in got.collect()) == list(range(600))
+    assert {(r.excltype, r.year) for r in got.select("excltype", "year").collect()} == {(f"1128a{i}", 2018 + i % 4) for i in range(600)}
+    pruned = got.filter("year = 2019")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(year") == 3
+    assert pruned.count() == 150
+
+
+def test_files_that_agree_keep_their_partitions(spark, tmp_path):
+    frame = spark.range(20).select(F.col("id").cast("string").alias("npi"), (2018 + F.col("id") % 4).cast("int").alias("year"))
+    frame.write.partitionBy("year").parquet(str(tmp_path / "t"))
+    contract = T.StructType([T.StructField("npi", T.StringType()), T.StructField("year", T.IntegerType()), T.StructField("other", T.DoubleType())])
+    for path in ("t", "t/year=*", "t/*/*.parquet"):
+        got = tables.scan(spark, str(tmp_path / path), contract)
+        assert rows(got) == sorted([(str(i), 2018 + i % 4, None) for i in range(20)], key=repr)
+
+
+def test_footers_of_a_store_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    many_files(tmp_path / "t", 6)
+    files = sorted(f"file://{p}" for p in (tmp_path / "t").rglob("*.parquet"))
+
+    def unreadable(batches):
+        for batch in batches:
+            paths = batch.column(0)
+            yield pa.RecordBatch.from_arrays([paths, pa.nulls(len(paths), pa.string())], ["path", "shape"])
+
+    expected = [[p.rsplit("/", 1)[1] for p in group] for group in tables.same_schema(spark, files).values()]
+    monkeypatch.setattr(tables, "_footers", unreadable)
+    got = [[p.rsplit("/", 1)[1] for p in group] for group in tables.same_schema(spark, files).values()]
+    assert sorted(map(sorted, got)) == sorted(map(sorted, expected)) and len(got) == 3
+
+
+def test_a_missing_path_is_named(spark, tmp_path):
+    for contract in (None, S.EXCLUSIONS):
+        with pytest.raises(FileNotFoundError, match="nowhere"):
+            tables.scan(spark, str(tmp_path / "nowhere"), contract)
+
+
 def test_years_of_files_with_numbers(spark, tmp_path):
     for year, kind, value in ((2019, "bigint", 7), (2020, "string", "8")):
         spark.createDataFrame([(1, value)], f"Rndrng_NPI bigint, Tot_Srvcs {kind}").write.parquet(str(tmp_path / f"claims_details_{year}"))
