@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache, partial
@@ -29,11 +30,15 @@ from peerledger.llm.words import BYTE, slices, split_words, spread
 from peerledger.session import stage, staging
 
 BLOCK_CHARS = 8_000_000
-SLICE_CHARS = 400_000
+SLICE_CHARS = 800_000
 CACHED_WORDS = 150_000
 SPACE_MARK = "▁"
 
 
+def _sums(per_item: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate(([0], np.cumsum(per_item)))[ends], prepend=0)
+
+
 @dataclass
 class Tokens:
     """Token ids of a list of texts end to end, how many each text has, and which texts hold a word that its tokens do not spell."""
@@ -54,25 +59,39 @@ class Side:
         self.sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
         self.spaced = np.fromiter((b.startswith(b" ") for b in spelt), bool, len(spelt))
         self.shown = [str(i) for i in range(len(spelt))]
-        self.known: dict[str, tuple[np.ndarray, bool]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 4 bytes each
+        self.wrong: set[str] = set()  # of the known words
 
     def spells(self, ids: Sequence[int], text: str) -> bool:
         return b"".join([self.spelt[i] for i in ids]) == text.encode()
 
+    def _remember(self, words: list[str]) -> None:
+        new = [array("I", ids) for ids in self.encode(words)]
+        self.known.update((w, ids.tobytes()) for w, ids in zip(words, new))
+        flat = np.frombuffer(b"".join(new), np.uint32)
+        lengths = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        same = np.array_equal(_sums(self.sizes[flat], ends), lengths)
+        if not (same and b"".join([self.spelt[i] for i in flat.tolist()]) == "".join(words).encode()):
+            self.wrong.update(w for w, ids in zip(words, new) if not self.spells(ids, w))
+
     def tokens(self, texts: Sequence[str]) -> Tokens:
         words, numbers, per_text = self.split(texts)
-        missing = [w for w in words if w not in self.known]
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        for w, ids in zip(missing, self.encode(missing)):
-            self.known[w] = np.array(ids, np.uint32), self.spells(ids, w)
-        found = [self.known[w] for w in words]
-        counts = np.fromiter((len(ids) for ids, _ in found), np.int64, len(found))
-        flat = np.concatenate([np.zeros(0, np.uint32), *(ids for ids, _ in found)])
-        ids, sizes = spread(numbers, flat, counts)
+        found = list(map(self.known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            if len(self.known) + len(missing) > CACHED_WORDS:
+                self.known = {w: ids for w, ids in zip(words, found) if ids is not None}
+                self.wrong &= self.known.keys()
+            self._remember([words[i] for i in missing])
+            found = list(map(self.known.get, words))
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, sizes = spread(numbers, np.frombuffer(b"".join(found), "<u4"), counts)
         owner = np.repeat(np.arange(len(texts)), per_text)
-        wrong = ~np.fromiter((ok for _, ok in found), bool, len(found))
-        misspelt = np.bincount(owner[wrong[numbers]], minlength=len(texts)) > 0
+        misspelt = np.zeros(len(texts), bool)
+        if self.wrong:
+            wrong = np.fromiter(map(self.wrong.__contains__, words), bool, len(words))
+            misspelt[owner[wrong[numbers]]] = True
         return Tokens(ids, np.bincount(owner, sizes, len(texts)).astype(np.int64), misspelt)
 
     def whole(self, text: str) -> Tokens:
@@ -178,10 +197,10 @@ class Block:
 
         here = np.empty(len(first), np.int64)
         fresh: list[int] = []
-        spans = zip(first.tolist(), from_a[first].tolist(), to_a[first].tolist(), from_b[first].tolist(), to_b[first].tolist())
+        data_a, data_b = left.ids.tobytes(), right.ids.tobytes()
+        spans = zip(first.tolist(), *((4 * at[first]).tolist() for at in (from_a, to_a, from_b, to_b)))
         for i, (w, a0, a1, b0, b1) in enumerate(spans):
-            key = left.ids[a0:a1].tobytes(), right.ids[b0:b1].tobytes()
-            number = self.numbers.setdefault(key, len(self.numbers))
+            number = self.numbers.setdefault((data_a[a0:a1], data_b[b0:b1]), len(self.numbers))
             here[i] = number
             if number == len(self.shown) + len(fresh):
                 fresh.append(w)
@@ -195,16 +214,20 @@ class Block:
             known = np.fromiter((self.pairs.setdefault(c, len(self.pairs)) for c in distinct.tolist()), np.int64, len(distinct))
             self.links.append(known[back])
             self.n_links += sizes.tolist()
-            for s, e, a0, b0 in zip(start[new].tolist(), stop[new].tolist(), from_a[new].tolist(), from_b[new].tolist()):
+            shared = np.flatnonzero(kind[at] == 3)  # ends of groups; the last one of a window is its end
+            cut_a, cut_b = done_a[at[shared]].tolist(), done_b[at[shared]].tolist()
+            per_window = np.diff(np.searchsorted(shared, np.cumsum(sizes)), prepend=0).tolist()
+            shown_a, shown_b = (list(map(side.shown.__getitem__, t.ids.tolist())) for side, t in ((a, left), (b, right)))
+            k = 0
+            for n, a0, b0 in zip(per_window, from_a[new].tolist(), from_b[new].tolist()):
                 groups = []
-                for k in range(s, e):
-                    if kind[k] == 3:
-                        a1, b1 = int(done_a[k]), int(done_b[k])
-                        some_a, some_b = left.ids[a0:a1].tolist(), right.ids[b0:b1].tolist()
-                        groups.append(",".join([a.shown[t] for t in some_a]) + "|" + ",".join([b.shown[t] for t in some_b]))
-                        a0, b0 = a1, b1
-                self.shown.append(";".join(groups))
-                self.n_groups.append(len(groups))
+                for k in range(k, k + n):
+                    a1, b1 = cut_a[k], cut_b[k]
+                    groups.append(",".join(shown_a[a0:a1]) + "|" + ",".join(shown_b[b0:b1]))
+                    a0, b0 = a1, b1
+                k += 1
+                self.shown.append(";".join(groups) if n > 1 else groups[0])
+            self.n_groups += per_window
         numbers = here[local]
         counted = np.bincount(numbers, minlength=len(self.shown))
         counted[: len(self.seen)] += self.seen
@@ -292,10 +315,6 @@ def _blocks(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, key: pa
         yield _block_row(block, key)
 
 
-def _sums(per_item: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate(([0], np.cumsum(per_item)))[ends], prepend=0)
-
-
 def _documents(rows: pa.Table, values: pa.Table, key: pa.DataType) -> pa.Table:
     """The documents of a block, from its rows and the corpus-wide (number, count, best) of its pairs."""
     found = rows.to_pylist()
