@@ -18,6 +18,8 @@ from peerledger.llm.sharding import shard
 from peerledger.llm.spelling import spelling_forms, word_counts
 from peerledger.llm.suffix_dedup import remove_repeats
 from peerledger.llm.token_store import read_tokens, write_tokens
+from peerledger.llm.url_filter import ALLOW, BLOCK, Rule, judge
+from peerledger.llm.url_filter import train as train_urls
 from peerledger.session import fresh_path
 
 END_OF_DOCUMENT = 1
@@ -210,3 +212,46 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = word_counts(table(spark, sf_dir, "documents"), least_length=6, least_count=5, deletion=199)
     return spelling_forms(words, ratio=5)
+
+
+#: The labelled URL table: names of sites that a text corpus leaves out, and of sites that it takes. Each gets a prefix, a
+#: domain and a path in turn, so that only the names tell the labels apart.
+UNWANTED = (
+    "casino poker slots roulette jackpot lottery bets betting bingo wager casino-bonus win-prize big-win pills cheap-pills pharma-discount "
+    "viagra cheap-meds diet-pills weight-loss adult adult-cams porn xxx sex-chat escort hot-girls nude spam spam-links link-farm seo-farm "
+    "ads adserver ads-network track tracker track-clicks banner popup clicks free-gift free-money free-spins payday loans quick-loans "
+    "crypto-bonus replica warez cracks keygen torrents"
+).split()
+WANTED = (
+    "news daily-news journal library museum university school science weather recipes garden travel health city-council parks docs wiki "
+    "forum research history music books sport art theatre cinema photos maps trains flights hotel kitchen family parents students teachers "
+    "physics biology chemistry mathematics languages grammar dictionary letters poems stories radio television magazine review opinion "
+    "economy finance bank insurance law court parliament election village mountain river ocean island forest animals birds flowers farmers "
+    "market bakery coffee tea wine cheese bread fishing running cycling football tennis chess puzzles toys crafts sewing furniture "
+    "architecture bridges engineering software hardware networks database security robots space planets climate energy water recycling "
+    "thornton rensher anderly londhart ashton bethany whithorn erlington oreland handover"
+).split()
+
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    prefixes, endings, paths = ("", "www.", "blog.", "m."), ("com", "org", "net"), ("en/{}", "de/{}/", "fr/{}.html", "es/{}?page=2", "about", "")
+    rows = []
+    for blocked, names in ((1, UNWANTED), (0, WANTED)):
+        for i, name in enumerate(names):
+            path = paths[i % len(paths)].format(100 + 7919 * i % 50000)
+            rows.append((f"https://{prefixes[i % len(prefixes)]}{name}.example.{endings[i % len(endings)]}/{path}", blocked))
+    return spark.createDataFrame(rows, "url string, blocked int")
+
+
+RULES = (
+    Rule(ALLOW, "org", "/"),
+    Rule(BLOCK, "example.org", "/es/"),
+    Rule(BLOCK, "example.org", "/en/1"),
+    Rule(ALLOW, "com", "/fr/"),
+    Rule(BLOCK, "com", "/de/"),
+)
+
+
+@query("op12_url_filter")
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), train_urls(labelled_urls(spark)), RULES)
