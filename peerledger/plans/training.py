@@ -6,12 +6,15 @@ import math
 import random
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass, field, replace
 from threading import Lock
 
+import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,7 +28,7 @@ from peerledger.operators.clean import audit_nulls
 from peerledger.operators.labels import class_distribution
 from peerledger.plans import runlog
 from peerledger.plans.features import ROW_KEY, row_keys
-from peerledger.session import fresh_path, stage, stage_counted
+from peerledger.session import delete_path, fresh_path, stage, stage_counted
 
 # Trees send values below every threshold left, so missing values form their own branch.
 MISSING = -1e12
@@ -70,6 +73,8 @@ SPACE_B = {
     "row_fraction": Range(0.6, 1.0),
     "column_fraction": Range(0.6, 1.0),
     "min_child": Range(0.001, 10, log=True),
+    "l1": Range(0, 10),
+    "l2": Range(0, 10),
     "positive_weight": Range(25, 100),
 }
 
@@ -79,8 +84,8 @@ class Learner:
     """A boosted-tree family: its search space and how drawn values become estimator settings.
 
     `min_gain` is a total over the rows of a node, whereas Spark compares a mean, hence the
-    division by the training rows. A leaf limit becomes a depth limit. L1/L2 leaf penalties have
-    no counterpart in Spark's trees.
+    division by the training rows. A leaf limit becomes a depth limit. Where `l1` or `l2` is set, leaf
+    values are fitted again with these penalties (`refit_leaves`).
     """
 
     name: str
@@ -97,17 +102,18 @@ class Learner:
         fixed = {"max_depth": 3, "learning_rate": 0.1, "row_fraction": 0.9, "column_fraction": 0.9}
         return fixed | {"min_child": 1, "positive_weight": 25.0}
 
-    def estimator(self, params: Mapping[str, float], rows: int) -> GBTClassifier:
+    def depth(self, params: Mapping[str, float]) -> int:
         depth = int(params["max_depth"])
-        if "leaves" in params:
-            depth = min(depth, math.ceil(math.log2(params["leaves"])))
+        return min(depth, math.ceil(math.log2(params["leaves"]))) if "leaves" in params else depth
+
+    def estimator(self, params: Mapping[str, float], rows: int) -> GBTClassifier:
         return GBTClassifier(
             labelCol=S.LABEL,
             featuresCol="features",
             weightCol="weight",
             predictionCol=f"prediction_{self.name}",
             maxIter=self.rounds,
-            maxDepth=depth,
+            maxDepth=self.depth(params),
             stepSize=params["learning_rate"],
             subsamplingRate=params["row_fraction"],
             featureSubsetStrategy=str(round(params["column_fraction"], 4)),
@@ -118,13 +124,67 @@ class Learner:
         )
 
     def fit(self, train: DataFrame, params: Mapping[str, float], rows: int):
-        weighted = sampling.class_weight(train, params["positive_weight"])
-        model = self.estimator(params, rows).fit(weighted.select("features", S.LABEL, "weight"))
+        weighted = sampling.class_weight(train, params["positive_weight"]).select("features", S.LABEL, "weight")
+        model = self.estimator(params, rows).fit(weighted)
+        if params.get("l1", 0.0) or params.get("l2", 0.0):
+            model = refit_leaves(model, weighted, params.get("l1", 0.0), params.get("l2", 0.0))
         model.setProbabilityCol(f"probability_{self.name}")
         model.setRawPredictionCol(f"raw_{self.name}")
         return model
 
 
+def _leaf_sums(batches: Iterator[pa.RecordBatch], values: np.ndarray, shrink: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sums of gradients and hessians per (tree, leaf), from rows (leaf of each tree, label, weight)."""
+    gradients, hessians = np.zeros(values.shape), np.zeros(values.shape)
+    trees = np.arange(len(values))
+    for batch in batches:
+        leaf = batch.column(0).flatten().to_numpy().reshape(-1, len(values)).astype(np.int64)
+        label, weight = (batch.column(i).cast("double").to_numpy() for i in (1, 2))
+        steps = 2 * shrink * values[trees, leaf]  # Spark's margin is half the log odds
+        before = np.cumsum(steps, axis=1) - steps
+        chance = 1 / (1 + np.exp(-before))
+        np.add.at(gradients, (trees, leaf), weight[:, None] * (chance - label[:, None]))
+        np.add.at(hessians, (trees, leaf), weight[:, None] * chance * (1 - chance))
+    tree, leaf = np.nonzero(hessians)
+    columns = [pa.array(tree, pa.int32()), pa.array(leaf, pa.int32()), pa.array(gradients[tree, leaf]), pa.array(hessians[tree, leaf])]
+    yield pa.RecordBatch.from_arrays(columns, ["tree", "leaf", "g", "h"])
+
+
+def refit_leaves(model: GBTClassificationModel, train: DataFrame, l1: float, l2: float) -> GBTClassificationModel:
+    """The same trees with penalised leaf values: -soft(G, l1) / (H + l2) in log odds, times the tree's weight, where G and H sum the
+    leaf's gradients and hessians of the logistic loss at the margin of the trees before, and soft moves G towards 0 by at most l1.
+
+    One aggregation of (features, label, weight) serves all trees, so the margins are those of the trees as first fitted. What is
+    collected are the leaves, at most rounds times 2**depth.
+    """
+    spark = train.sparkSession
+    path, again = fresh_path(spark, "boosted-trees"), fresh_path(spark, "refitted-trees")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    in_order = Window.partitionBy("treeID").orderBy("nodeData.id")
+    leaves = nodes.filter("nodeData.leftChild < 0").withColumn("leaf", F.row_number().over(in_order) - 1)
+    leaves = leaves.select(F.col("treeID").alias("tree"), "leaf", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("value"))
+    found = leaves.toPandas()
+    values = np.zeros((len(model.treeWeights), int(found["leaf"].max()) + 1))
+    values[found["tree"], found["leaf"]] = found["value"]
+    shrink = np.array(model.treeWeights)
+    reached = model.copy().setLeafCol("leaf").transform(train).select(vector_to_array("leaf").alias("leaf"), S.LABEL, "weight")
+    partial_sums = reached.mapInArrow(lambda batches: _leaf_sums(batches, values, shrink), "tree int, leaf int, g double, h double")
+    sums = partial_sums.groupBy("tree", "leaf").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    soft = F.signum("g") * F.greatest(F.abs("g") - F.lit(float(l1)), F.lit(0.0))
+    newton = F.coalesce(-F.try_divide(soft, F.col("h") + F.lit(float(l2))), F.lit(0.0)) / 2
+    fitted = leaves.join(sums, ["tree", "leaf"]).select(F.col("tree").alias("treeID"), F.col("id").alias("_id"), newton.alias("_value"))
+    matched = nodes.join(fitted, (nodes["treeID"] == fitted["treeID"]) & (F.col("nodeData.id") == F.col("_id")), "left")
+    value = F.coalesce("_value", "nodeData.prediction")
+    matched.select(nodes["treeID"], F.col("nodeData").withField("prediction", value).alias("nodeData")).write.parquet(f"{again}/data")
+    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{again}/metadata")
+    spark.read.parquet(f"{path}/treesMetadata").write.parquet(f"{again}/treesMetadata")
+    loaded = GBTClassificationModel.load(again)
+    delete_path(spark, path)
+    delete_path(spark, again)
+    return loaded
+
+
 @dataclass(frozen=True)
 class TrainingOptions:
     folds: int = 3
@@ -133,7 +193,7 @@ class TrainingOptions:
     ratio: float = 100
     seed: int = 42
     threshold: float = S.DEFAULT_THRESHOLD
-    parallelism: int = 1
+    parallelism: int = 8  # fits at once
     learner_a: Learner = field(default_factory=lambda: Learner("a", SPACE_A))
     learner_b: Learner = field(default_factory=lambda: Learner("b", SPACE_B))
 
@@ -235,16 +295,38 @@ def score(df: DataFrame, model, name: str) -> DataFrame:
     return scored.select(*df.columns, probability)
 
 
+def fit_each(data: Prepared, wanted: Sequence[tuple[int | None, Learner, Mapping[str, float]]]) -> list:
+    """A model for each (fold, learner, params), fitted on the training rows of the fold (all rows for None).
+
+    A fit runs a small job per tree level, so one fit alone leaves a cluster idle between them: `parallelism` fits run at once, in
+    the caller's scheduler pool, deep trees first because they take longest. Fits of one fold share its training rows.
+    """
+    with ExitStack() as held:
+        trains = {}
+        for fold in {fold for fold, *_ in wanted}:
+            rows, count = data.training_rows(fold)
+            trains[fold] = held.enter_context(persisted(rows)), count
+
+        def fit(fold: int | None, learner: Learner, params: Mapping[str, float]):
+            rows, count = trains[fold]
+            return learner.fit(rows, params, count)
+
+        order = sorted(range(len(wanted)), key=lambda i: -wanted[i][1].depth(wanted[i][2]))
+        with ThreadPoolExecutor(max_workers=max(1, data.options.parallelism)) as pool:
+            started = {i: pool.submit(inheritable_thread_target(fit), *wanted[i]) for i in order}
+            return [started[i].result() for i in range(len(wanted))]
+
+
 def out_of_fold(data: Prepared, chosen: Sequence[tuple[Learner, Mapping[str, float]]]) -> DataFrame:
     """(row_key, fold, label, score_<learner>...): each row scored by models that never saw its
     provider. Both learners score a row in the same pass, so nothing is aligned by position."""
+    wanted = [(fold, learner, params) for fold in sorted(data.counts) for learner, params in chosen]
+    models = iter(fit_each(data, wanted))
     parts = []
     for fold in sorted(data.counts):
-        train, rows = data.training_rows(fold)
         scored = data.frame.filter(F.col("fold") == fold)
-        with persisted(train) as train:
-            for learner, params in chosen:
-                scored = score(scored, learner.fit(train, params, rows), learner.name)
+        for learner, _ in chosen:
+            scored = score(scored, next(models), learner.name)
         names = [f"score_{learner.name}" for learner, _ in chosen]
         parts.append(scored.select("row_key", "fold", S.LABEL, *names))
     return folds.union_parts(parts)
@@ -260,16 +342,23 @@ def cross_validate(data: Prepared, learner: Learner, params: Mapping[str, float]
 
 
 def search(data: Prepared, learner: Learner, trials: int | None = None) -> DataFrame:
-    """(trial, params, metrics): seeded random draws, each judged by its cross-validated means."""
+    """(trial, params, metrics): seeded random draws, each judged by its cross-validated means.
+
+    All trials and folds are fitted side by side; the held-out scores of all are written once, and one pass computes their metrics.
+    """
     rng = random.Random(data.options.seed)
     draws = [learner.draw(rng) for _ in range(trials or data.options.trials)]
-
-    def run(trial: int) -> tuple[int, dict[str, float], dict[str, float]]:
-        means = metrics.cv_mean(cross_validate(data, learner, draws[trial])).first().asDict()
-        return trial, {k: float(v) for k, v in draws[trial].items()}, means
-
-    with ThreadPoolExecutor(max_workers=max(1, data.options.parallelism)) as pool:
-        results = list(pool.map(run, range(len(draws))))
+    wanted = [(trial, fold) for trial in range(len(draws)) for fold in sorted(data.counts)]
+    models = fit_each(data, [(fold, learner, draws[trial]) for trial, fold in wanted])
+    name = f"score_{learner.name}"
+    parts = []
+    for (trial, fold), model in zip(wanted, models):
+        scored = score(data.frame.filter(F.col("fold") == fold), model, learner.name)
+        parts.append(scored.select(F.lit(trial).alias("trial"), "fold", S.LABEL, name))
+    scored = stage(folds.union_parts(parts), "trial-scores")
+    per_fold = metrics.fold_metrics(scored, ["trial", "fold"], data.options.threshold, S.LABEL, name)
+    means = {r["trial"]: {k: v for k, v in r.asDict().items() if k != "trial"} for r in metrics.cv_mean(per_fold, ["trial"]).collect()}
+    results = [(trial, {k: float(v) for k, v in draw.items()}, means[trial]) for trial, draw in enumerate(draws)]
     schema = "trial int, params map<string,double>, metrics map<string,double>"
     return data.frame.sparkSession.createDataFrame(results, schema)
 
@@ -330,10 +419,7 @@ def stacker_report(oof: DataFrame, stacker, threshold: float = S.DEFAULT_THRESHO
 
 def fit_final(data: Prepared, params_a: Mapping[str, float], params_b: Mapping[str, float]):
     """Both learners on the undersampled whole table."""
-    train, rows = data.training_rows(None)
-    with persisted(train) as train:
-        a = data.options.learner_a.fit(train, params_a, rows)
-        b = data.options.learner_b.fit(train, params_b, rows)
+    a, b = fit_each(data, [(None, data.options.learner_a, params_a), (None, data.options.learner_b, params_b)])
     return a, b
 
 

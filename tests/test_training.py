@@ -141,3 +141,51 @@ def test_model_queries_train_on_all_providers(monkeypatch):
     monkeypatch.setattr(model_queries, "stage", lambda df, name: df)
     monkeypatch.setattr(training, "prepare", lambda table, keys, options: table)
     assert model_queries.prepared(None, "") == ("detail", "summary", "exclusions")
+
+
+def test_penalised_leaves_follow_the_closed_form(spark):
+    import random
+
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    draw = random.Random(2)
+    points = [(draw.random(), draw.random()) for _ in range(300)]
+    rows = [(Vectors.dense(x), int(x[0] + 0.4 * draw.random() > 0.8), 1.0 + i % 3) for i, x in enumerate(points)]
+    train = spark.createDataFrame(rows, ["features", "fraud_label", "weight"])
+    learner = replace(training.Learner("b", training.SPACE_B), rounds=4)
+    model = learner.estimator(learner.defaults(), len(rows)).fit(train)
+    old = [[tree.predict(Vectors.dense(x)) for x in points] for tree in model.trees]
+    leaf = [[tree.predictLeaf(Vectors.dense(x)) for x in points] for tree in model.trees]
+    y, w = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    for l1, l2 in ((0.0, 3.0), (4.0, 0.5), (1e6, 0.0)):
+        refitted = training.refit_leaves(model, train, l1, l2)
+        assert refitted.treeWeights == model.treeWeights
+        before = np.zeros(len(points))
+        for t, weight in enumerate(model.treeWeights):
+            chance = 1 / (1 + np.exp(-before))
+            for number in set(leaf[t]):
+                inside = np.array(leaf[t]) == number
+                g, h = (w * (chance - y))[inside].sum(), (w * chance * (1 - chance))[inside].sum()
+                expected = -np.sign(g) * max(abs(g) - l1, 0.0) / (h + l2) / 2
+                got = refitted.trees[t].predict(Vectors.dense(points[int(np.flatnonzero(inside)[0])]))
+                assert got == pytest.approx(expected, abs=1e-9)
+            before += 2 * weight * np.array(old[t])
+
+
+def test_penalties_change_predictions(data):
+    learner = replace(OPTIONS.learner_b, rounds=2)
+    train, rows = data.training_rows(0)
+    plain = learner.defaults()
+    scored = data.frame
+    for name, params in (("plain", plain), ("ridge", plain | {"l2": 5.0})):
+        model = learner.fit(train, params, rows)
+        scored = training.score(scored.drop("prediction_b", "raw_b", "probability_b"), model, "b").withColumnRenamed("score_b", name)
+    assert scored.filter("plain <> ridge").count() > 0
+
+
+def test_fits_at_once_and_one_by_one_agree(data):
+    learner, params = OPTIONS.learner_a, OPTIONS.learner_a.defaults()
+    alone = replace(data, options=replace(data.options, parallelism=1))
+    results = [sorted(map(tuple, training.cross_validate(d, learner, params).collect())) for d in (data, alone)]
+    assert results[0] == results[1]
