@@ -337,6 +337,12 @@ def provider_stats_crowded(spark, sf):
     return rounded(claim_statistics(V.detail(spark, sf), crowded_rows=10))
 
 
+@query("provider_stats_sketch", STATS_SQL)
+def provider_stats_sketch(spark, sf):
+    """Medians from mergeable sketches; the groups here are small enough for them to be exact."""
+    return rounded(claim_statistics(V.detail(spark, sf), median="sketch"))
+
+
 MOMENT_COLUMNS = [f"{m}_peer_{s}" for m in S.PEER_METRICS for s in ("mean", "std")]
 MOMENT_SQL = SQL("moments", f"select rndrng_prvdr_type, {round_sql(MOMENT_COLUMNS, 4)} from moments")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,17 +17,22 @@ from peerledger.session import stage, stage_counted
 
 # Claim lines of one provider-year that a single task may hold.
 CROWDED_ROWS = 5_000_000
-VALUE_BUCKETS = 1024
+# Different values of one group that a window may sort.
+SORTED_VALUES = 100_000
+SPLITTERS = 64
+SKETCH_ACCURACY = 10_000
+EXACT, SKETCH = "exact", "sketch"
 FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _statistics(source: str, target: str, kind: T.DataType, median: bool) -> list[Column]:
+def _statistics(source: str, target: str, kind: T.DataType, median: str | None, accuracy: int) -> list[Column]:
     x = F.col(source)
+    middle = F.percentile_approx(x, 0.5, accuracy) if median == SKETCH else F.expr(f"percentile_disc(0.5) within group (order by `{source}`)")
     columns = {
         "min": F.min(x),
         "max": F.max(x),
         "mean": F.avg(x),
-        "median": F.expr(f"percentile_disc(0.5) within group (order by `{source}`)").cast(kind),
+        "median": middle.cast(kind),
         "sum": F.sum(x),
         "std": F.coalesce(F.stddev_samp(x), F.lit(0.0)),
     }
@@ -40,49 +46,84 @@ def provider_stats(
     keys: Sequence[str] = S.GROUP_KEYS,
     measures: Mapping[str, str] = S.MEASURES,
     crowded: bool = False,
+    median: str = EXACT,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Six statistics per measure; the median is the exact lower middle value.
+    """Six statistics per measure; the median is the lower middle value.
 
-    In one grouped pass, the state of a median holds the different values of its group. With `crowded` groups of any size are
-    fine: the other statistics have small mergeable states, and medians are found by `medians`.
+    In one grouped pass, the state of an exact median holds the different values of its group. With `crowded` groups of any size are
+    fine: the other statistics have small mergeable states, and medians are found by `medians`. With median="sketch" all states are
+    small and one pass does it: the median is a value whose rank is off by at most rows / accuracy, so exact in groups of up to
+    `accuracy` values.
     """
+    if median not in (EXACT, SKETCH):
+        raise ValueError(f"unknown median {median!r}")
     kinds = {f.name: f.dataType for f in detail.schema.fields}
-    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, kinds[src], not crowded)]
+    apart = crowded and median == EXACT
+    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, kinds[src], None if apart else median, accuracy)]
     grouped = detail.groupBy(*keys).agg(*columns)
-    if not crowded:
+    if not apart:
         return grouped
     middle = medians(detail, keys, measures)
     joined = grouped.withColumn(GROUP, F.struct(*keys)).join(middle, GROUP)
     return joined.select(*keys, *[f"{dst}_{s}" for dst in measures.values() for s in S.STATISTICS])
 
 
-def medians(detail: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """(group, <measure>_median...): the exact lower middle value of each measure, whatever a group holds.
-
-    Equal values are counted before the shuffle. Different values of a group are put in buckets that are monotone in the value, so
-    their running counts need no window over a whole group.
-    """
-    values = F.array(*[F.struct(F.lit(dst).alias("measure"), F.col(src).cast("double").alias("value")) for src, dst in measures.items()])
-    tall = detail.select(F.struct(*keys).alias("at"), F.explode(values).alias("v")).select("at", "v.*").filter("value is not null")
-    counted = tall.groupBy("at", "measure", "value").agg(F.count("*").alias("n"))
-    counted = stage(counted.select(F.struct("at", "measure").alias(GROUP), "value", "n"), "value-counts")
-    plain = F.when(~F.isnan("value"), F.col("value"))
-    extents = counted.groupBy(GROUP).agg(F.min(plain).alias("low"), F.max(plain).alias("high"), F.sum("n").alias("rows"))
-    placed = counted.join(stage(extents, "value-extents"), GROUP)
-    share = F.coalesce(F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
-    bucket = F.when(F.isnan("value") | F.isnan(share), VALUE_BUCKETS).otherwise(F.floor(share * (VALUE_BUCKETS - 1)).cast("int"))
-    placed = with_offsets(placed.withColumn(BUCKET, bucket), {"_before": F.sum("n")})
-    inside = Window.partitionBy(GROUP, BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto, half = F.col("_before") + F.sum("n").over(inside), F.ceil(F.col("rows") / 2)
-    middle = placed.withColumn("upto", upto).filter((F.col("upto") >= half) & (F.col("upto") - F.col("n") < half))
+def medians(detail: DataFrame, keys: Sequence[str], measures: Mapping[str, str], sorted_values: int = SORTED_VALUES) -> DataFrame:
+    """(group, <measure>_median...): the exact lower middle value of each measure in its own type, whatever a group holds."""
     types = {f.name: f.dataType for f in detail.schema.fields}
-    kinds = {dst: "double" if isinstance(types[src], FRACTIONAL) else types[src] for src, dst in measures.items()}
-    columns = [
-        F.max(F.when(F.col(f"{GROUP}.measure") == dst, F.col("value"))).cast(kind).alias(f"{dst}_median") for dst, kind in kinds.items()
-    ]
-    found = middle.groupBy(F.col(f"{GROUP}.at").alias("at")).agg(*columns)
-    every = detail.select(F.struct(*keys).alias("at")).distinct()  # groups without any value have no median
-    return every.join(found, "at", "left").withColumnRenamed("at", GROUP)
+    groups = detail.select(F.struct(*keys).alias(GROUP)).distinct()  # groups without any value have no median
+    for kind in dict.fromkeys(types[src] for src in measures):
+        own = {src: dst for src, dst in measures.items() if types[src] == kind}
+        values = F.array(*[F.struct(F.lit(dst).alias("measure"), F.col(src).alias("value")) for src, dst in own.items()])
+        tall = detail.select(F.struct(*keys).alias("at"), F.explode(values).alias("v")).select("at", "v.*").filter("value is not null")
+        counted = tall.groupBy("at", "measure", "value").agg(F.count("*").alias("n"))
+        middle = middle_values(counted.select(F.struct("at", "measure").alias(GROUP), "value", "n"), sorted_values)
+        shown = "double" if isinstance(kind, FRACTIONAL) else kind
+        columns = [F.max(F.when(F.col(f"{GROUP}.measure") == dst, F.col("value"))).cast(shown).alias(f"{dst}_median") for dst in own.values()]
+        groups = groups.join(middle.groupBy(F.col(f"{GROUP}.at").alias(GROUP)).agg(*columns), GROUP, "left")
+    return groups.select(GROUP, *[f"{dst}_median" for dst in measures.values()])
+
+
+def middle_values(counted: DataFrame, sorted_values: int = SORTED_VALUES) -> DataFrame:
+    """(group, value): the lower middle of each group's values, from different values and their counts (group, value, n).
+
+    A group of more than `sorted_values` is narrowed first. Splitters, values of the group itself chosen by hash, cut it into buckets
+    of about equally many values, however they are distributed; running counts over the buckets tell which one has the middle, and
+    only its values stay for the next round. Rounds divide a group by about SPLITTERS; the last one sorts what is left.
+    """
+    left = stage(counted, "value-counts")
+    sizes = left.groupBy(GROUP).agg(F.count("*").alias("values"), F.ceil(F.sum("n") / 2).alias("rank"))
+    ranks, turn = stage(sizes, "middle-ranks"), 0
+    done = []
+    while True:
+        large = ranks.filter(F.col("values") > sorted_values)
+        small = left.join(ranks.filter(F.col("values") <= sorted_values), GROUP)
+        inside = Window.partitionBy(GROUP).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = small.withColumn("upto", F.sum("n").over(inside))
+        done.append(upto.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(GROUP, "value"))
+        if large.isEmpty():
+            return reduce(DataFrame.union, done)
+        placed = _bucketed(left.join(large, GROUP), turn)
+        offsets = with_offsets(placed, {"before": F.sum("n")})
+        total = offsets.groupBy(GROUP, BUCKET).agg(F.first("before").alias("before"), F.sum("n").alias("own"), F.first("rank").alias("rank"), F.count("*").alias("values"))
+        holds = total.filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("own")))
+        chosen = stage(holds.select(GROUP, BUCKET, (F.col("rank") - F.col("before")).alias("rank"), "values"), "middle-buckets")
+        left = stage(placed.select(GROUP, BUCKET, "value", "n").join(chosen.select(GROUP, BUCKET), [GROUP, BUCKET]).select(GROUP, "value", "n"), "value-counts")
+        ranks, turn = chosen.select(GROUP, "values", "rank"), turn + 1
+
+
+def _bucketed(values: DataFrame, turn: int) -> DataFrame:
+    """(group, value, n, values, rank, bucket), staged. Buckets are monotone in the value. About two SPLITTERS of each group are collected."""
+    odds = F.ceil(F.col("values") / (2 * SPLITTERS))
+    drawn = values.filter(F.pmod(F.xxhash64("value", F.lit(turn)), odds) == 0)
+    splitters = drawn.groupBy(GROUP).agg(F.array_sort(F.collect_list("value")).alias("splitters"))
+    every = F.greatest(F.lit(1), F.floor(F.size("splitters") / SPLITTERS)).cast("int")
+    spaced = F.filter("splitters", lambda _, i: i % every == 0)
+    cuts = stage(splitters.select(GROUP, spaced.alias("splitters")), "value-splitters")
+    below = F.size(F.filter("splitters", lambda cut: cut <= F.col("value")))
+    joined = values.join(cuts, GROUP, "left").withColumn(BUCKET, F.coalesce(below, F.lit(0)))
+    return stage(joined.select(GROUP, "value", "n", "values", "rank", BUCKET), "bucketed-values")
 
 
 def crowded_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int]:
@@ -97,6 +138,8 @@ def claim_statistics(
     distinct: bool = True,
     layout: str = "auto",
     crowded_rows: int = CROWDED_ROWS,
+    median: str = EXACT,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Raw claim lines to provider statistics, with the cheapest layout that skew allows. The layout changes no value but the last
     digits of means and deviations.
@@ -105,7 +148,8 @@ def claim_statistics(
     statistics then need no further exchange. layout="spread" lets Spark combine map-side before
     each exchange: safe whatever one provider or one line holds, but it reads the distinct lines
     twice, for medians apart. layout="auto" counts lines per provider-year first, reading two
-    columns, and takes "spread" only for the provider-years above `crowded_rows`, if there are any.
+    columns, and takes "spread" only for the provider-years above `crowded_rows`, if there are any. With median="sketch" every state
+    is small, so lines are combined map-side in any case and read once.
     """
     lines = comparable_detail(detail, money_type)
     keys = ["_npi", "_year"]
@@ -119,6 +163,10 @@ def claim_statistics(
     def colocate(part: DataFrame) -> DataFrame:
         return provider_stats(typed(part.repartition(*keys)))
 
+    if median == SKETCH:
+        return provider_stats(typed(lines), median=SKETCH, accuracy=accuracy)
+    if median != EXACT:
+        raise ValueError(f"unknown median {median!r}")
     if layout == "spread":
         return spread(lines)
     if layout == "colocate":

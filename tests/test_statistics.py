@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from peerledger.operators import joins, peers
-from peerledger.operators.aggregate import claim_statistics, provider_stats
+from peerledger.operators.aggregate import _bucketed, claim_statistics, medians, provider_stats
+from peerledger.operators.ranking import BUCKET, GROUP
 from test_cleaning import lines
 
 
@@ -137,3 +138,46 @@ def test_staged_tables_go_to_the_named_folder(spark):
     df, count = stage_counted(spark.range(7), "some")
     assert count == 7 and df.count() == 7
     assert df.inputFiles() and all(shared_folder(spark) + "/some-" in f for f in df.inputFiles())
+
+
+def middles(values):
+    ordered = sorted(values)
+    return ordered[(len(ordered) + 1) // 2 - 1]
+
+
+@pytest.mark.parametrize("sorted_values", [10**6, 50])
+def test_medians_of_large_groups(spark, sorted_values):
+    """One far outlier, whole numbers above 2**53, repeated values, no values at all."""
+    import random
+
+    draw = random.Random(7)
+    tall = {
+        "outlier": [float(v) for v in range(20000)] + [1e12],
+        "large": [2**60 + draw.randrange(3000) for _ in range(9000)],
+        "repeated": [5] * 3000 + list(range(1500)),
+        "few": [3, 1, 2, 2],
+        "none": [None],
+    }
+    rows = [(g, float(v) if g == "outlier" else None, v if g != "outlier" else None) for g, vs in tall.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, money double, n bigint").repartition(4)
+    got = {r[0]["g"]: (r["a_median"], r["b_median"]) for r in medians(df, ["g"], {"money": "a", "n": "b"}, sorted_values).collect()}
+    expected = {g: (middles(v), None) if g == "outlier" else (None, None if g == "none" else middles(v)) for g, v in tall.items()}
+    assert got == expected
+
+
+def test_an_outlier_leaves_buckets_even(spark):
+    values = spark.range(100_000).select(F.struct(F.lit(1).alias("g")).alias(GROUP), F.when(F.col("id") == 7, 1e12).otherwise(F.col("id") / 1e6).alias("value"))
+    sized = values.select("*", F.lit(1).alias("n"), F.lit(100_000).alias("values"), F.lit(50_000).alias("rank"))
+    sizes = [r["count"] for r in _bucketed(sized, 0).groupBy(BUCKET).count().collect()]
+    assert len(sizes) > 40 and max(sizes) < 100_000 / 8
+
+
+def test_sketched_medians_are_near_in_rank(spark):
+    import random
+
+    draw = random.Random(1)
+    values = [draw.paretovariate(0.7) for _ in range(30_000)]
+    df = spark.createDataFrame([("x", v) for v in values], "g string, v double").repartition(6)
+    found = provider_stats(df, ["g"], {"v": "v"}, median="sketch", accuracy=100).first()["v_median"]
+    rank = sum(v <= found for v in values)
+    assert found in values and abs(rank - 15_000) <= 30_000 / 100
