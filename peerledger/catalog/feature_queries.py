@@ -537,6 +537,21 @@ def one_hot(spark, sf):
     return floats_out(encode.one_hot(clean.clean_detail(V.detail(spark, sf))))
 
 
+def _index_sql(column: str, i: int) -> str:
+    return f"""left join (select {column} as value{i}, row_number() over (order by md5({column} || ':42'), {column}) - 1 as index{i}
+  from (select distinct {column} from clean where {column} is not null) v) x{i} on value{i} = {column}"""
+
+
+INDEXES = ", ".join(f"cast(index{i} as bigint) as {c}_index" for i, c in enumerate(S.CATEGORICAL))
+INDEXED = " ".join(_index_sql(c, i) for i, c in enumerate(S.CATEGORICAL))
+
+
+@query("one_hot_sparse", SQL("clean", f"select {ONE_HOT_KEPT}, {INDEXES} from clean {INDEXED}"))
+def one_hot_sparse(spark, sf):
+    rows = encode.one_hot_sparse(clean.clean_detail(V.detail(spark, sf)), keep_index=True)
+    return floats_out(rows.drop(*[f"{c}_ohe" for c in S.CATEGORICAL]))
+
+
 @query(
     "fix_dtypes",
     SQL(

@@ -15,7 +15,7 @@ from peerledger.plans import runlog, training
 from peerledger.plans.features import FeatureOptions, feature_table
 from peerledger.session import fresh_path, stage
 from peerledger.sources import pages, sinks
-from peerledger.streaming.landing import land_page_stream, read_landed
+from peerledger.streaming.landing import land_page_stream, read_landed, read_progress
 
 SQL = V.with_ctes
 K = 3
@@ -362,6 +362,70 @@ def rejected_pages(spark, sf):
     return pages.rejected_pages(V.damaged_pages(spark, sf), V.RECORD).select("year", "offset")
 
 
+STARTS_SQL = f"""
+sound as (select * from paged where not ({BROKEN})),
+starts as (
+  select year, page, page * {V.PAGE_ROWS} - case when year = 2020 and page % 4 = 2 then 1 else 0 end as start, count(*) as n from sound group by year, page
+),
+totals as (select year, count(*) as total from paged group by year),
+declared as (select s.year, max(total) as total from starts s join totals t on s.year = t.year where s.page % 2 = 1 group by s.year),
+"""
+BREAKS_SQL = f"""{STARTS_SQL}
+steps as (
+  select year, pos, sum(step) as step from (select year, start as pos, 1 as step from starts union all select year, start + n, -1 from starts) m group by year, pos
+),
+cover as (select year, pos, step, sum(step) over (partition by year order by pos) as cover from steps),
+extent as (select year, min(pos) as first, max(pos) as last from steps group by year),
+found as (
+  select year, 'gap' as kind, pos as start, nxt as "end" from (
+    select *, lead(pos) over (partition by year order by pos) as nxt from cover where (cover = 0) <> (cover - step = 0)) g where cover = 0
+  union all
+  select year, 'overlap', pos, nxt from (
+    select *, lead(pos) over (partition by year order by pos) as nxt from cover where (cover > 1) <> (cover - step > 1)) o where cover > 1
+),
+edges as (select t.year, e.first, e.last, d.total from totals t left join extent e on e.year = t.year left join declared d on d.year = t.year)
+select year, kind, cast(start as bigint) as start, cast("end" as bigint) as "end" from found where "end" is not null
+union all select year, 'gap', 0, cast(coalesce(first, total) as bigint) from edges where first > 0 or first is null
+union all select year, 'gap', cast(last as bigint), cast(total as bigint) from edges where total > last"""
+
+
+@query("landing_gaps", _with_records(PAGED_AGAIN + BREAKS_SQL))
+def landing_gaps(spark, sf):
+    """The positions to fetch again, and those that were fetched twice."""
+    return pages.page_breaks(V.damaged_pages(spark, sf), V.RECORD, V.PAGE_ROWS)
+
+
+PROGRESS_SQL = f"""{STARTS_SQL}
+broken as (select year, count(distinct page) as rejected from paged where {BROKEN} group by year),
+landed as (select year, count(*) as pages, sum(n) as records, max(start + n) as reach from starts group by year)
+select t.year, cast(coalesce(l.pages, 0) as bigint) as pages, cast(coalesce(l.records, 0) as bigint) as records,
+  cast(coalesce(b.rejected, 0) as bigint) as rejected, cast(l.reach as bigint) as reach, cast(d.total as bigint) as declared_total
+from totals t left join landed l on l.year = t.year left join broken b on b.year = t.year left join declared d on d.year = t.year"""
+
+
+def _stream(spark, pages_frame: DataFrame) -> dict[str, str]:
+    folders = {n: fresh_path(spark, f"stream-{n}") for n in ("source", "target", "checkpoint", "rejected", "progress")}
+    pages_frame.write.json(folders["source"])
+    for _ in range(2):  # the second run finds nothing new
+        land_page_stream(spark, fields=V.RECORD, **folders)
+    return folders
+
+
+@query("stream_progress", _with_records(PAGED_AGAIN + PROGRESS_SQL))
+def stream_progress(spark, sf):
+    """What a stream over damaged pages has landed and set aside, year by year."""
+    return read_progress(spark, _stream(spark, V.damaged_pages(spark, sf))["progress"])
+
+
+LANDED_SQL = f"select {RECORD_COLUMNS} from paged where not ({BROKEN})"
+
+
+@query("stream_landing_damaged", _with_records(PAGED_AGAIN.rstrip(",") + "\n" + LANDED_SQL))
+def stream_landing_damaged(spark, sf):
+    """The records of the sound pages; the corrupt ones are set aside."""
+    return read_landed(spark, _stream(spark, V.damaged_pages(spark, sf))["target"])
+
+
 @query("stream_landing", SQL("records", f"select {RECORD_COLUMNS} from records"))
 def stream_landing(spark, sf):
     source, target = fresh_path(spark, "pages"), fresh_path(spark, "stream")

@@ -50,6 +50,16 @@ def with_offsets(df: DataFrame, totals: Mapping[str, Column], descending: bool =
     return df.join(offsets, [GROUP, BUCKET], "inner")
 
 
+def with_next(df: DataFrame, order: str, output: str) -> DataFrame:
+    """Add, per row of a grouped and bucketed frame, the next larger value of `order` in its group; buckets are monotone in it."""
+    firsts = df.groupBy(GROUP, BUCKET).agg(F.min(order).alias("_first"))
+    later = Window.partitionBy(GROUP).orderBy(BUCKET)
+    following = firsts.select(GROUP, BUCKET, F.lead("_first").over(later).alias("_later"))
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy(order)
+    placed = df.join(following, [GROUP, BUCKET])
+    return placed.withColumn(output, F.coalesce(F.lead(order).over(inside), F.col("_later"))).drop("_later")
+
+
 def hash_rank(
     df: DataFrame, key: str, seed: int, by: Sequence[str] = (), output: str = "rank", digits: int | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULTS = {
@@ -108,8 +108,8 @@ def shuffle_files_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write `df` once to the shared folder; return it read back, and its rows as counted by the
+def stage_measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict[str, int]]:
+    """Write `df` once to the shared folder; return it read back, and its `rows` and other aggregates as observed by the
     write itself.
 
     Later steps that use the result several times read only the columns they need, and a lost
@@ -118,13 +118,19 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     seen = Observation(name)
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in measures.items()])
     with shuffle_files_freed(spark):
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").option("compression", "zstd").parquet(path)
+        observed.write.mode("error").option("compression", "zstd").parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     scope = INNERMOST.get()
     if scope is not None:
         scope.owned.append((staged, path))
-    return staged, seen.get["rows"]
+    return staged, seen.get
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    staged, seen = stage_measured(df, name)
+    return staged, seen["rows"]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -7,13 +7,15 @@ raises unless told to leave such pages to `rejected_pages`, and the audit counts
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerledger import schemas as S
 from peerledger.functions.hashing import leading_bits
-from peerledger.operators.ranking import BUCKET, GROUP, grouped, with_offsets
+from peerledger.operators.ranking import BUCKET, GROUP, grouped, with_next, with_offsets
 from peerledger.session import stage
 
 PAGES_PER_BUCKET = 1024
@@ -24,7 +26,7 @@ def _text_fields(fields: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in fields.fields])
 
 
-def _parsed(pages: DataFrame, fields: T.StructType) -> DataFrame:
+def _parsed(pages: DataFrame, fields: T.StructType, more: Sequence[str] = ()) -> DataFrame:
     """Pages with `records` (array of text structs; NULL on a corrupt page), `declared` and the payload. Each is parsed once."""
     record = T.ArrayType(_text_fields(fields))
     meta = T.StructType([T.StructField("totalCount", T.LongType())])
@@ -39,12 +41,13 @@ def _parsed(pages: DataFrame, fields: T.StructType) -> DataFrame:
             F.lit(None).cast("string").alias(BROKEN),
         ),
     ).otherwise(F.from_json("payload", envelope, {"columnNameOfCorruptRecord": BROKEN}))
-    return pages.select("year", "offset", "payload", wrapped.alias("page")).select(
+    return pages.select("year", "offset", "payload", *more, wrapped.alias("page")).select(
         "year",
         "offset",
         F.when(F.col(f"page.{BROKEN}").isNull(), F.col("page.data")).alias("records"),
         F.col("page.meta.totalCount").alias("declared"),
         "payload",
+        *more,
     )
 
 
@@ -64,9 +67,21 @@ def decode_pages(pages: DataFrame, fields: T.StructType, corrupt: str = "raise")
     return rows.select("year", *[F.col("r")[f.name].try_cast(f.dataType).alias(f.name) for f in fields.fields])
 
 
-def rejected_pages(pages: DataFrame, fields: T.StructType) -> DataFrame:
-    """(year, offset, payload) of the corrupt pages."""
-    return _parsed(pages, fields).filter(F.col("records").isNull()).select("year", "offset", "payload")
+def rejected_pages(pages: DataFrame, fields: T.StructType, more: Sequence[str] = ()) -> DataFrame:
+    """(year, offset, payload, ...) of the corrupt pages, with more columns of theirs where asked for."""
+    return _parsed(pages, fields, more).filter(F.col("records").isNull()).select("year", "offset", "payload", *more)
+
+
+def page_sizes(pages: DataFrame, fields: T.StructType) -> DataFrame:
+    """(year, pages, records, rejected, reach, declared): sums over the pages of each year; reach is where the furthest sound page ends."""
+    sound, size = F.col("records").isNotNull(), F.size("records").cast("bigint")
+    return _parsed(pages, fields).groupBy("year").agg(
+        F.count_if(sound).alias("pages"),
+        F.coalesce(F.sum(F.when(sound, size)), F.lit(0).cast("bigint")).alias("records"),
+        F.count_if(~sound).alias("rejected"),
+        F.max(F.when(sound, F.col("offset") + size)).alias("reach"),
+        F.max(F.when(sound, F.col("declared"))).alias("declared"),
+    )
 
 
 def _content(records: Column, fields: T.StructType) -> Column:
@@ -80,6 +95,44 @@ def _content(records: Column, fields: T.StructType) -> Column:
     return F.aggregate(records, zero, lambda acc, r: (acc + one(r)).cast("decimal(38,0)"))
 
 
+def _covered(starts: DataFrame, page_rows: int) -> DataFrame:
+    """(year, pos, step, cover, group, bucket): how many pages cover the positions from `pos` on, at each place where that may change."""
+    start = F.struct(F.col("offset").alias("pos"), F.lit(1).cast("bigint").alias("step"))
+    end = F.struct((F.col("offset") + F.col("reach")).alias("pos"), F.lit(-1).cast("bigint").alias("step"))
+    marks = starts.select("year", F.explode(F.array(start, end)).alias("m")).select("year", "m.*")
+    steps = grouped(marks.groupBy("year", "pos").agg(F.sum("step").alias("step")), ["year"])
+    steps = steps.withColumn(BUCKET, F.floor(F.col("pos") / (page_rows * PAGES_PER_BUCKET)))
+    placed = with_offsets(steps, {"_before": F.sum("step")})
+    inside = Window.partitionBy(GROUP, BUCKET).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return placed.withColumn("cover", F.col("_before") + F.sum("step").over(inside))
+
+
+def page_breaks(pages: DataFrame, fields: T.StructType, page_rows: int = S.LANDING_BATCH_ROWS) -> DataFrame:
+    """(year, kind, start, end): the positions [start, end) that no sound page holds (kind "gap", the list to fetch again) or that several
+    pages from different starts hold ("overlap").
+
+    A year that does not start at 0 or ends before its declared total has a gap there, and one without any record has one gap, to its
+    declared total where a page tells it, else without an end. Corrupt pages hold nothing, so they show as gaps.
+    """
+    parsed = _parsed(pages, fields)
+    size = F.size("records").cast("bigint")
+    years = parsed.groupBy("year").agg(F.max(F.when(F.col("records").isNotNull(), F.col("declared"))).alias("declared"))
+    held = parsed.filter(F.size("records") > 0).groupBy("year", "offset").agg(F.max(size).alias("reach"))
+    covered = stage(_covered(stage(held, "page-starts"), page_rows), "page-cover")
+    before = F.col("cover") - F.col("step")
+    found = []
+    for kind, able, was in (("gap", F.col("cover") == 0, before == 0), ("overlap", F.col("cover") > 1, before > 1)):
+        changes = with_next(covered.withColumns({"_is": able, "_was": was}).filter("_is <> _was"), "pos", "end")
+        found.append(changes.filter("_is").select("year", F.lit(kind).alias("kind"), F.col("pos").alias("start"), "end").filter("end is not null"))
+    extent = covered.groupBy("year").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    edges = years.join(extent, "year", "left")
+    gap, none = F.lit("gap").alias("kind"), F.lit(0).cast("bigint")
+    # A first page that starts late: its gap is no change of cover, since nothing comes before it.
+    head = edges.filter("first > 0 or first is null").select("year", gap, none.alias("start"), F.coalesce("first", "declared").alias("end"))
+    tail = edges.filter("declared > last").select("year", gap, F.col("last").alias("start"), F.col("declared").alias("end"))
+    return found[0].union(found[1]).union(head).union(tail)
+
+
 def audit_pages(
     pages: DataFrame, fields: T.StructType, page_rows: int = S.LANDING_BATCH_ROWS
 ) -> DataFrame:
@@ -112,14 +165,7 @@ def audit_pages(
         F.sum("content").alias("content"),
     )
     starts = stage(starts, "page-starts")
-    start = F.struct(F.col("offset").alias("pos"), F.lit(1).cast("bigint").alias("step"))
-    end = F.struct((F.col("offset") + F.col("reach")).alias("pos"), F.lit(-1).cast("bigint").alias("step"))
-    marks = starts.select("year", F.explode(F.array(start, end)).alias("m")).select("year", "m.*")
-    steps = grouped(marks.groupBy("year", "pos").agg(F.sum("step").alias("step")), ["year"])
-    steps = steps.withColumn(BUCKET, F.floor(F.col("pos") / (page_rows * PAGES_PER_BUCKET)))
-    placed = with_offsets(steps, {"_before": F.sum("step")})
-    inside = Window.partitionBy(GROUP, BUCKET).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    covered = placed.withColumn("cover", F.col("_before") + F.sum("step").over(inside))
+    covered = _covered(starts, page_rows)
     breaks = covered.groupBy("year").agg(
         (F.count_if(F.col("cover") == 0) - 1 + (F.min("pos") > 0).cast("bigint")).alias("gaps"),
         F.sum(F.when((F.col("cover") > 1) & (F.col("step") > 0), 1).otherwise(0)).cast("bigint").alias("overlaps"),

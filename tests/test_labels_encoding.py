@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from peerledger.functions.names import label_column, label_text
-from peerledger.operators import encode, labels
+from peerledger.operators import encode, joins, labels
 
 
 def exclusions(spark):
@@ -107,3 +107,36 @@ def test_types_projection_and_vector(spark):
     assert encode.training_projection(fixed).columns[-1] == "fraud_label"
     built = encode.assemble(fixed, ["year", "t", "v"], missing=-1.0).orderBy("k")
     assert [list(r["features"]) for r in built.collect()] == [[2020.0, 0.0, -1.0], [7.0, 3.0, 2.5]]
+
+
+def test_sparse_flags_of_a_wide_domain(spark):
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("v"), F.col("id") % 20_000)).alias("kind"), F.lit(None).cast("string").alias("none"))
+    with pytest.raises(ValueError, match="more than 5000"):
+        encode.category_values(df, ["kind"])
+    words = encode.vocabulary(df, ["kind", "none"])
+    got = encode.one_hot_sparse(df, ["kind", "none"], words, keep_index=True).cache()
+    distinct = df.select("kind").dropna().distinct().count()
+    assert words.agg(F.min("index"), F.max("index"), F.countDistinct("index")).first() == (0, distinct - 1, distinct)
+    assert got.count() == 30_000 and "kind" not in got.columns
+    for r in got.filter("id % 997 < 3").collect():
+        assert r.kind_ohe.size == distinct and r.none_ohe.numNonzeros() == 0
+        assert r.kind_ohe.indices.tolist() == ([] if r.kind_index is None else [r.kind_index])
+    assert got.filter("kind_index is null").count() == df.filter("kind is null").count()
+    other = spark.createDataFrame([(1, "v1", None), (2, "unseen", None)], "id bigint, kind string, none string")
+    seen = {r.id: r.kind_ohe.numNonzeros() for r in encode.one_hot_sparse(other, ["kind", "none"], words).collect()}
+    assert seen == {1: 1, 2: 0}
+    got.unpersist()
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    def plan(side):
+        return spark.range(10).join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
+
+    wide = spark.range(900).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert "strategy=broadcast" in plan(joins.bounded_broadcast(wide))
+    assert "strategy=broadcast" not in plan(joins.bounded_broadcast(wide, max_bytes=2**20))
+    assert "strategy=broadcast" not in plan(joins.bounded_broadcast(wide.select("id"), max_rows=899))
+    joined = spark.range(10).join(joins.bounded_broadcast(wide, max_bytes=2**20), "id")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 10
+    nested = spark.createDataFrame([(1, [1, 2], None)], "id bigint, a array<int>, t string")
+    assert nested.select(joins.row_bytes(nested.schema)).first()[0] > 8 * 4

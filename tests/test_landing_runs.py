@@ -1,13 +1,14 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import rows
 from peerledger import schemas as S
 from peerledger.plans import runlog
 from peerledger.sources import pages, sinks, tables
-from peerledger.streaming.landing import land_page_stream, read_landed
+from peerledger.streaming.landing import land_page_stream, read_landed, read_progress
 
 FIELDS = T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.StringType())])
 
@@ -110,3 +111,68 @@ def test_run_log_appends_numbers_only(spark, tmp_path):
     assert rows(runlog.read_metrics(spark, path), "run_id", "metric", "value") == [
         ("r1", "cv_aucpr", 0.5), ("r1", "cv_n", 2.0), ("r2", "aucpr", 0.6),
     ]
+
+
+def test_breaks_are_a_list_to_fetch_again(spark):
+    whole = [page(2019, o, records(o, 2), True, 6) for o in (0, 2, 4)]
+    holes = [page(2020, 2, records(2, 2)), page(2020, 6, records(6, 2)), page(2020, 7, records(7, 2), True, 12), page(2020, 7, records(7, 1))]
+    far = [page(2021, o, records(o, 2)) for o in (0, 10_000)]
+    broken = [(2022, 0, "oops"), (2023, 0, None), page(2023, 2, [], True, 8)]
+    df = landed(spark, *whole, *holes, *far, *broken).repartition(3)
+    assert rows(pages.page_breaks(df, FIELDS, 2)) == sorted(
+        [
+            (2020, "gap", 0, 2), (2020, "gap", 4, 6), (2020, "overlap", 7, 8), (2020, "gap", 9, 12),
+            (2021, "gap", 2, 10_000), (2022, "gap", 0, None), (2023, "gap", 0, 8),
+        ],
+        key=repr,
+    )
+    assert pages.page_breaks(landed(spark, *whole).limit(0), FIELDS).count() == 0
+
+
+def test_stream_sets_corrupt_pages_aside(spark, tmp_path):
+    folders = {n: str(tmp_path / n) for n in ("source", "target", "checkpoint", "rejected", "progress")}
+    landed(spark, page(2020, 0, records(0, 2)), (2020, 2, "oops"), page(2020, 4, records(4, 2), True, 6)).coalesce(1).write.json(folders["source"])
+    (tmp_path / "source" / "junk.json").write_text("no json at all\n")
+    land_page_stream(spark, fields=FIELDS, **folders)
+    aside = spark.read.parquet(folders["rejected"])
+    assert {(r.year, r.offset, r.payload) for r in aside.collect()} == {(2020, 2, "oops"), (None, None, None)}
+    assert {r.file.rsplit("/", 1)[1] == "junk.json" for r in aside.collect() if r.year is None} == {True}
+    landed(spark, page(2020, 2, records(2, 2)), page(2021, 0, records(0, 1))).write.mode("append").json(folders["source"])
+    land_page_stream(spark, fields=FIELDS, **folders)
+    assert rows(read_landed(spark, folders["target"]), "year", "id") == sorted([*((2020, i) for i in range(6)), (2021, 0)])
+    expected = [(2020, 3, 6, 1, 6, 6), (2021, 1, 1, 0, 1, None), (None, 0, 0, 1, None, None)]
+    assert rows(read_progress(spark, folders["progress"])) == sorted(expected, key=repr)
+    land_page_stream(spark, fields=FIELDS, **folders)
+    assert rows(read_progress(spark, folders["progress"])) == sorted(expected, key=repr)
+
+
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
+    import shutil
+
+    folders = {n: str(tmp_path / n) for n in ("source", "target", "checkpoint", "rejected", "progress")}
+    landed(spark, page(2020, 0, records(0, 2)), (2020, 2, "oops")).write.json(folders["source"])
+    land_page_stream(spark, fields=FIELDS, **folders)
+    shutil.rmtree(tmp_path / "checkpoint" / "commits")  # as if the run had died before it noted the batch as done
+    land_page_stream(spark, fields=FIELDS, **folders)
+    assert rows(read_landed(spark, folders["target"]), "id") == [(0,), (1,)]
+    assert rows(read_progress(spark, folders["progress"])) == [(2020, 1, 2, 1, 2, None)]
+    assert spark.read.parquet(folders["rejected"]).count() == 1
+
+
+def test_a_failed_overwrite_leaves_the_former_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    failing = spark.range(10).select(F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("stop")).cast("bigint")).alias("id"))
+    sinks.write_table(spark.range(3), path)
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_table(failing, path)
+    assert rows(spark.read.parquet(path)) == [(0,), (1,), (2,)]
+    assert sinks.write_table(spark.read.parquet(path).filter("id > 0"), path) == 2  # read and overwritten by one plan
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    sinks.write_table(spark.range(3), "kept_rows", as_table=True)
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_table(failing, "kept_rows", as_table=True)
+    assert spark.table("kept_rows").count() == 3
+    assert sinks.write_table(spark.range(8), "kept_rows", as_table=True) == 8
+    assert spark.table("kept_rows").count() == 8
+    spark.sql("drop table kept_rows")
