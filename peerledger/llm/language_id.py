@@ -1,7 +1,7 @@
 """Language identification with language-bitmask n-gram filters.
 
-The model is one bit-sliced Bloom filter: slot i holds a mask with a bit per language, so the masks at an n-gram's slots, ANDed,
-name every language that contains it. A text's n-grams give a popcount per language; the expected false positives, known from how
+The model is one bit-sliced Bloom filter: slot i holds a mask with a bit per language, in as many words as the languages need, so the
+masks at an n-gram's slots, ANDed, name every language that contains it. A text's n-grams give a popcount per language; the expected false positives, known from how
 full each language's slice is, are taken off, and the largest corrected count decides.
 
 An n-gram is N bytes of the lower-cased UTF-8 text in which everything but letters is a space. A language contains it if it is in
@@ -10,6 +10,7 @@ enough of the language's training texts, and not far fewer than in the language
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from peerledger.session import stage_counted
 
 N = 4
 HASHES = 3
-LANGUAGES_PER_MASK = 63
+BITS = 63  # languages in a word of a mask
 TRAIN_ROWS = 5000
 MIN_SHARE = 0.002
 NEAR_BEST = 0.25
@@ -43,11 +44,23 @@ A_LETTER = re.compile(r"[^\W\d_]")
 class LanguageFilter:
     languages: list[str]  # by bit
     shares: list[float]  # of the training rows, for texts that no n-gram decides
-    slots: np.ndarray  # masks
+    slots: np.ndarray  # masks: a row per word, a column per slot
 
     def false_rates(self) -> np.ndarray:
-        full = np.array([np.count_nonzero(self.slots & np.uint64(1 << b)) for b in range(len(self.languages))])
-        return (full / len(self.slots)) ** HASHES
+        full = np.array([np.count_nonzero(self.slots[b // BITS] & np.uint64(1 << b % BITS)) for b in range(len(self.languages))])
+        return (full / self.slots.shape[1]) ** HASHES
+
+    def popcounts(self, grams: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        """How many n-grams of each text the filter finds in each language: rows are texts, columns languages."""
+        places = [slot_of(grams, i, self.slots.shape[1]) for i in range(HASHES)]
+        counts = np.zeros((texts, len(self.languages)))
+        for w, word in enumerate(self.slots):
+            mask = word[places[0]]
+            for place in places[1:]:
+                mask &= word[place]
+            for b in range(w * BITS, min((w + 1) * BITS, len(self.languages))):
+                counts[:, b] = np.bincount(owner[(mask >> np.uint64(b % BITS)) & np.uint64(1) == 1], minlength=texts)
+        return counts
 
 
 def _letter_bytes() -> np.ndarray:
@@ -104,8 +117,8 @@ def _slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordB
     for batch in batches:
         gram = batch.column(0).to_numpy().astype(np.uint32)
         places = np.concatenate([slot_of(gram, i, slots) for i in range(HASHES)])
-        masks = np.tile(batch.column(1).to_numpy(zero_copy_only=False), HASHES)
-        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(masks)], ["slot", "mask"])
+        words, masks = (np.tile(batch.column(i).to_numpy(zero_copy_only=False), HASHES) for i in (1, 2))
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(places), pa.array(masks)], ["word", "slot", "mask"])
 
 
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_language: int = TRAIN_ROWS) -> LanguageFilter:
@@ -115,27 +128,33 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_
     texts = F.approx_count_distinct(F.xxhash64("text"), 0.02)
     found = rows.groupBy("lang").agg(F.count("*").alias("count"), texts.alias("texts")).collect()  # one row per language
     shares, distinct = {r["lang"]: r["count"] for r in found}, {r["lang"]: r["texts"] for r in found}
-    if len(shares) > LANGUAGES_PER_MASK:
-        raise ValueError(f"a mask holds {LANGUAGES_PER_MASK} languages")
     names = sorted(shares, key=lambda n: (-shares[n], n))
     total = sum(shares.values()) or 1
     if not names:
-        return LanguageFilter([], [], np.zeros(1, np.uint64))
-    limit = F.element_at(F.create_map(*[F.lit(v) for n in names for v in (n, min(1.0, rows_per_language / distinct[n]))]), F.col("lang"))
+        return LanguageFilter([], [], np.zeros((1, 1), np.uint64))
+
+    def of_language(values: dict, kind: str) -> Column:
+        """Looked up by name. The names are as many as the languages of the table."""
+        return F.from_json(F.lit(json.dumps(values)), f"map<string,{kind}>")[F.col("lang")]
+
+    limit = of_language({n: min(1.0, rows_per_language / distinct[n]) for n in names}, "double")
     drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(2**20)) < limit * 2**20).distinct()
     sizes = {r["lang"]: r["count"] for r in drawn.groupBy("lang").count().collect()}
     counted = drawn.mapInArrow(_count_grams, "lang string, gram bigint, texts bigint").groupBy("lang", "gram").agg(F.sum("texts").alias("texts"))
-    size = F.element_at(F.create_map(*[F.lit(v) for n in names for v in (n, max(1, sizes.get(n, 0)))]), F.col("lang"))
+    size = of_language({n: max(1, sizes.get(n, 0)) for n in names}, "double")
     best = F.max("share").over(Window.partitionBy("gram"))
-    bit = F.element_at(F.create_map(*[F.lit(v) for b, n in enumerate(names) for v in (n, 1 << b)]), F.col("lang")).cast("bigint")
+    number = of_language({n: b for b, n in enumerate(names)}, "int")
     kept = counted.withColumn("share", F.col("texts") / size).filter(F.col("share") >= MIN_SHARE)
-    kept = kept.withColumn("best", best).filter(F.col("share") >= NEAR_BEST * F.col("best"))
-    masks, grams = stage_counted(kept.groupBy("gram").agg(F.bit_or(bit).alias("mask")), "language-grams")
-    slots = 1 << max(10, (SLOTS_PER_ENTRY * grams).bit_length())
-    placed = masks.mapInArrow(partial(_slots, slots=slots), "slot bigint, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
-    filled = placed.toArrow()  # at most one row per slot
-    table = np.zeros(slots, np.uint64)
-    table[filled.column("slot").to_numpy()] = filled.column("mask").to_numpy().astype(np.uint64)
+    kept = kept.withColumn("best", best).filter(F.col("share") >= NEAR_BEST * F.col("best")).withColumn("bit", number)
+    one = F.expr(f"shiftleft(1L, bit % {BITS})")
+    by_word = kept.withColumn("word", F.floor(F.col("bit") / BITS).cast("int")).groupBy("gram", "word")
+    masks, entries = stage_counted(by_word.agg(F.bit_or(one).alias("mask")), "language-grams")
+    slots = 1 << max(10, (SLOTS_PER_ENTRY * entries).bit_length())
+    placed = masks.mapInArrow(partial(_slots, slots=slots), "word int, slot bigint, mask bigint")
+    filled = placed.groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most one row per word and slot
+    table = np.zeros((-(-len(names) // BITS), slots), np.uint64)
+    word, slot, mask = (filled.column(c).to_numpy() for c in ("word", "slot", "mask"))
+    table[word, slot] = mask.astype(np.uint64)
     return LanguageFilter(names, [shares[n] / total for n in names], table)
 
 
@@ -149,13 +168,8 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
         for begin, end in slices(texts, SLICE_CHARS):
             some = texts[begin:end]
             grams, owner = grams_of(some)
-            mask = known.slots[slot_of(grams, 0, len(known.slots))]
-            for i in range(1, HASHES):
-                mask &= known.slots[slot_of(grams, i, len(known.slots))]
+            counts = known.popcounts(grams, owner, len(some))
             all_grams = np.bincount(owner, minlength=len(some)).astype(float)
-            counts = np.zeros((len(some), bits))
-            for b in range(bits):
-                counts[:, b] = np.bincount(owner[(mask >> np.uint64(b)) & np.uint64(1) == 1], minlength=len(some))
             corrected = np.maximum(0.0, (counts - all_grams[:, None] * false) / (1 - false))
             sums = corrected.sum(axis=1)
             expected = all_grams[:, None] * false

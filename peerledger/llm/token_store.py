@@ -162,6 +162,8 @@ def _write_chunks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bit
 
     def row() -> pa.RecordBatch:
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"id {int(ids.max())} does not fit {bits} bits")
         matrix = WaveletMatrix.of(ids.astype(np.uint16) if bits <= 16 else ids, bits)
         columns = [
             pa.array([shard], pa.int32()),
@@ -207,16 +209,19 @@ def write_tokens(
     key: str = "doc_id",
     text: str = "text",
     chunk_tokens: int = CHUNK_TOKENS,
-    bits: int = 16,
+    bits: int | None = None,
 ) -> None:
     """Encode every whole text, append `end_id` and write the ids in ascending key order to `path`.
 
     A NULL text is empty and has the end id alone; NULL keys come first; rows that share a key keep any order and may lie in
-    several shards, so a key with very many rows is split. An empty table writes an empty one. `bits` must hold every id. A chunk
-    takes whole documents until it has `chunk_tokens` ids; a longer document is a chunk, and must be below two billion bytes.
+    several shards, so a key with very many rows is split. An empty table writes an empty one. Planes are as many as the largest id
+    of the vocabulary needs; with fewer `bits`, an id that does not fit is an error. A chunk takes whole documents until it has `chunk_tokens` ids; a longer document is a chunk, and must be below two billion bytes.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
+    if bits is None:
+        vocabulary = encoder(tokenizer, True).tokenizer.get_vocab(with_added_tokens=True)
+        bits = max(end_id, *vocabulary.values()).bit_length()
     read = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("row"))
     order = [F.col("key").asc_nulls_first(), F.col("row").asc()]
     dealt = read.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "text")
@@ -310,3 +315,28 @@ def occurrences(spark: SparkSession, path: str, tokens: Sequence[int], positions
     if not positions:
         return found.groupBy("token").agg(F.sum("n").alias("n"))
     return found.join(chunk_starts(store), ["shard", "chunk"]).select("token", (F.col("first") + F.col("n")).alias("position"))
+
+
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame, position: str = "position") -> DataFrame:
+    """(position, token) of the distinct wanted positions, counted over the ids of all documents, by access to the planes alone. NULL
+    positions and those beyond the last id are left out."""
+    store = spark.read.parquet(path)
+    chunks = chunk_starts(store).join(store.select("shard", "chunk", "size"), ["shard", "chunk"]).filter("size > 0")
+    # Positions meet chunks by blocks of CHUNK_TOKENS positions, of which a chunk touches few however uneven chunks are.
+    touched = F.explode(F.sequence(F.floor(F.col("first") / CHUNK_TOKENS), F.floor((F.col("first") + F.col("size") - 1) / CHUNK_TOKENS)))
+    spans = chunks.withColumn("block", touched)
+    wanted = positions.select(F.col(f"`{position}`").cast("bigint").alias("position")).dropna().distinct()
+    met = wanted.withColumn("block", F.floor(F.col("position") / CHUNK_TOKENS)).join(spans, "block")
+    inside = F.col("position") - F.col("first")
+    found = met.filter((inside >= 0) & (inside < F.col("size"))).select("shard", "chunk", "first", inside.alias("at"))
+    asked = found.groupBy("shard", "chunk", "first").agg(F.collect_list("at").alias("at"))  # at most the ids of one chunk
+    rows = store.join(asked, ["shard", "chunk"]).select("first", "at", "size", "zeros", "planes", "ones")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = _matrix(row)
+                tokens = [matrix.access(at) for at in row["at"]]
+                yield pa.RecordBatch.from_arrays([pa.array([row["first"] + at for at in row["at"]], pa.int64()), pa.array(tokens, pa.int32())], ["position", "token"])
+
+    return rows.mapInArrow(look, "position bigint, token int")

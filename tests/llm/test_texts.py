@@ -19,11 +19,11 @@ from peerledger.llm.bpe import decode, encode
 from peerledger.llm.components import components
 from peerledger.llm.exact_dedup import exact_dedup
 from peerledger.llm.jaccard import near_duplicates
-from peerledger.llm.language_id import UNKNOWN, predict, train
+from peerledger.llm.language_id import MIN_SHARE, NEAR_BEST, UNKNOWN, grams_of, predict, train
 from peerledger.llm.mixing import mix
 from peerledger.llm.sharding import jump_hash, shard
 from peerledger.llm.suffix_dedup import remove_repeats
-from peerledger.llm.token_store import WaveletMatrix, occurrences, read_tokens, write_tokens
+from peerledger.llm.token_store import WaveletMatrix, occurrences, read_tokens, tokens_at, write_tokens
 from peerledger.llm.words import BYTE, WORD, code_point_classes, encoder, flat_ids, split_words, spread
 from peerledger.session import fresh_path
 
@@ -259,6 +259,64 @@ def test_language_held_out_accuracy(spark):
     assert right >= 0.97 * total > 0
 
 
+def invented(languages, texts, seed=8):
+    """Texts of languages that share some words."""
+    draw = random.Random(seed)
+    shared = ["".join(draw.choice("abcdefghij") for _ in range(5)) for _ in range(15)]
+    rows = []
+    for n in range(languages):
+        own = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(25)]
+        rows += [(f"l{n:03d}", " ".join(draw.choice(own if draw.random() < 0.7 else shared) for _ in range(30))) for _ in range(texts)]
+    return rows
+
+
+def test_more_languages_than_a_word_has_bits(spark):
+    rows = invented(130, 12)
+    df = spark.createDataFrame([(i, lang, text) for i, (lang, text) in enumerate(rows)], "doc_id int, lang string, text string")
+    model = train(df.filter("doc_id % 4 > 0"))
+    assert model.slots.shape[0] == 3 and len(model.languages) == 130
+    got = predict(df.filter("doc_id % 4 = 0"), model, ["lang"]).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
+
+
+def test_popcounts_against_plain_sets(spark):
+    rows = sorted(set(invented(70, 15, 3) + [("l000", "odd ßé 中文 words"), ("l001", "12 !!")]))
+    df = spark.createDataFrame(rows, "lang string, text string")
+    model = train(df)
+    texts_of = Counter(lang for lang, _ in rows)
+    seen = defaultdict(Counter)
+    for lang, text in rows:
+        for gram in set(grams_of([text])[0].tolist()):
+            seen[gram][lang] += 1
+    has = defaultdict(set)
+    for gram, langs in seen.items():
+        shares = {lang: n / texts_of[lang] for lang, n in langs.items()}
+        able = {lang: share for lang, share in shares.items() if share >= MIN_SHARE}
+        for lang, share in able.items():
+            if share >= NEAR_BEST * max(able.values()):
+                has[lang].add(gram)
+    some = [text for _, text in rows[::7]]
+    grams, owner = grams_of(some)
+    got = model.popcounts(grams, owner, len(some))
+    false = model.false_rates()
+    extra = 0.0
+    for i, text in enumerate(some):
+        own = grams_of([text])[0].tolist()
+        exact = np.array([sum(g in has[lang] for g in own) for lang in model.languages])
+        assert (got[i] >= exact).all()  # a filter forgets nothing
+        spread = np.sqrt(len(own) * false * (1 - false))
+        assert (got[i] - exact <= (len(own) - exact) * false + 8 * spread + 2).all()
+        extra += (got[i] - exact).sum()
+    expected = sum(len(grams_of([t])[0]) for t in some) * false.sum()
+    assert extra <= 1.5 * expected + 10
+    answer = {r.text: r.lang_pred for r in predict(df, model, ["text"]).collect()}
+    for lang, text in rows:
+        counts = {n: sum(g in has[n] for g in grams_of([text])[0].tolist()) for n in model.languages}
+        first, second = sorted(counts.values())[-1:-3:-1]
+        if first - second > 8:
+            assert counts[answer[text]] == first
+
+
 def ids_of(texts, style, path):
     known = encoder(path, False)
     words = split_words(texts, style, known.specials)
@@ -314,11 +372,25 @@ def test_token_store(spark, edges, nothing):
     assert counts == {t: everything.count(t) for t in common}
     places = occurrences(spark, path, [1], positions=True).collect()
     assert sorted(p.position for p in places) == [i for i, t in enumerate(everything) if t == 1]
+    asked = [0, 5, 5, 499, 500, 501, len(everything) // 2, len(everything) - 1, len(everything), -1, None, 10**12]
+    wanted = spark.createDataFrame([(p, "x") for p in asked], "position bigint, token string")
+    assert dict(map(tuple, tokens_at(spark, path, wanted).collect())) == {p: everything[p] for p in asked if p is not None and 0 <= p < len(everything)}
     digests = read_tokens(spark, path, digests=True).orderBy("start").collect()
     assert [d.ids_crc32 for d in digests] == [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows]
     empty = fresh_path(spark, "store")
     write_tokens(nothing, empty, tokenizer, end_id=1)
     assert read_tokens(spark, empty).count() == 0
+    assert tokens_at(spark, empty, wanted).count() == 0
+
+
+def test_token_store_holds_every_id_or_says_so(spark, edges):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    few = edges.filter("doc_id in (7, 8)").select("doc_id", "text")
+    wide = fresh_path(spark, "store")
+    write_tokens(few, wide, tokenizer, end_id=70_000)
+    assert {r.ids[-1] for r in read_tokens(spark, wide).collect()} == {70_000}
+    with pytest.raises(Exception, match="id 70000 does not fit 16 bits"):
+        write_tokens(few, fresh_path(spark, "store"), tokenizer, end_id=70_000, bits=16)
 
 
 def test_wavelet_matrix():
