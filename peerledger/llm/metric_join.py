@@ -1,11 +1,15 @@
 """Embedding near-duplicates by an exact metric range join.
 
-Cosine >= c between vectors is distance <= r between their unit vectors, r = sqrt(2 - 2c). Pivots cut each label's vectors into
-cells, each vector's home being the nearest pivot. If x at home in cell j is within r of y at home in cell i, the triangle inequality
-gives d(y, pj) <= d(y, pi) + 2r, and y is no further than r from the plane between the pivots; where both hold, y visits j. Visits
-go to the smaller cell number only, so each pair meets once. Cells join independently; a large one is cut into blocks, and each
-pair of blocks is a task of its own. A task compares all its pairs but returns one link count per vector and a spanning
-forest, never pairs.
+Cosine >= c between vectors is distance <= r between their unit vectors, r = sqrt(2 - 2c). Every label with more vectors than fit a cell
+has pivots of its own, which cut its vectors into cells, each vector's home being the nearest pivot. If x at home in cell j is within r
+of y at home in cell i, the triangle inequality gives d(y, pj) <= d(y, pi) + 2r, and y is no further than r from the plane between
+the pivots; where both hold, y visits j. Visits go to the smaller cell number only, so each pair meets once. Cells join
+independently; a large one is cut into blocks, and each pair of blocks is a task of its own. A task compares all its pairs but
+returns one link count per vector and a spanning forest, never pairs.
+
+The pivots of a label are about as many as its vectors fill cells, at most twice the root of their number, and fewer where a sample of
+the label shows that its vectors would visit more than COPIES cells on average: a cloud as dense as the radius gains nothing from cells.
+So a vector is copied about COPIES times by visits, and once for each block of its cells that it meets.
 """
 
 from __future__ import annotations
@@ -19,12 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerledger.llm.components import components
-from peerledger.session import stage, stage_counted
+from peerledger.session import stage
 
 CELL = 1024
-MAX_PIVOTS = 1024  # with the dimension, the bound of what is broadcast
+PIVOT_BYTES = 2**25  # of all pivots, which are broadcast; beyond it, cells grow
+FARTHEST = 512  # pivots chosen far from each other; more are taken as drawn
 SAMPLE_PER_PIVOT = 4
-BLOCK = 1024
+COPIES = 4.0
+BLOCK = 4096
+COMPARED = 2**21  # distances or cosines computed at once
 SLACK = 1e-9  # distances are only filters; the cosine decides
 
 
@@ -48,65 +55,114 @@ def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
+def visits_of(units: np.ndarray, points: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(home of each row, visiting rows, visited cells), a few rows at a time; row numbers count from the first of all."""
+    step = max(1, COMPARED // len(points))
+    for begin in range(0, len(units), step):
+        some = units[begin : begin + step]
+        distance = np.sqrt(np.maximum(0.0, 2 - 2 * some @ points.T))
+        home = distance.argmin(axis=1)
+        near = distance[np.arange(len(home)), home]
+        reach = distance <= near[:, None] + 2 * radius + SLACK
+        reach &= np.arange(len(points)) < home[:, None]
+        row, cell = np.nonzero(reach)
+        apart = np.linalg.norm(points[home[row]] - points[cell], axis=1)
+        able = distance[row, cell] ** 2 - near[row] ** 2 <= 2 * apart * radius + SLACK
+        yield home, begin + row[able], cell[able]
+
+
+def _choose_pivots(rows: pa.Table, cell: int, radius: float) -> pa.Table:
+    """The pivots of a label, from a sample of its vectors: half as many as long as the sample's vectors visit too many cells."""
+    label, dim, wanted = (rows.column(c)[0].as_py() for c in ("label", "dim", "wanted"))
+    sample = _units(_matrix(rows.column("vector")))
+    far = spread_pivots(sample, min(wanted, FARTHEST))
+    points = np.concatenate([far, sample[: wanted - len(far)]])
+    while len(points) > 1:
+        visits = sum(len(row) for _, row, _ in visits_of(sample, points, radius))
+        if visits <= COPIES * len(sample):
+            break
+        points = points[: len(points) // 2]
+    values = {"label": [label], "dim": [dim], "points": [points.ravel().tolist()]}
+    return pa.table([pa.array(v, rows.schema.field(k).type if k in rows.schema.names else pa.list_(pa.float64())) for k, v in values.items()], list(values))
+
+
+def pivots_of(points: DataFrame, cell: int, radius: float) -> DataFrame:
+    """(label, dim, points): the pivots, end to end, of each label and dimension with more than `cell` vectors."""
+    sizes = stage(points.groupBy("label", "dim").agg(F.count("*").alias("size")), "label-sizes")
+    total = sizes.agg(F.sum(F.col("size") * F.col("dim") * 8).alias("bytes")).first()["bytes"] or 0
+    cell = max(cell, -(-total // PIVOT_BYTES))
+    wanted = F.least(F.ceil(F.col("size") / cell), 2 * F.ceil(F.sqrt("size"))).cast("int")
+    large = sizes.filter(F.col("size") > cell).withColumn("wanted", wanted)
+    odds = F.greatest(F.lit(1), F.floor(F.col("size") / (SAMPLE_PER_PIVOT * F.col("wanted"))))
+    drawn = points.join(large, ["label", "dim"]).filter(F.pmod(F.xxhash64("cid"), odds) == 0)
+    kind = points.schema["label"].dataType.simpleString()
+    grouped = drawn.select("label", "dim", "wanted", "vector").groupBy("label", "dim")
+    return grouped.applyInArrow(lambda rows: _choose_pivots(rows, cell, radius), f"label {kind}, dim int, points array<double>")
+
+
 def _cells(batches: Iterator[pa.RecordBatch], pivots, radius: float) -> Iterator[pa.RecordBatch]:
     """(cid, label, dim, weight, vector, cell, visits) with a row for each vector's home and each of its visits."""
-    by_dim = pivots.value
+    known = pivots.value
     for batch in batches:
-        dims = np.array(batch.column(2))
-        for dim in np.unique(dims):
-            some = batch.filter(pa.array(dims == dim))
-            points = by_dim[int(dim)]
-            units = _units(_matrix(some.column(4)))
-            distance = np.sqrt(np.maximum(0.0, 2 - 2 * units @ points.T))
-            home = distance.argmin(axis=1)
-            near = distance[np.arange(len(home)), home][:, None]
-            apart = np.linalg.norm(points[home][:, None, :] - points[None], axis=2)
-            reach = (distance <= near + 2 * radius + SLACK) & (distance**2 - near**2 <= 2 * apart * radius + SLACK)
-            reach &= np.arange(len(points)) < home[:, None]
-            row, cell = np.nonzero(reach)
-            rows = np.concatenate((np.arange(len(home)), row))
-            cells = np.concatenate((home, cell)).astype(np.int32)
-            visits = np.concatenate((np.zeros(len(home), bool), np.ones(len(row), bool)))
-            yield pa.RecordBatch.from_arrays([*some.take(pa.array(rows)).columns, pa.array(cells), pa.array(visits)], [*batch.schema.names, "cell", "visits"])
-
-
-def _forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect what a block's links connect: every vector's first link, and one between any two trees still joined."""
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
+        keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+        numbers = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+        own = np.fromiter((numbers[k] for k in keys), np.int64, len(keys))
+        for key, number in numbers.items():
+            some = batch.filter(pa.array(own == number))
+            rows, cells, guests = np.arange(some.num_rows), np.zeros(some.num_rows, np.int32), np.zeros(some.num_rows, bool)
+            if key in known:
+                found = list(visits_of(_units(_matrix(some.column(4))), known[key], radius))
+                rows = np.concatenate((rows, *(row for _, row, _ in found)))
+                guests = np.arange(len(rows)) >= some.num_rows
+                cells = np.concatenate([f[0] for f in found] + [f[2] for f in found]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*some.take(pa.array(rows)).columns, pa.array(cells), pa.array(guests)], [*batch.schema.names, "cell", "visits"])
+
+
+class Forest:
+    """Edges that connect what all links seen so far connect: one between any two trees still apart."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+        self.edges: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        parent = self.parent
         while parent.setdefault(x, x) != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    us, vs = [], []
-    for i in np.flatnonzero(links.any(axis=1)):
-        for j in np.flatnonzero(links[i]):
-            a, b = find(int(left[i])), find(int(right[j]))
-            if a != b:
-                parent[a] = b
-                us.append(int(left[i]))
-                vs.append(int(right[j]))
-    return np.array(us, np.int64), np.array(vs, np.int64)
+    def link(self, x: int, y: int) -> None:
+        a, b = self.find(x), self.find(y)
+        if a != b:
+            self.parent[a] = b
+            self.edges.append((x, y))
 
 
 def _compare(rows: pa.Table, cosine: float) -> pa.Table:
     side = np.array(rows.column("side"))
     ids, weights, vectors = np.array(rows.column("cid")), np.array(rows.column("weight")), _matrix(rows.column("vector"))
-    a, b = side != 1, side != 0
-    norms = np.linalg.norm(vectors, axis=1)
-    links = vectors[a] @ vectors[b].T / (norms[a][:, None] * norms[b][None, :]) >= cosine
-    if (side == 2).any():  # a block with itself: each pair once
-        links &= ids[a][:, None] < ids[b][None, :]
-    us, vs = _forest(links, ids[a], ids[b])
-    counts = np.concatenate((links @ weights[b], links.T @ weights[a]))
-    names = np.concatenate((ids[a], ids[b]))
+    units_of = np.linalg.norm(vectors, axis=1)
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    same = bool((side == 2).any())  # a block with itself: each pair once
+    forest, n_left, n_right = Forest(), np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+    step = max(1, COMPARED // max(1, len(right)))
+    for begin in range(0, len(left), step):
+        a = left[begin : begin + step]
+        links = vectors[a] @ vectors[right].T / (units_of[a][:, None] * units_of[right][None, :]) >= cosine
+        if same:
+            links &= ids[a][:, None] < ids[right][None, :]
+        n_left[begin : begin + step] = links @ weights[right]
+        n_right += links.T @ weights[a]
+        for i in np.flatnonzero(links.any(axis=1)):
+            for j in ids[right[links[i]]].tolist():
+                forest.link(int(ids[a[i]]), j)
+    counts = np.concatenate((n_left, n_right))
+    names = np.concatenate((ids[left], ids[right]))
     found = counts > 0
-    none = pa.nulls(int(found.sum()), pa.int64())
-    u = pa.concat_arrays([pa.array(names[found], pa.int64()), pa.array(us)])
-    v = pa.concat_arrays([none, pa.array(vs)])
-    n = pa.concat_arrays([pa.array(counts[found], pa.int64()), pa.nulls(len(us), pa.int64())])
+    u = pa.concat_arrays([pa.array(names[found], pa.int64()), pa.array([e[0] for e in forest.edges], pa.int64())])
+    v = pa.concat_arrays([pa.nulls(int(found.sum()), pa.int64()), pa.array([e[1] for e in forest.edges], pa.int64())])
+    n = pa.concat_arrays([pa.array(counts[found], pa.int64()), pa.nulls(len(forest.edges), pa.int64())])
     return pa.table([u, v, n], ["u", "v", "n"])
 
 
@@ -128,17 +184,12 @@ def near_vectors(
     usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists("vector", lambda x: x != 0), F.lit(False))
     rows = stage(read.withColumn("usable", usable), "vectors")
     grouped = rows.filter("usable").groupBy("label", "vector").agg(F.count("*").alias("weight"), F.min("key").alias("least"))
-    classes, total = stage_counted(grouped.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
+    classes = stage(grouped.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
     points = classes.select("cid", "label", F.size("vector").alias("dim"), "weight", "vector")
 
-    labels = max(1, classes.agg(F.approx_count_distinct("label")).first()[0])
-    wanted = min(MAX_PIVOTS, max(1, -(-total // (labels * cell))))
-    dims = [r["dim"] for r in points.select("dim").distinct().collect()]
-    pivots = {}
-    for dim in dims:
-        drawn = points.filter(F.col("dim") == dim).orderBy(F.xxhash64("cid")).limit(SAMPLE_PER_PIVOT * wanted).select("vector")
-        pivots[dim] = spread_pivots(_units(_matrix(drawn.toArrow().column("vector"))), wanted)
     radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+    found = pivots_of(points, cell, radius).collect()  # at most PIVOT_BYTES, and one pivot more per large label
+    pivots = {(r["label"], r["dim"]): np.array(r["points"]).reshape(-1, r["dim"]) for r in found}
     shared = spark.sparkContext.broadcast(pivots)
     schema = "cid bigint, label {0}, dim int, weight bigint, vector array<double>, cell int, visits boolean"
     placed = points.mapInArrow(partial(_cells, pivots=shared, radius=radius), schema.format(points.schema["label"].dataType.simpleString()))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -61,6 +62,54 @@ def test_near_vectors(spark, monkeypatch):
     assert near_vectors(df.filter("vec_id < 0")).count() == 0
 
 
+def dense_answer(labels, vectors, cosine):
+    """Links, and the smallest linked row, of each row, label by label."""
+    links, least = np.zeros(len(labels), np.int64), np.arange(len(labels))
+    for label in set(labels):
+        own = np.flatnonzero(np.array(labels) == label)
+        norms = np.linalg.norm(vectors[own], axis=1)
+        near = vectors[own] @ vectors[own].T / (norms[:, None] * norms[None, :]) >= cosine
+        links[own] = near.sum(axis=1) - 1
+        root = own.copy()
+        while True:
+            lower = np.array([root[row].min() for row in near])
+            if (lower == root).all():
+                break
+            root = lower
+        least[own] = root
+    return {(i, int(links[i]), int(least[i]), bool(least[i] == i)) for i in range(len(labels))}
+
+
+def test_one_hot_label_and_many_small_ones(spark):
+    """Half of the vectors under one label: it has pivots of its own, chains of links run through its cells."""
+    draw = np.random.default_rng(6)
+    n, dim = 8000, 12
+    labels = ["hot" if i % 2 else f"small{i % 200}" for i in range(n)]
+    vectors = draw.normal(size=(n, dim))
+    for start in range(1, n, 400):  # walks in small steps: rows of one label linked one after the other
+        for k in range(1, 12):
+            vectors[start + 2 * k] = vectors[start + 2 * k - 2] + draw.normal(size=dim) * 0.12
+    vectors[3000:3200] = vectors[3000] + draw.normal(size=(200, dim)) * 0.02
+    df = spark.createDataFrame([(i, labels[i], v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, label string, embedding array<double>").repartition(6)
+    points = df.select(F.col("vec_id").alias("cid"), "label", F.size("embedding").alias("dim"), F.col("embedding").alias("vector"))
+    radius = float(np.sqrt(0.04))
+    assert {r.label: len(r.points) // dim > 10 for r in metric_join.pivots_of(points, 128, radius).collect()} == {"hot": True}
+    expected = dense_answer(labels, vectors, 0.98)
+    assert sum(x[1] > 0 for x in expected) > 300
+    for cell in (128, 1024, 10**6):
+        assert {tuple(r) for r in near_vectors(df, cell=cell).collect()} == expected
+
+
+def test_a_dense_cloud_has_few_cells(spark):
+    draw = np.random.default_rng(3)
+    cloud = (np.ones(8) + draw.normal(size=(3000, 8)) * 0.01).tolist()
+    points = spark.createDataFrame([(i, 1, 8, v) for i, v in enumerate(cloud)], "cid bigint, label int, dim int, vector array<double>")
+    (row,) = metric_join.pivots_of(points, 100, float(np.sqrt(0.04))).collect()
+    assert len(row.points) // 8 <= 8
+    visits = sum(len(r) for _, r, _ in metric_join.visits_of(metric_join._units(np.array(cloud)), np.array(row.points).reshape(-1, 8), 0.2))
+    assert visits <= 2 * metric_join.COPIES * len(cloud)
+
+
 def chat_answer(rows, turns):
     said = defaultdict(set)
     for conv, turn, role, text in rows:
