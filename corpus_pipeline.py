@@ -34,17 +34,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of equal texts the document with the largest id stays. A NULL text equals an empty one; of rows that share text and id one stays,
+    and a row without an id only if no equal text has one."""
     return exact_dedup(docs).filter("kept").select(*columns_of(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays, one of them if rows share it; rows without an id come last.
+    Texts that are NULL, empty or without words are near nothing and stay."""
     return near_duplicates(docs).filter("kept").select(*columns_of(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, in whole documents: the one that a source's quota ends in is rounded."""
+    """Each document as often as the mix takes it, in whole documents: the one that a source's quota ends in is rounded.
+
+    Texts that are NULL, empty or without words have nothing to take and go. Documents without a source are a source of their own. Rows
+    that share id and text are taken one by one, in no order."""
     mixed = mix(docs)
     copies = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
     times = F.when(F.col("size") > 0, copies).otherwise(0)
@@ -52,7 +57,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, n_bytes, ids): n_bytes is the length of the text that the ids decode to."""
+    """(doc_id, n_tokens, n_bytes, ids): n_bytes is the length of the text that the ids decode to. NULL and empty texts have no ids and
+    0 bytes; repeated rows stay rows of their own."""
     import public_tokenizers
 
     tokenizer = public_tokenizers.path(TOKENIZER)
