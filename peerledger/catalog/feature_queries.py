@@ -138,6 +138,20 @@ def head_sample(spark, sf):
     return sampling.head_sample(labelled(spark, sf), 100, ["rndrng_npi", "year"])
 
 
+@query(
+    "training_scan",
+    SQL("labelled", 'select count(*) as "rows", cast(sum(fraud_label) as bigint) as positives, least(count(*), 1) as sampled from labelled'),
+)
+def training_scan(spark, sf):
+    """What the scan of a training table reports of it: rows counted by the read itself, its positives, and the rows of a sample."""
+    path = fresh_path(spark, "training-table")
+    labelled(spark, sf).write.parquet(path)
+    table, seen = tables.scan_training(spark, path)
+    positives = table.agg(F.sum("fraud_label").cast("bigint").alias("positives")).first()["positives"]
+    sample, _ = tables.scan_training(spark, path, sample_rows=1, keys=["rndrng_npi", "year"])
+    return spark.createDataFrame([(seen.get["rows"], positives, sample.count())], "rows bigint, positives bigint, sampled bigint")
+
+
 @query(
     "sink_roundtrip",
     SQL("labelled", "select *, cast((select count(*) from labelled) as bigint) as rows_written from labelled"),

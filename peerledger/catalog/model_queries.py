@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -545,6 +546,26 @@ def assemble_features(spark, sf):
     )
 
 
+VECTOR = ("tot_hcpcs_cds", "tot_sbmtd_chrg", "bene_avg_risk_scre")
+
+
+@query(
+    "assemble_vectors",
+    SQL(
+        "labelled",
+        "\nunion all ".join(
+            f"select rndrng_npi, year, {i} as place, floor(cast({c} as double) * cast(1e6 as double) + cast(0.5 as double)) / cast(1e6 as double) as value from labelled"
+            for i, c in enumerate(VECTOR)
+        ),
+    ),
+)
+def assemble_vectors(spark, sf):
+    """The feature vector, place by place."""
+    rows = labelled(spark, sf)
+    vectors = encode.assemble(rows.select(*ROW_KEYS, *VECTOR), VECTOR, missing=training.MISSING)
+    return rounded(vectors.select(*ROW_KEYS, F.posexplode(vector_to_array("features")).alias("place", "value")))
+
+
 def _fitted(spark, sf, position: int) -> DataFrame:
     data = prepared(spark, sf)
     learner, params = _defaults(data)[position]
