@@ -208,7 +208,50 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("groups_sha256", digest).drop("groups")
 
 
-@query("op13_spelling_variants")
+SPELLING_SQL = r"""
+with recursive polynomials as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)
+),
+runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents
+),
+counted as (
+  select run, length(run) as size, count(*) as n, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as h
+  from runs where length(run) >= 6 group by doc_id, run
+),
+checked as (
+  select run, size, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: cast('0x' || substr(h, cast(2 * i + 1 as integer), 2) as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as crc
+  from counted, polynomials
+),
+made as (
+  select n, case when crc % 199 = 0 then substr(run, 1, cast(crc % size as integer)) || substr(run, cast(crc % size + 2 as integer)) else run end as word from checked
+),
+words as (select word, cast(sum(n) as bigint) as n from made where length(word) >= 6 group by word having sum(n) >= 5),
+holes as (select word, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail from (select word, cast(unnest(range(1, length(word) + 1)) as integer) as i from words) w),
+pairs as (
+  select a.word, b.word as near from holes a join holes b on a.head = b.head and a.tail = b.tail and a.word <> b.word
+  union select h.word, w.word from holes h join words w on h.head || h.tail = w.word
+  union select w.word, h.word from holes h join words w on h.head || h.tail = w.word
+),
+ranked as (
+  select p.word, p.near, w.n as m, count(*) over (partition by p.word) as n_near, row_number() over (partition by p.word order by w.n desc, p.near) as place
+  from pairs p join words w on w.word = p.near
+),
+forms as (
+  select w.word, w.n, coalesce(r.n_near, 0) as n_near, case when r.m >= 5 * w.n then r.near end as form, case when r.m >= 5 * w.n then r.m end as form_n
+  from words w left join ranked r on r.word = w.word and r.place = 1
+),
+steps as (select word, word as at from forms union all select s.word, f.form from steps s join forms f on f.word = s.at where f.form is not null),
+ends as (select s.word, s.at as root from steps s join forms f on f.word = s.at where f.form is null)
+select f.word, f.form, e.root, f.n, f.n_near, f.form_n from forms f join ends e on e.word = f.word
+"""
+
+
+@query("op13_spelling_variants", SPELLING_SQL)
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = word_counts(table(spark, sf_dir, "documents"), least_length=6, least_count=5, deletion=199)
     return spelling_forms(words, ratio=5)
