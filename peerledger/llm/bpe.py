@@ -9,7 +9,7 @@ compressed positions, never a row per position.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache, partial
 
 import numpy as np
@@ -23,6 +23,7 @@ from peerledger.llm.words import BYTE, encoder, flat_ids, slices, split_words, s
 
 BLOCK_CHARS = 12_000_000
 SLICE_CHARS = 500_000
+DECODED_IDS = 500_000
 BLOCK_BITS = 24  # blocks of one task
 LEAST_BUCKETS = 256  # of words; there are also at least eight for each shuffle partition, since a bucket is one task's
 
@@ -50,9 +51,8 @@ def unpacked(data: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int, dict[str, int], int, list, np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str]) -> Iterator[tuple[int, dict[str, int], int, list, np.ndarray, np.ndarray]]:
     """(block, its words so far, slice, keys, words per text, word numbers) of one task's documents."""
-    specials = encoder(path, False).specials
     first = TaskContext.get().partitionId() << BLOCK_BITS
     block, known, size, part = first, {}, 0, 0
     for batch in batches:
@@ -68,7 +68,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int,
             size, part = size + chars, part + 1
 
 
-def _words_of_blocks(batches: Iterator[pa.RecordBatch], path: str, buckets: int) -> Iterator[pa.RecordBatch]:
+def _words_of_blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str], buckets: int) -> Iterator[pa.RecordBatch]:
     """A row per block and bucket: the block's numbers of the bucket's words, and the words, sorted and compressed."""
 
     def rows(block: int, known: dict[str, int]) -> pa.RecordBatch:
@@ -88,7 +88,7 @@ def _words_of_blocks(batches: Iterator[pa.RecordBatch], path: str, buckets: int)
         return pa.RecordBatch.from_arrays([pa.array([block] * len(columns[0]), pa.int64()), *arrays], ["block", "bucket", "n", "numbers", "sizes", "words"])
 
     last = None
-    for block, known, *_ in _blocks(batches, path):
+    for block, known, *_ in _blocks(batches, specials):
         if last is not None and last[0] != block:
             yield rows(*last)
         last = block, known
@@ -96,8 +96,8 @@ def _words_of_blocks(batches: Iterator[pa.RecordBatch], path: str, buckets: int)
         yield rows(*last)
 
 
-def _positions_of_blocks(batches: Iterator[pa.RecordBatch], path: str, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    for block, known, part, keys, per_text, numbers in _blocks(batches, path):
+def _positions_of_blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str], key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    for block, known, part, keys, per_text, numbers in _blocks(batches, specials):
         columns = [
             pa.array([block], pa.int64()),
             pa.array([part], pa.int32()),
@@ -165,8 +165,9 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     kind = read.schema["key"].dataType
     arrow = to_arrow_type(kind)
     buckets = buckets or max(LEAST_BUCKETS, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    specials = encoder(tokenizer, False).specials  # found here: only the tasks that encode words load the tokenizer
     words = "block bigint, bucket int, n int, numbers binary, sizes binary, words binary"
-    by_bucket = read.mapInArrow(partial(_words_of_blocks, path=tokenizer, buckets=buckets), words).repartition("bucket")
+    by_bucket = read.mapInArrow(partial(_words_of_blocks, specials=specials, buckets=buckets), words).repartition("bucket")
     ids = "block bigint, n int, numbers binary, counts binary, total bigint, ids binary"
     encoded = by_bucket.sortWithinPartitions("bucket").mapInArrow(partial(_encode_words, path=tokenizer), ids)
     schema = T.StructType(
@@ -178,7 +179,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
             T.StructField("numbers", T.BinaryType()),
         ]
     )
-    positions = read.mapInArrow(partial(_positions_of_blocks, path=tokenizer, key_type=arrow), schema)
+    positions = read.mapInArrow(partial(_positions_of_blocks, specials=specials, key_type=arrow), schema)
     result = T.StructType([T.StructField("key", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     paired = positions.groupBy("block").cogroup(encoded.groupBy("block"))
     return paired.applyInArrow(partial(_join_back, key_type=arrow), result).withColumnRenamed("key", key)
@@ -197,21 +198,25 @@ def pieces(path: str) -> list[bytes]:
     return table
 
 
-def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    table = np.array(pieces(path), dtype=object)
-    for batch in batches:
-        lists = batch.column(1)
-        ends = lists.offsets.to_numpy()
-        flat = lists.values.to_numpy(zero_copy_only=False)
-        texts = [b"".join(table[flat[a:b]]).decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+def _decode(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
+    table = np.array(known.value, dtype=object)
+    for whole in batches:
+        ends = whole.column(1).offsets.to_numpy()
+        sizes = np.diff(ends).tolist()
+        for begin, stop in slices([range(n) for n in sizes], DECODED_IDS):
+            batch = whole.slice(begin, stop - begin)
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            at = [0, *np.cumsum(sizes[begin:stop]).tolist()]
+            texts = [b"".join(table[flat[a:b]]).decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
-    """Add `decoded`, the text of each row's ids, special tokens included, to (key, ids). The piece table is the vocabulary and
-    is held by every task. Broken UTF-8 becomes replacement characters; no ids give the empty text."""
+    """Add `decoded`, the text of each row's ids, special tokens included, to (key, ids). The piece table is the vocabulary, which is
+    broadcast. Broken UTF-8 becomes replacement characters; no ids give the empty text."""
     key = next(f for f in encoded.schema.fields if f.name != ids)
     schema = T.StructType([key, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    known = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer))
     return encoded.select(f"`{key.name}`", F.coalesce(F.col(ids), F.array().cast("array<int>")).alias(ids)).mapInArrow(
-        partial(_decode, path=tokenizer), schema
+        partial(_decode, known=known), schema
     )

@@ -131,11 +131,12 @@ def _sample_tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["token", "rows"])
 
 
-def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent, depth: int, carried: int) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent, depth: int, carried: int, inside: str | None) -> Iterator[pa.RecordBatch]:
     """The carried columns, text bytes, set size, set identity (two sums over the set), smallest hashes, and first shingles of every text."""
     common, ranks = frequent.value
     for batch in batches:
-        texts = [t or "" for t in batch.column(carried).to_pylist()]
+        column = batch.column(carried) if inside is None else batch.column(0).field(inside)
+        texts = [t or "" for t in column.to_pylist()]
         for begin, end in slices(texts, SLICE_CHARS):
             tokens, owner = shingles_of(texts[begin:end], words)
             n = np.bincount(owner, minlength=end - begin)
@@ -363,9 +364,12 @@ def near_duplicates(
 
     doc = F.struct(*(carry or [F.col(f"`{c}`") for c in docs.columns])).alias("doc")
     read = docs.select(doc, F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    inside = text if carry is None else None  # all columns are carried: the text goes to the tasks as one of them
+    if inside is not None:
+        read = read.drop("text")
     numbers = [T.StructField(c, T.LongType()) for c in ("length", "n", "a", "b", *(f"root{r}" for r in range(ROOTS)))]
     schema = T.StructType([*read.schema.fields[:2], *numbers, T.StructField("first", T.ArrayType(T.LongType()))])
-    task = partial(_features, words=words, percent=percent, frequent=frequent_shared, depth=DEPTH, carried=2)
+    task = partial(_features, words=words, percent=percent, frequent=frequent_shared, depth=DEPTH, carried=2, inside=inside)
     rows = stage(read.mapInArrow(task, schema).withColumn("row", F.monotonically_increasing_id()), "document-sets")
 
     with staging(spark) as scope:

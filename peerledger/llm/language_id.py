@@ -158,12 +158,15 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_
     return LanguageFilter(names, [shares[n] / total for n in names], table)
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model, inside: str | None) -> Iterator[pa.RecordBatch]:
+    """The last column is the text, or the struct that has it in the field `inside`."""
     known: LanguageFilter = model.value
     false = known.false_rates()
     bits = len(known.languages)
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        last = batch.column(batch.num_columns - 1)
+        texts = [t or "" for t in (last if inside is None else last.field(inside)).to_pylist()]
+        kept = batch.columns[:-1] if inside is None else batch.columns
         chosen, scores, sure = [], [], []
         for begin, end in slices(texts, SLICE_CHARS):
             some = texts[begin:end]
@@ -188,20 +191,25 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
                     b = int(corrected[i].argmax())
                     chosen.append(known.languages[b])
                     scores.append(float(corrected[i, b] / sums[i]))
-        columns = [*batch.columns[:-1], pa.array(chosen, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score", "known"])
+        columns = [*kept, pa.array(chosen, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[: len(kept)], "lang_pred", "score", "known"])
 
 
 def predict(docs: DataFrame, model: LanguageFilter, carry: Sequence[str | Column] = ("doc_id",), text: str = "text") -> DataFrame:
     """`carry`, lang_pred, score (0 to 1) and known of every whole text: whether a language has more of its n-grams than chance gives. Texts that are NULL, empty or without a letter are `und` with score
     0; a text whose n-grams no language has gets the most frequent language. Ties go to the more frequent language. A filter
-    trained on nothing says `und`."""
+    trained on nothing says `und`. Where the last of `carry` is a struct with the field `text`, the text is not carried twice."""
     from pyspark.sql import types as T
 
-    read = docs.select(*carry, F.col(f"`{text}`").alias("_text"))
-    schema = T.StructType([*read.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.BooleanType())])
+    read = docs.select(*carry)
+    last = read.schema.fields[-1].dataType if read.columns else None
+    inside = text if isinstance(last, T.StructType) and text in last.names else None
+    fields = read.schema.fields
+    if inside is None:
+        read = docs.select(*carry, F.col(f"`{text}`").alias("_text"))
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.BooleanType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return read.mapInArrow(partial(_predict, model=shared), schema)
+    return read.mapInArrow(partial(_predict, model=shared, inside=inside), schema)
 
 
 def held_out(key: Column) -> Column:

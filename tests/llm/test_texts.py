@@ -18,7 +18,7 @@ from peerledger.llm import suffix_dedup
 from peerledger.llm.bpe import decode, encode
 from peerledger.llm.components import components
 from peerledger.llm.exact_dedup import exact_dedup
-from peerledger.llm.jaccard import near_duplicates
+from peerledger.llm.jaccard import Part, near_duplicates, places
 from peerledger.llm.language_id import MIN_SHARE, NEAR_BEST, UNKNOWN, grams_of, predict, train
 from peerledger.llm.mixing import mix
 from peerledger.llm.sharding import jump_hash, shard
@@ -214,6 +214,40 @@ def test_near_duplicates_in_chains_and_crowds(spark):
         assert Counter(map(tuple, got)) == jaccard_answer(rows, words, percent)
 
 
+def test_many_near_copies_of_long_texts(spark):
+    """1,500 near copies of 25 KB: one component, in parts that are bounded by bytes."""
+    base = sentence(77, 3500).split(" ")
+    draw = random.Random(12)
+
+    def copy(i):
+        words = list(base)
+        for _ in range(3):
+            words[draw.randrange(len(words))] = f"edit{i}"
+        return " ".join(words)
+
+    rows = [(i, copy(i)) for i in range(1500)] + [(2000 + i, sentence(300 + i, 3500)) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(df, carry=[F.col("doc_id")]).select("doc.doc_id", "component_id", "kept").collect()}
+    assert got == {i: (0, i == 0) for i in range(1500)} | {2000 + i: (2000 + i, True) for i in range(5)}
+
+
+def test_parts_answer_as_plain_sets_do():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 60, size=draw.integers(1, 50)).astype(np.uint64) * np.uint64(7)) for _ in range(40)]
+    union, members = np.unique(np.concatenate(sets[:30]), return_inverse=True)
+    sizes = np.array([len(s) for s in sets[:30]])
+    part = Part(union, sizes, members.ravel(), np.arange(100, 130), np.arange(30) % 4)
+    for percent in (30, 50, 80):
+        for tokens in sets:
+            near = part.asked(len(tokens), places(union, tokens), percent)
+            plain = [i for i, s in enumerate(sets[:30]) if 100 * len(set(s) & set(tokens)) >= percent * len(set(s) | set(tokens))]
+            assert near.tolist() == plain
+            first = {}
+            for i in plain:
+                first.setdefault(i % 4, i)
+            assert part.one_each(near).tolist() == [first[c] for c in sorted(first)]
+
+
 def test_near_duplicates_of_nothing(nothing):
     assert near_duplicates(nothing).count() == 0
 
