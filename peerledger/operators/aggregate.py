@@ -13,7 +13,7 @@ from peerledger import schemas as S
 from peerledger.operators.clean import comparable_detail, typed_detail
 from peerledger.operators.joins import BROADCAST_ROWS
 from peerledger.operators.ranking import BUCKET, GROUP, with_offsets
-from peerledger.session import stage, stage_counted
+from peerledger.session import stage, stage_counted, staging
 
 # Claim lines of one provider-year that a single task may hold.
 CROWDED_ROWS = 5_000_000
@@ -92,25 +92,29 @@ def middle_values(counted: DataFrame, sorted_values: int = SORTED_VALUES) -> Dat
     of about equally many values, however they are distributed; running counts over the buckets tell which one has the middle, and
     only its values stay for the next round. Rounds divide a group by about SPLITTERS; the last one sorts what is left.
     """
-    left = stage(counted, "value-counts")
-    sizes = left.groupBy(GROUP).agg(F.count("*").alias("values"), F.ceil(F.sum("n") / 2).alias("rank"))
-    ranks, turn = stage(sizes, "middle-ranks"), 0
     done = []
-    while True:
-        large = ranks.filter(F.col("values") > sorted_values)
-        small = left.join(ranks.filter(F.col("values") <= sorted_values), GROUP)
-        inside = Window.partitionBy(GROUP).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        upto = small.withColumn("upto", F.sum("n").over(inside))
-        done.append(upto.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(GROUP, "value"))
-        if large.isEmpty():
-            return reduce(DataFrame.union, done)
-        placed = _bucketed(left.join(large, GROUP), turn)
-        offsets = with_offsets(placed, {"before": F.sum("n")})
-        total = offsets.groupBy(GROUP, BUCKET).agg(F.first("before").alias("before"), F.sum("n").alias("own"), F.first("rank").alias("rank"), F.count("*").alias("values"))
-        holds = total.filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("own")))
-        chosen = stage(holds.select(GROUP, BUCKET, (F.col("rank") - F.col("before")).alias("rank"), "values"), "middle-buckets")
-        left = stage(placed.select(GROUP, BUCKET, "value", "n").join(chosen.select(GROUP, BUCKET), [GROUP, BUCKET]).select(GROUP, "value", "n"), "value-counts")
-        ranks, turn = chosen.select(GROUP, "values", "rank"), turn + 1
+    with staging(counted.sparkSession) as scope:
+        left = stage(counted, "value-counts")
+        sizes = left.groupBy(GROUP).agg(F.count("*").alias("values"), F.ceil(F.sum("n") / 2).alias("rank"))
+        ranks, turn = stage(sizes, "middle-ranks"), 0
+        while True:
+            scope.keep(left, ranks)  # the results of a round read them
+            large = ranks.filter(F.col("values") > sorted_values)
+            small = left.join(ranks.filter(F.col("values") <= sorted_values), GROUP)
+            inside = Window.partitionBy(GROUP).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            upto = small.withColumn("upto", F.sum("n").over(inside))
+            done.append(upto.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(GROUP, "value"))
+            if large.isEmpty():
+                return reduce(DataFrame.union, done)
+            placed = _bucketed(left.join(large, GROUP), turn)
+            offsets = with_offsets(placed, {"before": F.sum("n")})
+            firsts = [F.first(c).alias(c) for c in ("before", "rank")]
+            total = offsets.groupBy(GROUP, BUCKET).agg(*firsts, F.sum("n").alias("own"), F.count("*").alias("values"))
+            holds = total.filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("own")))
+            chosen = stage(holds.select(GROUP, BUCKET, (F.col("rank") - F.col("before")).alias("rank"), "values"), "middle-buckets")
+            stays = placed.select(GROUP, BUCKET, "value", "n").join(chosen.select(GROUP, BUCKET), [GROUP, BUCKET])
+            left = stage(stays.select(GROUP, "value", "n"), "value-counts")
+            ranks, turn = stage(chosen.select(GROUP, "values", "rank"), "middle-ranks"), turn + 1
 
 
 def _bucketed(values: DataFrame, turn: int) -> DataFrame:

@@ -28,7 +28,7 @@ from peerledger.operators.clean import audit_nulls
 from peerledger.operators.labels import class_distribution
 from peerledger.plans import runlog
 from peerledger.plans.features import ROW_KEY, row_keys
-from peerledger.session import delete_path, fresh_path, stage, stage_counted
+from peerledger.session import delete_path, fresh_path, stage, stage_counted, staging
 
 # Trees send values below every threshold left, so missing values form their own branch.
 MISSING = -1e12
@@ -355,9 +355,11 @@ def search(data: Prepared, learner: Learner, trials: int | None = None) -> DataF
     for (trial, fold), model in zip(wanted, models):
         scored = score(data.frame.filter(F.col("fold") == fold), model, learner.name)
         parts.append(scored.select(F.lit(trial).alias("trial"), "fold", S.LABEL, name))
-    scored = stage(folds.union_parts(parts), "trial-scores")
-    per_fold = metrics.fold_metrics(scored, ["trial", "fold"], data.options.threshold, S.LABEL, name)
-    means = {r["trial"]: {k: v for k, v in r.asDict().items() if k != "trial"} for r in metrics.cv_mean(per_fold, ["trial"]).collect()}
+    with staging(data.frame.sparkSession):
+        scored = stage(folds.union_parts(parts), "trial-scores")
+        per_fold = metrics.fold_metrics(scored, ["trial", "fold"], data.options.threshold, S.LABEL, name)
+        found = [r.asDict() for r in metrics.cv_mean(per_fold, ["trial"]).collect()]  # a row per trial
+    means = {r.pop("trial"): r for r in found}
     results = [(trial, {k: float(v) for k, v in draw.items()}, means[trial]) for trial, draw in enumerate(draws)]
     schema = "trial int, params map<string,double>, metrics map<string,double>"
     return data.frame.sparkSession.createDataFrame(results, schema)

@@ -189,3 +189,21 @@ def test_fits_at_once_and_one_by_one_agree(data):
     alone = replace(data, options=replace(data.options, parallelism=1))
     results = [sorted(map(tuple, training.cross_validate(d, learner, params).collect())) for d in (data, alone)]
     assert results[0] == results[1]
+
+
+def test_stacker_meets_its_optimality_conditions(spark):
+    """At the optimum of the summed logistic loss plus half the squared norm, the gradient of each weight and of the intercept is 0."""
+    import random
+
+    import numpy as np
+
+    draw = random.Random(9)
+    rows = [(a := draw.random(), b := draw.random(), int(a + 0.5 * b + 0.3 * draw.random() > 1.1)) for _ in range(400)]
+    oof = spark.createDataFrame(rows, "score_a double, score_b double, fraud_label int")
+    for strength in (1.0, 0.05):
+        stacker = training.fit_stacker(oof, strength)
+        x, y = np.array([r[:2] for r in rows]), np.array([r[2] for r in rows])
+        w, c = np.array(stacker.coefficients.toArray()), stacker.intercept
+        chance = 1 / (1 + np.exp(-(x @ w + c)))
+        assert np.abs(x.T @ (chance - y) + w / strength).max() < 0.02
+        assert abs((chance - y).sum()) < 0.02
