@@ -33,7 +33,7 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, yea
     is taken from the path.
     """
     try:
-        whole = spark.read.options(**_base(path)).parquet(path)
+        whole = spark.read.options(**({} if schema is None else _base(path))).parquet(path)
     except AnalysisException as e:
         if (e.getCondition() or "").split(".")[0] not in MISSING:
             raise
