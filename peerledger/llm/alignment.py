@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerledger.llm.bpe import BLOCK_BITS, compressed, decompressed, packed, pieces, unpacked
+from peerledger.llm.memory import frugal, hand_back
 from peerledger.llm.spans import number_spans, ranges
 from peerledger.llm.words import BYTE, slices, split_words, spread
 from peerledger.session import stage, staging
@@ -333,6 +334,7 @@ def _block_row(block: Block, key: pa.DataType) -> pa.RecordBatch:
     return _row(values, key)
 
 
+@frugal
 def _blocks(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, key: pa.DataType) -> Iterator[pa.RecordBatch]:
     a, b = byte_side(path_a), piece_side(path_b)
     block = Block(TaskContext.get().partitionId() << BLOCK_BITS)
@@ -377,6 +379,7 @@ def _documents(rows: pa.Table, values: pa.Table, key: pa.DataType) -> pa.Table:
             column.append(value)
     names = ["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
     chunked = [pa.chunked_array(c) for c in columns]
+    hand_back()
     return pa.table([*chunked[:-1], chunked[-1].cast(pa.string())], names)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peerledger.llm.memory import frugal, hand_back
 from peerledger.llm.words import BYTE, encoder, flat_ids, slices, split_words, spread
 
 BLOCK_CHARS = 12_000_000
@@ -68,6 +69,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str]) -> Itera
             size, part = size + chars, part + 1
 
 
+@frugal
 def _words_of_blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str], buckets: int) -> Iterator[pa.RecordBatch]:
     """A row per block and bucket: the block's numbers of the bucket's words, and the words, sorted and compressed."""
 
@@ -96,6 +98,7 @@ def _words_of_blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str],
         yield rows(*last)
 
 
+@frugal
 def _positions_of_blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[str], key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     for block, known, part, keys, per_text, numbers in _blocks(batches, specials):
         columns = [
@@ -108,6 +111,7 @@ def _positions_of_blocks(batches: Iterator[pa.RecordBatch], specials: Sequence[s
         yield pa.RecordBatch.from_arrays(columns, ["block", "part", "keys", "per_text", "numbers"])
 
 
+@frugal
 def _encode_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket, so the encoder meets all blocks' words of a bucket one after the other and remembers only them."""
     known, bucket = encoder(path, False), None
@@ -149,6 +153,7 @@ def _join_back(positions: pa.Table, words: pa.Table, key_type: pa.DataType) -> p
         ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(row["per_text"]))).astype(np.int64)]
         keys.append(pa.array(row["keys"], key_type))
         ids.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.astype(np.int32))))
+    hand_back()
     return pa.table([pa.chunked_array(keys, key_type), pa.chunked_array(ids, pa.list_(pa.int32()))], ["key", "ids"])
 
 
@@ -198,6 +203,7 @@ def pieces(path: str) -> list[bytes]:
     return table
 
 
+@frugal
 def _decode(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
     table = np.array(known.value, dtype=object)
     for whole in batches:

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from peerledger.llm.bits import bit_table, marked
 from peerledger.llm.bpe import compressed, decompressed, packed, unpacked
 from peerledger.llm.components import components
+from peerledger.llm.memory import frugal
 from peerledger.llm.words import slices
 from peerledger.session import Scope, stage, stage_counted, staging
 
@@ -122,6 +123,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+@frugal
 def _sample_tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(0).to_pylist()
@@ -131,6 +133,7 @@ def _sample_tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["token", "rows"])
 
 
+@frugal
 def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent, depth: int, carried: int, inside: str | None) -> Iterator[pa.RecordBatch]:
     """The carried columns, text bytes, set size, set identity (two sums over the set), smallest hashes, and first shingles of every text."""
     common, ranks = frequent.value
@@ -162,6 +165,7 @@ def _features(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequ
             yield pa.RecordBatch.from_arrays([*some, *numbers], [*batch.schema.names[:carried], "length", "n", "a", "b", *(f"root{r}" for r in range(ROOTS)), "first"])
 
 
+@frugal
 def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted) -> Iterator[pa.RecordBatch]:
     """(a, b, body) of the texts whose set may be wanted: `wanted` is a bit table over set identities."""
     bits = wanted.value
@@ -298,6 +302,7 @@ def _store_part(rows: pa.Table, words: int, percent: int) -> pa.Table:
     return pa.table({k: pa.array([v], kinds.get(k, pa.list_(pa.int64()))) for k, v in row.items()})
 
 
+@frugal
 def _open(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links (u, v): at most one from each query to each connected set of a part's members. Rows come in order of part, slice, role: the
     stored part, then its queries."""
@@ -325,6 +330,7 @@ def _open(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["u", "v"])
 
 
+@frugal
 def _near_leader(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         leaders, bodies = batch.column(1).to_pylist(), batch.column(2).to_pylist()

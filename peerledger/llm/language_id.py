@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peerledger.llm.memory import frugal
 from peerledger.llm.words import slices
 from peerledger.session import stage_counted
 
@@ -98,6 +99,7 @@ def slot_of(gram: np.ndarray, i: int, slots: int) -> np.ndarray:
     return ((mixed >> np.uint64(20)) & np.uint64(slots - 1)).astype(np.int64)
 
 
+@frugal
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, texts): in how many texts of a batch each n-gram is."""
     for batch in batches:
@@ -113,6 +115,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "texts"])
 
 
+@frugal
 def _slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         gram = batch.column(0).to_numpy().astype(np.uint32)
@@ -158,6 +161,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", rows_per_
     return LanguageFilter(names, [shares[n] / total for n in names], table)
 
 
+@frugal
 def _predict(batches: Iterator[pa.RecordBatch], model, inside: str | None) -> Iterator[pa.RecordBatch]:
     """The last column is the text, or the struct that has it in the field `inside`."""
     known: LanguageFilter = model.value

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerledger.llm.memory import frugal
 from peerledger.llm.spans import number_spans
 from peerledger.llm.words import slices
 from peerledger.session import stage, staging
@@ -76,6 +77,7 @@ def keyed_crc(prefixes: list[bytes], owner: np.ndarray, letters: np.ndarray, beg
     return answer
 
 
+@frugal
 def _count_words(batches: Iterator[pa.RecordBatch], least: int, deletion: int | None) -> Iterator[pa.RecordBatch]:
     held: dict[str, int] = {}
 
@@ -175,6 +177,7 @@ def near_in_tiles(words: list[str], tiles: np.ndarray, longer: np.ndarray, by_ta
     return np.concatenate([none, *(f[0] for f in found)]), np.concatenate([none, *(f[1] for f in found)])
 
 
+@frugal
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Near pairs of rows that come sorted by length and cell. A cell may run on into the next batches."""
     rest: list[tuple] = []
