@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import sentence
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
