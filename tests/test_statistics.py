@@ -1,5 +1,6 @@
 import math
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,3 +182,18 @@ def test_sketched_medians_are_near_in_rank(spark):
     found = provider_stats(df, ["g"], {"v": "v"}, median="sketch", accuracy=100).first()["v_median"]
     rank = sum(v <= found for v in values)
     assert found in values and abs(rank - 15_000) <= 30_000 / 100
+
+
+def test_medians_of_small_groups_need_no_counted_maps(spark):
+    """Odd, even and repeated values, NULL, NaN, no value at all, in each kind; the plan holds plain lists."""
+    nan = float("nan")
+    tall = {"odd": [3, 1, 2], "even": [4, 1, 3, 2], "repeated": [7, 7, 7, 1], "gaps": [None, 5, None, 9], "none": [None, None], "one": [-6]}
+    rows = [(g, v, None if v is None else float(v), v) for g, vs in tall.items() for v in vs]
+    kinds = "g string, i int, f float, d decimal(18,2)"
+    rows = [(g, i, f, None if d is None else Decimal(d)) for g, i, f, d in rows] + [("nan", None, v, None) for v in (nan, 2.0, nan)]
+    stats = provider_stats(spark.createDataFrame(rows, kinds).repartition(3), ["g"], {"i": "i", "f": "f", "d": "d"})
+    assert "percentile" not in stats._jdf.queryExecution().executedPlan().toString().lower()
+    got = {r["g"]: (r["i_median"], r["f_median"], r["d_median"]) for r in stats.collect()}
+    assert math.isnan(got.pop("nan")[1])
+    found = {g: [v for v in vs if v is not None] for g, vs in tall.items()}
+    assert got == {g: (middles(v),) * 3 if v else (None,) * 3 for g, v in found.items()}
