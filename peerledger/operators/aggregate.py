@@ -50,25 +50,33 @@ def provider_stats(
     crowded: bool = False,
     median: str = EXACT,
     accuracy: int = SKETCH_ACCURACY,
+    sorted_values: int = SORTED_VALUES,
 ) -> DataFrame:
     """Six statistics per measure; the median is the lower middle value.
 
-    In one grouped pass, the state of an exact median holds the different values of its group. With `crowded` groups of any size are
-    fine: the other statistics have small mergeable states, and medians are found by `medians`. With median="sketch" all states are
+    In one grouped pass, the state of an exact median holds the values of its group. With `crowded` groups of any size are
+    fine: those of more than `sorted_values` rows are taken apart, their other statistics have small mergeable states, and their medians
+    are found by `medians`; the rest is grouped in one pass. `detail` is then read several times. With median="sketch" all states are
     small and one pass does it: the median is a value whose rank is off by at most rows / accuracy, so exact in groups of up to
     `accuracy` values.
     """
     if median not in (EXACT, SKETCH):
         raise ValueError(f"unknown median {median!r}")
     kinds = {f.name: f.dataType for f in detail.schema.fields}
-    apart = crowded and median == EXACT
-    columns = [c for src, dst in measures.items() for c in _statistics(src, dst, kinds[src], None if apart else median, accuracy)]
-    grouped = detail.groupBy(*keys).agg(*columns)
-    if not apart:
-        return grouped
-    middle = medians(detail, keys, measures)
-    joined = grouped.withColumn(GROUP, F.struct(*keys)).join(middle, GROUP)
-    return joined.select(*keys, *[f"{dst}_{s}" for dst in measures.values() for s in S.STATISTICS])
+
+    def grouped(part: DataFrame, median: str | None) -> DataFrame:
+        columns = [c for src, dst in measures.items() for c in _statistics(src, dst, kinds[src], median, accuracy)]
+        return part.groupBy(*keys).agg(*columns)
+
+    if not crowded or median == SKETCH:
+        return grouped(detail, median)
+    large, found = crowded_keys(detail, keys, sorted_values)
+    if found == 0:
+        return grouped(detail.repartition(*keys), EXACT)
+    busy, quiet = _parted(detail, keys, large, found)
+    apart = grouped(busy, None).withColumn(GROUP, F.struct(*keys)).join(medians(busy, keys, measures, sorted_values), GROUP)
+    apart = apart.select(*keys, *[f"{dst}_{s}" for dst in measures.values() for s in S.STATISTICS])
+    return apart.unionByName(grouped(quiet.repartition(*keys), EXACT))
 
 
 def medians(detail: DataFrame, keys: Sequence[str], measures: Mapping[str, str], sorted_values: int = SORTED_VALUES) -> DataFrame:
@@ -138,6 +146,16 @@ def crowded_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFr
     return stage_counted(counts.filter(F.col("_rows") > limit).select(*keys), "crowded-keys")
 
 
+def _parted(df: DataFrame, keys: Sequence[str], chosen: DataFrame, found: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is one of the `found` chosen ones, the other rows). NULL keys equal each other."""
+    names = [f"_c{i}" for i in range(len(keys))]
+    chosen = chosen.toDF(*names)
+    if found <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    same = reduce(Column.__and__, [df[k].eqNullSafe(chosen[n]) for k, n in zip(keys, names)])
+    return df.join(chosen, same, "left_semi"), df.join(chosen, same, "left_anti")
+
+
 def claim_statistics(
     detail: DataFrame,
     money_type: str = "float",
@@ -152,10 +170,11 @@ def claim_statistics(
 
     layout="colocate" moves each line once, to its provider-year; removing copies and all thirty
     statistics then need no further exchange. layout="spread" lets Spark combine map-side before
-    each exchange: safe whatever one provider or one line holds, but it reads the distinct lines
-    twice, for medians apart. layout="auto" counts lines per provider-year first, reading two
-    columns, and takes "spread" only for the provider-years above `crowded_rows`, if there are any. With median="sketch" every state
-    is small, so lines are combined map-side in any case and read once.
+    each exchange: safe whatever one provider or one line holds, but it stages the distinct lines
+    and reads them again for the large groups. layout="auto" counts lines per provider-year first, reading two
+    columns, and takes "spread" only for the provider-years above `crowded_rows`, if there are any. With median="sketch" the spread
+    lines get sketches, and "auto" spreads the provider-years of more than `accuracy` lines: a state of sketches is dearer to move than
+    the few lines of a smaller one, whose median is then exact.
     """
     lines = comparable_detail(detail, money_type)
     keys = ["_npi", "_year"]
@@ -164,15 +183,17 @@ def claim_statistics(
         return typed_detail(part.dropDuplicates() if distinct else part)
 
     def spread(part: DataFrame) -> DataFrame:
+        if median == SKETCH:
+            return provider_stats(typed(part), median=SKETCH, accuracy=accuracy)
         return provider_stats(stage(typed(part), "typed-lines"), crowded=True)
 
     def colocate(part: DataFrame) -> DataFrame:
         return provider_stats(typed(part.repartition(*keys)))
 
-    if median == SKETCH:
-        return provider_stats(typed(lines), median=SKETCH, accuracy=accuracy)
-    if median != EXACT:
+    if median not in (EXACT, SKETCH):
         raise ValueError(f"unknown median {median!r}")
+    if median == SKETCH:  # smaller provider-years are too few lines to sketch
+        crowded_rows = min(crowded_rows, accuracy)
     if layout == "spread":
         return spread(lines)
     if layout == "colocate":
@@ -184,7 +205,5 @@ def claim_statistics(
         return colocate(lines)
     if found > BROADCAST_ROWS:
         return spread(lines)
-    crowded = F.broadcast(crowded.toDF("_c_npi", "_c_year"))
-    same = lines["_npi"].eqNullSafe(crowded["_c_npi"]) & lines["_year"].eqNullSafe(crowded["_c_year"])
-    busy, quiet = lines.join(crowded, same, "left_semi"), lines.join(crowded, same, "left_anti")
+    busy, quiet = _parted(lines, keys, crowded, found)
     return colocate(quiet).unionByName(spread(busy))

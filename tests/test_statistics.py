@@ -197,3 +197,33 @@ def test_medians_of_small_groups_need_no_counted_maps(spark):
     assert math.isnan(got.pop("nan")[1])
     found = {g: [v for v in vs if v is not None] for g, vs in tall.items()}
     assert got == {g: (middles(v),) * 3 if v else (None,) * 3 for g, v in found.items()}
+
+
+def test_only_large_groups_are_narrowed(spark, monkeypatch):
+    """Groups of up to `sorted_values` rows take one grouped pass; NULL keys are groups too."""
+    from peerledger.operators import aggregate
+
+    sizes = {"a": 300, "b": 7, None: 200, "c": 1}
+    df = spark.createDataFrame([(g, i * 37 % n) for g, n in sizes.items() for i in range(n)], "g string, v int").repartition(4)
+    seen = []
+    monkeypatch.setattr(aggregate, "medians", lambda part, *rest: seen.append({r["g"] for r in part.select("g").distinct().collect()}) or medians(part, *rest))
+    for limit, large in ((100, [{"a", None}]), (1000, [])):
+        seen.clear()
+        got = {r["g"]: (r["v_median"], r["v_sum"]) for r in provider_stats(df, ["g"], {"v": "v"}, crowded=True, sorted_values=limit).collect()}
+        assert got == {g: ((n + 1) // 2 - 1, n * (n - 1) // 2) for g, n in sizes.items()}
+        assert seen == large
+
+
+def test_sketches_are_for_crowded_provider_years(spark, monkeypatch):
+    from peerledger.operators import aggregate
+
+    made = []
+    plain = aggregate.provider_stats
+    monkeypatch.setattr(aggregate, "provider_stats", lambda part, **more: made.append(more.get("median", "exact")) or plain(part, **more))
+    expected = steady(claim_statistics(raw(spark), layout="colocate"))
+    apart = [c for c in expected.columns if not c.endswith("_median")]
+    for accuracy, parts, compared in ((10_000, ["exact"], expected.columns), (12, ["exact", "sketch"], apart)):
+        made.clear()
+        got = steady(claim_statistics(raw(spark), median="sketch", accuracy=accuracy))
+        assert made == parts
+        assert rows(got, *compared) == rows(expected, *compared)
