@@ -546,9 +546,15 @@ def _flags_sql() -> str:
 ONE_HOT_KEPT = "rndrng_npi, year, hcpcs_cd, tot_srvcs, tot_benes, tot_bene_day_srvcs, " + FLOAT_TO_DOUBLE
 
 
+def _categories(spark: SparkSession, sf: str) -> DataFrame:
+    """The categories of all claim lines. Removing copies changes none of them, and without it only these columns are read and moved."""
+    return clean.clean_detail(V.detail(spark, sf), distinct=False).select(*S.CATEGORICAL)
+
+
 @query("one_hot", SQL("clean", f"select {ONE_HOT_KEPT}, {_flags_sql()} from clean"))
 def one_hot(spark, sf):
-    return floats_out(encode.one_hot(clean.clean_detail(V.detail(spark, sf))))
+    values = encode.category_values(_categories(spark, sf))
+    return floats_out(encode.one_hot(clean.clean_detail(V.detail(spark, sf)), values=values))
 
 
 def _index_sql(column: str, i: int) -> str:
@@ -562,7 +568,8 @@ INDEXED = " ".join(_index_sql(c, i) for i, c in enumerate(S.CATEGORICAL))
 
 @query("one_hot_sparse", SQL("clean", f"select {ONE_HOT_KEPT}, {INDEXES} from clean {INDEXED}"))
 def one_hot_sparse(spark, sf):
-    rows = encode.one_hot_sparse(clean.clean_detail(V.detail(spark, sf)), keep_index=True)
+    words = encode.vocabulary(_categories(spark, sf))
+    rows = encode.one_hot_sparse(clean.clean_detail(V.detail(spark, sf)), words=words, keep_index=True)
     return floats_out(rows.drop(*[f"{c}_ohe" for c in S.CATEGORICAL]))
 
 

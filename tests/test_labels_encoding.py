@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from test_cleaning import lines
 from peerledger.functions.names import label_column, label_text
 from peerledger.operators import encode, joins, labels
 
@@ -140,3 +141,17 @@ def test_broadcasts_are_bounded_by_bytes(spark):
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 10
     nested = spark.createDataFrame([(1, [1, 2], None)], "id bigint, a array<int>, t string")
     assert nested.select(joins.row_bytes(nested.schema)).first()[0] > 8 * 4
+
+
+def test_one_hot_queries_remove_copies_once(spark, monkeypatch):
+    """The categories come from two columns of all lines; only the result itself removes copies."""
+    from peerledger.catalog import feature_queries
+
+    asked = []
+    plain = feature_queries.clean.clean_detail
+    monkeypatch.setattr(feature_queries.clean, "clean_detail", lambda df, **more: asked.append(more.get("distinct", True)) or plain(df, **more))
+    for query in (feature_queries.one_hot, feature_queries.one_hot_sparse):
+        asked.clear()
+        monkeypatch.setattr(feature_queries.V, "detail", lambda spark, sf: lines(spark, ("1", "2020", "A", "F", "c", "1", "1", "1", "1", "1", "")))
+        assert query(spark, "").count() == 1
+        assert sorted(asked) == [False, True]
