@@ -12,10 +12,10 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache, partial
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,21 @@ def _sums(per_item: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _byte_lengths(words: Sequence[str], text: str) -> np.ndarray:
     """Of the words of a text, in UTF-8."""
-    return np.fromiter(map(len, words) if text.isascii() else (len(w.encode()) for w in words), np.int64, len(words))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    if text.isascii():
+        return lengths
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return _sums(1 + (chars > 0x7F).astype(np.int64) + (chars > 0x7FF) + (chars > 0xFFFF), np.cumsum(lengths))
+
+
+def _numbered(known: dict, keys: list) -> tuple[np.ndarray, list[int]]:
+    """The number of each of some distinct keys, and the places of the new ones, which get the next numbers."""
+    found = list(map(known.get, keys))
+    new = [i for i, number in enumerate(found) if number is None]
+    if new:
+        known.update(zip([keys[i] for i in new], range(len(known), len(known) + len(new))))
+        found = list(map(known.get, keys))
+    return np.array(found, np.int64), new
 
 
 @dataclass
@@ -58,6 +72,12 @@ class Tokens:
         return Tokens(self.ids[np.repeat(texts, self.per_text)], self.per_text[texts], self.misspelt[texts])
 
 
+def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The ids up to each end, 4 bytes each."""
+    data, cuts = ids.tobytes(), (4 * ends).tolist()
+    return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts)]
+
+
 class Side:
     """A tokenizer that encodes words one by one, or many of those that `joins` names as one text, which it splits into them again.
     `spelt` has the bytes of each id."""
@@ -68,38 +88,45 @@ class Side:
         self.spelt, self.split, self.encode, self.joins = spelt, split, encode, joins
         self.sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
         self.spaced = np.fromiter((b.startswith(b" ") for b in spelt), bool, len(spelt))
-        self.shown = [str(i) for i in range(len(spelt))]
+        self.shown = np.array([str(i).encode() for i in range(len(spelt))])
         self.known: dict[str, bytes] = {}  # ids as 4 bytes each
         self.wrong: set[str] = set()  # of the known words
 
     def spells(self, ids: Sequence[int], text: str) -> bool:
         return b"".join([self.spelt[i] for i in ids]) == text.encode()
 
-    def _remember(self, words: list[str]) -> None:
-        if self.joins is not None:
-            joined = list(filter(self.joins, words))
-            if joined and self._remember_joined(joined):
-                words = [w for w in words if w not in self.known]
-        new = [array("I", ids) for ids in self.encode(words)]
-        self.known.update((w, ids.tobytes()) for w, ids in zip(words, new))
-        flat = np.frombuffer(b"".join(new), np.uint32)
-        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+    def _remember(self, words: list[str]) -> list[bytes]:
+        """Encode and keep words; their ids."""
+        joins = list(map(self.joins, words)) if self.joins is not None else [False] * len(words)
+        joined = self._joined(list(compress(words, joins))) if any(joins) else []
+        if joined is None:
+            joins, joined = [False] * len(words), []
+        single = self._single([w for w, joined_one in zip(words, joins) if not joined_one])
+        parts = {True: iter(joined), False: iter(single)}
+        ids = [next(parts[joined_one]) for joined_one in joins]
+        self.known.update(zip(words, ids))
+        return ids
+
+    def _single(self, words: list[str]) -> list[bytes]:
+        new = self.encode(words)
+        per_word = np.fromiter(map(len, new), np.int64, len(new))
+        ends = np.cumsum(per_word)
+        flat = np.fromiter(chain.from_iterable(new), np.uint32, int(per_word.sum()))
         text = "".join(words)
         if not (np.array_equal(_sums(self.sizes[flat], ends), _byte_lengths(words, text)) and self.spells(flat.tolist(), text)):
             self.wrong.update(w for w, ids in zip(words, new) if not self.spells(ids, w))
+        return _cut(flat, ends)
 
-    def _remember_joined(self, words: list[str]) -> bool:
-        """Encode words as one text, several times faster than one by one. False if the tokens do not spell it word by word."""
+    def _joined(self, words: list[str]) -> list[bytes] | None:
+        """Encode words as one text, several times faster than one by one. None if the tokens do not spell it word by word."""
         text = "".join(words)
         ids = np.array(self.encode([text])[0], np.uint32)
         ends = np.cumsum(self.sizes[ids])
         stops = np.cumsum(_byte_lengths(words, text))
         at = np.searchsorted(ends, stops)
         if not len(ends) or ends[-1] != stops[-1] or not np.array_equal(ends[at], stops) or not self.spells(ids.tolist(), text):
-            return False
-        data, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
-        self.known.update((w, data[i:j]) for w, i, j in zip(words, [0, *cuts[:-1]], cuts))
-        return True
+            return None
+        return _cut(ids, at + 1)
 
     def tokens(self, texts: Sequence[str]) -> Tokens:
         words, numbers, per_text = self.split(texts)
@@ -109,8 +136,8 @@ class Side:
             if len(self.known) + len(missing) > CACHED_WORDS:
                 self.known = {w: ids for w, ids in zip(words, found) if ids is not None}
                 self.wrong &= self.known.keys()
-            self._remember([words[i] for i in missing])
-            found = list(map(self.known.get, words))
+            for i, ids in zip(missing, self._remember([words[i] for i in missing])):
+                found[i] = ids
         counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids, sizes = spread(numbers, np.frombuffer(b"".join(found), "<u4"), counts)
         owner = np.repeat(np.arange(len(texts)), per_text)
@@ -190,12 +217,19 @@ def piece_side(path: str) -> Side:
     return Side(spelt, _split_pieces if alone else _split_nothing, encode)
 
 
-def _tokens_of(shown: list[str], ids: np.ndarray, begin: np.ndarray, end: np.ndarray, cuts: np.ndarray, per_window: np.ndarray):
-    """Of some windows: their ids as text, end to end; and, counted in that list, the ends of their groups and the windows' begins."""
-    sizes = end - begin
-    starts = np.cumsum(sizes) - sizes
-    names = [shown[i] for i in ids[ranges(begin, sizes)].tolist()]
-    return names, (cuts + np.repeat(starts - begin, per_window)).tolist(), starts.tolist()
+def _groups_shown(a: Side, b: Side, ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray, last: np.ndarray) -> list[str]:
+    """Windows as text, from the ids of their groups end to end, how many each group has, and which groups end a window. Ids are written
+    as rows of digits, groups of a before those of b, and what is not filled of the rows is left out."""
+    ends = np.cumsum(n_a + n_b)
+    place_a, place_b = ranges(ends - n_b - n_a, n_a), ranges(ends - n_b, n_b)
+    width = max(a.shown.itemsize, b.shown.itemsize)
+    text = np.zeros((len(ids_a) + len(ids_b), width + 1), np.uint8)
+    for side, ids, places in ((a, ids_a, place_a), (b, ids_b, place_b)):
+        text[places, :width] = side.shown[ids].astype(f"S{width}").view(np.uint8).reshape(-1, width)
+    text[:, width] = ord(",")
+    text[ends - n_b - 1, width] = ord("|")
+    text[ends - 1, width] = np.where(last, ord("\n"), ord(";"))
+    return text[text > 0].tobytes().decode()[:-1].split("\n")
 
 
 @dataclass
@@ -233,39 +267,30 @@ class Block:
         from_a, from_b = np.concatenate(([0], to_a[:-1])), np.concatenate(([0], to_b[:-1]))
         local, first = number_spans([(left.ids, from_a, to_a), (right.ids, from_b, to_b)])
 
-        here = np.empty(len(first), np.int64)
-        fresh: list[int] = []
         data_a, data_b = left.ids.tobytes(), right.ids.tobytes()
-        spans = zip(first.tolist(), *((4 * at[first]).tolist() for at in (from_a, to_a, from_b, to_b)))
-        for i, (w, a0, a1, b0, b1) in enumerate(spans):
-            number = self.numbers.setdefault(data_a[a0:a1] + NO_ID + data_b[b0:b1], len(self.numbers))
-            here[i] = number
-            if number == len(self.shown) + len(fresh):
-                fresh.append(w)
+        spans = zip(*((4 * at[first]).tolist() for at in (from_a, to_a, from_b, to_b)))
+        here, fresh = _numbered(self.numbers, [data_a[a0:a1] + NO_ID + data_b[b0:b1] for a0, a1, b0, b1 in spans])
         if fresh:
-            new = np.array(fresh)
+            new = first[fresh]
             sizes = stop[new] - start[new]
             at = ranges(start[new], sizes)
             token_a, token_b = (done_a - (kind & 1))[at], (done_b - (kind >> 1))[at]
             codes = left.ids[token_a].astype(np.int64) << 32 | right.ids[token_b].astype(np.int64)
             distinct, back = np.unique(codes, return_inverse=True)
-            known = np.fromiter((self.pairs.setdefault(c, len(self.pairs)) for c in distinct.tolist()), np.int64, len(distinct))
-            self.links.append(known[back])
+            self.links.append(_numbered(self.pairs, distinct.tolist())[0][back])
             self.n_links += sizes.tolist()
             shared = np.flatnonzero(kind[at] == 3)  # ends of groups; the last one of a window is its end
             per_window = np.diff(np.searchsorted(shared, np.cumsum(sizes)), prepend=0)
-            shown_a, cut_a, begin_a = _tokens_of(a.shown, left.ids, from_a[new], to_a[new], done_a[at[shared]], per_window)
-            shown_b, cut_b, begin_b = _tokens_of(b.shown, right.ids, from_b[new], to_b[new], done_b[at[shared]], per_window)
-            k, per_window = 0, per_window.tolist()
-            for n, a0, b0 in zip(per_window, begin_a, begin_b):
-                groups = []
-                for k in range(k, k + n):
-                    a1, b1 = cut_a[k], cut_b[k]
-                    groups.append(",".join(shown_a[a0:a1]) + "|" + ",".join(shown_b[b0:b1]))
-                    a0, b0 = a1, b1
-                k += 1
-                self.shown.append(";".join(groups) if n > 1 else groups[0])
-            self.n_groups += per_window
+            last = np.cumsum(per_window) - 1
+            stop_a, stop_b = done_a[at[shared]], done_b[at[shared]]
+            start_a, start_b = (np.concatenate(([0], stops[:-1])) for stops in (stop_a, stop_b))
+            start_a[last - per_window + 1], start_b[last - per_window + 1] = from_a[new], from_b[new]
+            size_a, size_b = stop_a - start_a, stop_b - start_b
+            ends_window = np.zeros(len(shared), bool)
+            ends_window[last] = True
+            ids_a, ids_b = left.ids[ranges(start_a, size_a)], right.ids[ranges(start_b, size_b)]
+            self.shown += _groups_shown(a, b, ids_a, size_a, ids_b, size_b, ends_window)
+            self.n_groups += per_window.tolist()
         numbers = here[local]
         counted = np.bincount(numbers, minlength=len(self.shown))
         counted[: len(self.seen)] += self.seen

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import peerledger.llm.alignment as alignment
@@ -142,3 +143,16 @@ def test_query(spark, edges, libraries, tmp_path):
     for row, n in rows.items():
         expected[(*row[:-1], digest(row[-1]))] += n
     assert Counter(map(tuple, got)) == expected
+
+
+def test_windows_written_together(libraries):
+    """All windows of a slice are written in one pass, and byte lengths need no pass per word."""
+    a, b = alignment.byte_side(tokenizer_file(A)), alignment.piece_side(tokenizer_file(B))
+    windows = [[([7], [12345, 0]), ([10, 99999 % len(a.spelt)], [3])], [([0], [0])], [([5, 66, 777], [1, 22, 333, 4444])]]
+    groups = [g for w in windows for g in w]
+    last = np.array([i == len(w) - 1 for w in windows for i in range(len(w))])
+    sides = [(np.concatenate([g[s] for g in groups]), np.array([len(g[s]) for g in groups])) for s in (0, 1)]
+    expected = [";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in w) for w in windows]
+    assert alignment._groups_shown(a, b, *sides[0], *sides[1], last) == expected
+    words = ["plain", " é", "日本", "", "🙂 x", "ÿ"]
+    assert alignment._byte_lengths(words, "".join(words)).tolist() == [len(w.encode()) for w in words]
