@@ -20,6 +20,7 @@ from peerledger.session import stage
 
 PAGES_PER_BUCKET = 1024
 BROKEN = "_broken"
+SIZE = "_size"
 
 
 def _text_fields(fields: T.StructType) -> T.StructType:
@@ -51,6 +52,17 @@ def _parsed(pages: DataFrame, fields: T.StructType, more: Sequence[str] = ()) ->
     )
 
 
+def _size() -> Column:
+    return F.when(F.col("records").isNotNull(), F.size("records"))
+
+
+def parse_once(pages: DataFrame, fields: T.StructType, more: Sequence[str] = ()) -> DataFrame:
+    """Pages ready to be written once and read by `decode_parsed`, `rejected_parsed` and `parsed_sizes`: the payload stays only where it
+    is corrupt, and the size stands beside the records, so that rejected pages and sums do not read them."""
+    parsed = _parsed(pages, fields, more)
+    return parsed.withColumns({SIZE: _size(), "payload": F.when(F.col("records").isNull(), F.col("payload"))})
+
+
 def decode_pages(pages: DataFrame, fields: T.StructType, corrupt: str = "raise") -> DataFrame:
     """One row per record: year plus the declared fields in their declared types.
 
@@ -58,7 +70,11 @@ def decode_pages(pages: DataFrame, fields: T.StructType, corrupt: str = "raise")
     """
     if corrupt not in ("raise", "reject"):
         raise ValueError(f"unknown treatment {corrupt!r}")
-    parsed = _parsed(pages, fields)
+    return decode_parsed(_parsed(pages, fields), fields, corrupt)
+
+
+def decode_parsed(parsed: DataFrame, fields: T.StructType, corrupt: str = "raise") -> DataFrame:
+    """The same of pages parsed before."""
     if corrupt == "raise":
         where = F.concat(F.lit("corrupt page: year "), F.coalesce(F.col("year").cast("string"), F.lit("?")), F.lit(", offset "), F.coalesce(F.col("offset").cast("string"), F.lit("?")))
         none = F.raise_error(where).cast(parsed.schema["records"].dataType)
@@ -69,13 +85,24 @@ def decode_pages(pages: DataFrame, fields: T.StructType, corrupt: str = "raise")
 
 def rejected_pages(pages: DataFrame, fields: T.StructType, more: Sequence[str] = ()) -> DataFrame:
     """(year, offset, payload, ...) of the corrupt pages, with more columns of theirs where asked for."""
-    return _parsed(pages, fields, more).filter(F.col("records").isNull()).select("year", "offset", "payload", *more)
+    return rejected_parsed(_parsed(pages, fields, more), more)
+
+
+def rejected_parsed(parsed: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """The same of pages parsed before."""
+    sound = SIZE if SIZE in parsed.columns else "records"
+    return parsed.filter(F.col(sound).isNull()).select("year", "offset", "payload", *more)
 
 
 def page_sizes(pages: DataFrame, fields: T.StructType) -> DataFrame:
     """(year, pages, records, rejected, reach, declared): sums over the pages of each year; reach is where the furthest sound page ends."""
-    sound, size = F.col("records").isNotNull(), F.size("records").cast("bigint")
-    return _parsed(pages, fields).groupBy("year").agg(
+    return parsed_sizes(_parsed(pages, fields).withColumn(SIZE, _size()))
+
+
+def parsed_sizes(parsed: DataFrame) -> DataFrame:
+    """The same of pages parsed before, whose sizes are NULL on corrupt pages."""
+    sound, size = F.col(SIZE).isNotNull(), F.col(SIZE).cast("bigint")
+    return parsed.groupBy("year").agg(
         F.count_if(sound).alias("pages"),
         F.coalesce(F.sum(F.when(sound, size)), F.lit(0).cast("bigint")).alias("records"),
         F.count_if(~sound).alias("rejected"),

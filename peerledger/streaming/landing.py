@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from peerledger import schemas as S
 from peerledger.session import stage, staging
-from peerledger.sources.pages import decode_pages, page_sizes, rejected_pages
+from peerledger.sources.pages import decode_parsed, parse_once, parsed_sizes, rejected_parsed
 from peerledger.sources.sinks import land_batches
 
 
@@ -40,12 +40,15 @@ def land_page_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with staging(spark):
-            held = stage(batch, "page-batch") if rejected is not None or progress is not None else batch
+            more = [] if rejected is None else ["file"]
+            parsed = parse_once(batch, fields, more)
+            if rejected is not None or progress is not None:  # several readers: a page is parsed once for all of them
+                parsed = stage(parsed, "page-batch")
             if rejected is not None:
-                rejected_pages(held, fields, ["file"]).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+                rejected_parsed(parsed, more).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
             if progress is not None:
-                page_sizes(held, fields).coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch={batch_id}")
-            rows = decode_pages(held, fields, "raise" if rejected is None else "reject")
+                parsed_sizes(parsed).coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch={batch_id}")
+            rows = decode_parsed(parsed, fields, "raise" if rejected is None else "reject")
             land_batches(rows, f"{target}/batch={batch_id}", "year", rows_per_file, "overwrite")
 
     writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -194,3 +194,21 @@ def test_pages_are_not_gathered_by_year(spark, tmp_path):
         assert pages.count() == 9
     finally:
         spark.conf.set(name, before)
+
+
+def test_stream_parses_a_page_once(spark, tmp_path, monkeypatch):
+    """Rejected pages, progress and landed records come from one parse of each batch."""
+    parses = []
+    monkeypatch.setattr(pages, "_parsed", lambda *given, parse=pages._parsed: parses.append(given) or parse(*given))
+    folders = {n: str(tmp_path / n) for n in ("source", "target", "checkpoint", "rejected", "progress")}
+    sound, cut, empty = page(2020, 0, records(0, 3)), page(2020, 3, records(3, 2)), page(2021, 0, [], True, 7)
+    cut = (*cut[:-1], cut[-1][:-4])
+    none = (2021, 5, None)
+    spark.createDataFrame([sound, cut, empty, none], S.PAGE).write.option("ignoreNullFields", False).json(folders["source"])
+    land_page_stream(spark, fields=FIELDS, **folders)
+    assert len(parses) == 1
+    assert sorted(r["id"] for r in read_landed(spark, folders["target"]).collect()) == [0, 1, 2]
+    rejected = spark.read.parquet(folders["rejected"])
+    assert sorted(map(tuple, rejected.select("year", "offset", "payload").collect())) == [(2020, 3, cut[-1]), (2021, 5, None)]
+    progress = {r["year"]: tuple(r)[1:] for r in read_progress(spark, folders["progress"]).collect()}
+    assert progress == {2020: (1, 3, 1, 3, None), 2021: (1, 0, 1, 0, 7)}
