@@ -207,3 +207,8 @@ def test_stacker_meets_its_optimality_conditions(spark):
         chance = 1 / (1 + np.exp(-(x @ w + c)))
         assert np.abs(x.T @ (chance - y) + w / strength).max() < 0.02
         assert abs((chance - y).sum()) < 0.02
+
+
+def test_tasks_of_large_fits():
+    """Samples of up to 800,000 rows keep 50,000 rows a task; larger ones do not start a task per 50,000 rows at every tree level."""
+    assert [training.fit_tasks(n) for n in (0, 1, 50_001, 393_000, 800_000, 3_200_000, 3_900_000)] == [1, 1, 2, 8, 16, 16, 20]
